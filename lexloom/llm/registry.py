@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import mixing, simhash
 from .common import table
 
 
@@ -15,9 +15,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op10_simhash": op10_simhash}
+    return {"op5_mixing": op5_mixing, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
