@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, simhash
+from . import mixing, simhash, spotsigs
 from .common import table
 
 
@@ -20,9 +20,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprints of all documents and of their edited texts."""
+    return spotsigs.edited_and_next(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op5_mixing": op5_mixing, "op10_simhash": op10_simhash}
+    return {"op5_mixing": op5_mixing, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
