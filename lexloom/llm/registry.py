@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, simhash, spotsigs
+from . import mixing, quality, simhash, spotsigs
 from .common import table
 
 
@@ -20,6 +20,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and verdict of the boosted trees for all documents."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.score(docs, model).select("doc_id", *quality.BASE, "base_failed", "score", "kept")
+
+
 def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SpotSigs fingerprints of all documents and of their edited texts."""
     return spotsigs.edited_and_next(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -27,7 +34,7 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op5_mixing": op5_mixing, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
+    return {"op5_mixing": op5_mixing, "op7_quality": op7_quality, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
