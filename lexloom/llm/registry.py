@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, simhash, spotsigs, toxicity
+from . import bpe, mixing, quality, simhash, spotsigs, toxicity
 from .common import table
 
 
@@ -28,6 +28,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Token ids of all documents and what they decode to."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.encode(docs, path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and verdict of the boosted trees for all documents."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -42,7 +50,7 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op3_toxicity": op3_toxicity, "op5_mixing": op5_mixing, "op7_quality": op7_quality, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
+    return {"op3_toxicity": op3_toxicity, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
