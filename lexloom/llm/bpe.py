@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATES, PIECES = 60_000, 250_000
+STATES, PIECES = 80_000, 350_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -54,9 +55,11 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: b for b, r in ranks.items()}
-        self.begins = {b[:k] for b in ranks for k in range(1, len(b) + 1)}
-        self.sound: dict[bytes, bool] = {}
-        self.follows: dict[tuple[int, int], bool] = {}
+        #: Beginnings of entries: the rank of those that are entries themselves, else -1.
+        self.begins = {b[:k]: -1 for b in ranks for k in range(1, len(b) + 1)} | ranks
+        self.sound: dict[int, bool] = {}
+        self.edges: tuple[dict, dict] = ({}, {})
+        self.follows: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -64,37 +67,91 @@ class Transducer:
         start = (((), -1, b""),)
         self.paths, self.number, self.next, self.end = [start], {start: 0}, [{}], [()]
 
-    def _may_follow(self, last: int, token: int, entry: bytes) -> bool:
+    def _edge(self, token: int, right: bool) -> list[tuple[bytes, float]]:
+        """How a token's outermost part at one side grows: (bytes, rank at which it is merged into the next)."""
+        known = self.edges[right]
+        if token not in known:
+            out: list[tuple[bytes, float]] = []
+            part, ends = self.tokens[token], float("inf")
+            while True:
+                out.append((part, ends))
+                if len(part) == 1:
+                    break
+                ends = self.ranks[part]
+                part = self._halves(part)[right]
+            known[token] = out[::-1]
+        return known[token]
+
+    def _halves(self, entry: bytes) -> tuple[bytes, bytes]:
+        """The two parts of the last merge of an entry."""
+        others = {b: r for b, r in ((entry[i:j], self.ranks.get(entry[i:j])) for i in range(len(entry)) for j in range(i + 1, len(entry) + 1)) if r is not None and b != entry}
+        left = self.tokens[merge(entry, others)[0]]
+        return left, entry[len(left) :]
+
+    def _is_sound(self, token: int) -> bool:
+        """Whether the merges of an entry's bytes give the entry."""
+        if token not in self.sound:
+            self.sound[token] = merge(self.tokens[token], self.ranks) == [token]
+        return self.sound[token]
+
+    def _may_follow(self, last: int, token: int) -> bool:
+        """Whether merging the bytes of both gives both: at no rank do the parts that meet at the border merge.
+
+        The parts on either side grow at known ranks; a pair across the border goes first if its rank is less
+        than that of the merge to its left, or not more than that of the merge to its right.
+        """
         if last < 0:
-            if entry not in self.sound:
-                self.sound[entry] = merge(entry, self.ranks) == [token]
-            return self.sound[entry]
-        key = (last, token)
-        if key not in self.follows:
+            return self._is_sound(token)
+        key = last << 32 | token
+        known = self.follows.get(key)
+        if known is None:
             if len(self.follows) >= 8 * STATES:
                 self.follows.clear()
-            self.follows[key] = merge(self.tokens[last] + entry, self.ranks) == [last, token]
-        return self.follows[key]
+            known = self._is_sound(token) and self._apart(self._edge(last, True), self._edge(token, False))
+            self.follows[key] = known
+        return known
+
+    def _apart(self, xs: list[tuple[bytes, float]], ys: list[tuple[bytes, float]]) -> bool:
+        i = j = 0
+        ranks = self.ranks
+        while True:
+            (x, x_ends), (y, y_ends) = xs[i], ys[j]
+            rank = ranks.get(x + y)
+            if rank is not None and rank < x_ends and rank <= y_ends:
+                return False
+            if x_ends <= y_ends:
+                i += 1
+                if i == len(xs):
+                    return True
+            else:
+                j += 1
 
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The transition, worked out by following all paths."""
-        one, grown, whole = bytes([byte]), [], None
+        one, grown, whole, begins = bytes((byte,)), [], None, self.begins
         for written, last, opened in self.paths[state]:
             entry = opened + one
-            if entry not in self.begins:
+            token = begins.get(entry)
+            if token is None:
                 continue
-            token = self.ranks.get(entry)
-            if token is not None and whole is None and self._may_follow(last, token, entry):
+            if token >= 0 and whole is None and self._may_follow(last, token):
                 whole = (written + (token,), token, b"")  # the one encoding of all bytes so far
             grown.append((written, last, entry))
         if whole is None:
             raise ValueError(f"no vocabulary entry ends at byte {byte}")
         grown.append(whole)
-        shared = 0
-        while all(len(w) > shared for w, _, _ in grown) and len({w[shared] for w, _, _ in grown}) == 1:
-            shared += 1
-        out = grown[0][0][:shared]
-        paths = tuple((w[shared:], last, opened) for w, last, opened in grown)
+        out = grown[0][0]
+        if out:
+            for written, _, _ in grown:
+                if written[: len(out)] != out:
+                    shared = 0
+                    while shared < min(len(out), len(written)) and written[shared] == out[shared]:
+                        shared += 1
+                    out = out[:shared]
+            if out:
+                n = len(out)
+                grown = [(w[n:], last, opened) for w, last, opened in grown]
+        paths = tuple(grown)
         at = self.number.get(paths)
         if at is None:
             at = self.number[paths] = len(self.paths)
@@ -178,7 +235,7 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.runs = regex.compile(r"\s\s|[\s--[ \n]]", regex.V1)
         self.spaced, self.first, self.pieces = _Known(self, b" "), _Known(self, b""), {}
-        self.newline = self.ids_of("\n")
+        self.newline, self.marks = self.ids_of("\n"), {m: self.ids_of(m) for m in ".,"}
         self.bytes = [self.fst.tokens.get(k, b"") for k in range(max(self.fst.tokens, default=-1) + 1)]
 
     def ids_of(self, text: str) -> bytes:
@@ -186,11 +243,10 @@ class Codec:
         out = []
         for piece in self.pattern.findall(text):
             raw = piece.encode()
-            ids = self.pieces.get(raw)
-            if ids is None:
+            if (ids := self.pieces.get(raw)) is None:
                 if len(self.pieces) >= PIECES:
                     self.pieces.clear()
-                ids = np.array(self.fst.encode(raw), "<u4").tobytes()
+                ids = pack(f"<{len(found := self.fst.encode(raw))}I", *found)
                 if len(raw) <= 64:
                     self.pieces[raw] = ids
             out.append(ids)
@@ -225,7 +281,13 @@ class _Known(dict):
         self.codec, self.before = codec, before.decode()
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.codec.ids_of(self.before + part)
+        code = self.codec
+        if part[-1:] in (".", ",") and len(part) > 1 and part[:-1].isalpha():  # a match ends before the mark
+            return self[part[:-1]] + code.marks[part[-1]]
+        if part.isalpha() and (part.isascii() or max(part) < "\u2000"):  # one match
+            ids = pack(f"<{len(out := code.fst.encode((self.before + part).encode()))}I", *out)
+        else:
+            ids = code.ids_of(self.before + part)
         if len(part) <= 64:
             if len(self) >= PIECES:
                 self.clear()
