@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, simhash, spotsigs, toxicity
+from . import bpe, mixing, quality, simhash, spotsigs, token_store, toxicity
 from .common import table
 
 
@@ -16,6 +16,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op1_token_store(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Token ids of all documents, written as a keyed binary store and read back by key."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_store.digest(docs, path or public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -50,7 +58,7 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op3_toxicity": op3_toxicity, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
+    return {"op1_token_store": op1_token_store, "op3_toxicity": op3_toxicity, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
