@@ -123,12 +123,19 @@ class Index:
 
 
 # --- encoding ------------------------------------------------------------------------------------
+#: Characters that byte-level files write for bytes: printable Latin-1 as it is, the others from U+0100 on.
+_AS_IS = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _AS_IS)}
+
+
 class WordEncoder:
     """Encodes with a tokenizers file whose normaliser and pattern keep no token across a blank or line feed.
 
     Lower-casing ASCII, splitting at blanks and line feeds, and splitting full stops and commas off an
-    ASCII letter change nothing in the ids of such a file, so unseen words only go through the library,
-    many at a time. A text with the opening of a special token goes through it whole.
+    ASCII letter change nothing in the ids of such a file, so unseen words only go through the library.
+    A word that is letters only after the library's normaliser is one match of the pattern, and goes to
+    the library's BPE model at once; other words go through the whole library, many at a time, and so
+    does a text with the opening of a special token.
     """
 
     def __init__(self, path: str):
@@ -142,6 +149,21 @@ class WordEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}{self.code}", *e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Takes up the ids of words without blanks or line feeds."""
+        plain = [w.decode() for w in words]
+        normal = self.tokenizer.normalizer.normalize_str(" ".join(plain)).split(" ")
+        if len(normal) != len(plain):  # other white space was made a blank
+            normal = [""] * len(plain)
+        # Python's and the library's letters may differ in recent scripts, which lie above this.
+        single = [n.isalpha() and max(n) < "\u2000" for n in normal]
+        model, code = self.tokenizer.model, self.code
+        for word, n in zip((w for w, s in zip(words, single) if s), (n for n, s in zip(normal, single) if s)):
+            found = [t.id for t in model.tokenize(n if n.isascii() else n.encode().decode("latin-1").translate(_BYTE_CHARS))]
+            self.known[word] = struct.pack(f"<{len(found)}{code}", *found)
+        rest = [k for k, s in enumerate(single) if not s]
+        self.known.update(zip((words[k] for k in rest), self._ids([plain[k] for k in rest])))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``width`` bytes."""
         split: list[list[bytes] | None] = []
@@ -163,8 +185,7 @@ class WordEncoder:
                 bare.add(w)
         words = sorted(bare)
         for k in range(0, len(words), 4096):
-            part = words[k : k + 4096]
-            known.update(zip(part, self._ids([w.decode() for w in part])))
+            self._learn(words[k : k + 4096])
         for w, stem, mark in later:
             known[w] = known[stem] + known[mark]
         return [self._ids([t])[0] if ws is None else b"".join(map(known.__getitem__, ws)) for t, ws in zip(texts, split)]
