@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, simhash, spotsigs, token_store, toxicity
+from . import bpe, langid, mixing, quality, simhash, spotsigs, token_store, toxicity
 from .common import table
 
 
@@ -31,6 +31,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return langid.predict(docs, langid.train(docs)).select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
@@ -58,7 +64,7 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op1_token_store": op1_token_store, "op3_toxicity": op3_toxicity, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
+    return {"op1_token_store": op1_token_store, "op3_toxicity": op3_toxicity, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
