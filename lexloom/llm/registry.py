@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, simhash, spotsigs, token_store, toxicity
+from . import bpe, langid, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
 from .common import table
 
 
@@ -57,6 +57,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", *quality.BASE, "base_failed", "score", "kept")
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or template verdict of all pages' urls."""
+    return url_filter.filter_urls(table(spark, sf_dir, "pages", "page_id", "url")).drop("purity")
+
+
 def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SpotSigs fingerprints of all documents and of their edited texts."""
     return spotsigs.edited_and_next(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -64,9 +69,9 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op1_token_store": op1_token_store, "op3_toxicity": op3_toxicity, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
+    return {"op1_token_store": op1_token_store, "op3_toxicity": op3_toxicity, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_url_filter": op8_url_filter, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
     """Name: DuckDB SQL of the same rows."""
-    return {}
+    return {"op8_url_filter": url_filter.sql()}
