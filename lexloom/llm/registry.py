@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
+from . import bpe, html_text, langid, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op1_token_store(spark: SparkSession, sf_dir: str, path: str | None = None) -
     return token_store.digest(docs, path or public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -69,7 +74,7 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op1_token_store": op1_token_store, "op3_toxicity": op3_toxicity, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_url_filter": op8_url_filter, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
+    return {"op1_token_store": op1_token_store, "op2_html_text": op2_html_text, "op3_toxicity": op3_toxicity, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_url_filter": op8_url_filter, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
