@@ -105,7 +105,8 @@ def slots(quota: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> Da
     A source's slots are made in chunks that are dealt out before they are expanded.
     """
     chunks = quota.where("quota > 0").select("source", "n_blocks", "quota", "urn", "slots", F.explode(F.sequence(F.lit(0), F.floor((F.col("quota") - 1) / CHUNK))).alias("chunk"))
-    chunks = chunks.repartition("source", "chunk")
+    parts = int(quota.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(parts, "source", "chunk")  # a given number is not merged again by the few bytes of the chunks
     first = F.col("chunk") * CHUNK
     each = chunks.withColumn("q", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("quota")) - 1)))
     q = F.col("q")
@@ -147,7 +148,7 @@ def mix(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> tuple
     drawn = slots(plan, seed)
     right = drawn.select(F.col("source").alias("s"), F.col("block").alias("k"), "pass", "shard", "position")
     cutted = pieces(places, block_words)
-    joined = cutted.join(right, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k"))).drop("s", "k")
+    joined = cutted.join(right.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k"))).drop("s", "k")
     return places, drawn, joined
 
 
@@ -157,8 +158,9 @@ def taken(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> Dat
     # How often a block is taken, before the join: at most one row a block and source, so a short row meets each piece.
     times = drawn.groupBy("source", "block").agg(F.count("*").alias("times"))
     right = times.select(F.col("source").alias("s"), F.col("block").alias("k"), "times")
-    joined = pieces(places, block_words).join(right, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")))
+    # Expanded rows are far more than their estimated size says: a sort-merge join, never a broadcast.
+    joined = pieces(places, block_words).join(right.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")))
     sums = joined.groupBy(F.col("row").alias("r")).agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     # A document without words shares its start with the next one, and has no pieces.
-    out = places.join(sums, (F.col("size") > 0) & (F.struct("row") == F.struct(F.col("r"))), "left")
+    out = places.join(sums.hint("merge"), (F.col("size") > 0) & (F.struct("row") == F.struct(F.col("r"))), "left")
     return out.select("doc_id", "size", "source_size", F.col("target").cast("double"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
