@@ -164,3 +164,26 @@ def taken(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> Dat
     # A document without words shares its start with the next one, and has no pieces.
     out = places.join(sums.hint("merge"), (F.col("size") > 0) & (F.struct("row") == F.struct(F.col("r"))), "left")
     return out.select("doc_id", "size", "source_size", F.col("target").cast("double"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, seed: int = 0, block_words: int = 2048) -> DataFrame:
+    """The mix as documents: docs (doc_id, source, text and others) once for each pass that takes words of it.
+
+    A pass that takes all of a document gives its text as it is; one that takes some of its blocks gives their
+    words in order, joined by one blank. n_chars, where docs have it, is counted anew. Documents that the
+    mix takes nothing of are left out. Blocks are longer than those of ``taken``, so most documents stay whole.
+    """
+    places, _, joined = mix(docs, seed, block_words)
+    by_pass = joined.groupBy("row", "pass").agg(F.sum("words").alias("n"), F.array_sort(F.collect_list(F.struct("begin", "words"))).alias("cuts"))
+    whole = by_pass.select(F.col("row.doc_id").alias("p0"), F.col("row.tie").alias("p1"), "n", "cuts")
+    names = docs.columns
+    marked = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col("doc_id").alias("k0"), F.xxhash64("text").alias("k1"), F.col("text").alias("body"))
+    # Rows that are equal in id and text take part once here: each of them already has passes of its own.
+    marked = marked.dropDuplicates(["k0", "k1"])
+    both = marked.join(whole.hint("merge"), F.col("k0").eqNullSafe(F.col("p0")) & (F.col("k1") == F.col("p1")))
+    words = F.regexp_extract_all("body", F.lit(WORD), F.lit(0))
+    some = F.transform(F.array(words), lambda ws: F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice(ws, (c["begin"] + 1).cast("int"), c["words"].cast("int")))), " "))[0]
+    text = F.when(F.col("n") == n_words(F.col("body")), F.col("body")).otherwise(some)
+    out = both.withColumn("new", text)
+    fresh = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
+    return out.select(*((fresh[c] if c in fresh else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)))

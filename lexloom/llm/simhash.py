@@ -111,3 +111,26 @@ def simhash_near_dups(docs: DataFrame, width: int = 3) -> DataFrame:
     """
     out = components(cut(fingerprints(docs, width)))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, width: int = 3) -> DataFrame:
+    """One row of each near-duplicate component of docs, with all its columns: that of the smallest doc_id.
+
+    Null ids come last; of rows with one id the one with the smallest text hash stays, and of equal rows one.
+    """
+    key = [F.col("doc_id").isNull().alias("k0"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k1"), F.xxhash64("text").alias("k2")]
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in (b.slice(k, 512) for k in range(0, b.num_rows, 512)):
+                fps = pa.array([fingerprint(t, width) for t in part.column(1).to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), fps], names=["row", "fp"])
+
+    rows = docs.select(F.struct(*key).alias("row"), "text").mapInArrow(each, "row struct<k0:boolean,k1:long,k2:long>, fp long")
+    firsts = cut(rows.groupBy("fp").agg(F.min("row").alias("first")))
+    roots = connected_components(links(firsts.select("fp")))
+    named = firsts.join(roots, firsts.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    winners = named.select("first.*")
+    names = docs.columns
+    marked = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), *key)
+    kept = marked.join(winners, ["k0", "k1", "k2"], "left_semi").dropDuplicates(["k0", "k1", "k2"])
+    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
