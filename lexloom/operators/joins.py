@@ -66,7 +66,7 @@ def containing(terms: DataFrame, bodies: DataFrame, term: str = "term", body: st
     clean = lambda c: F.filter(F.split(F.upper(F.col(c)), "[^A-Z0-9]+"), lambda w: w != "")
     t = terms.withColumn("tw", clean(term)).where(F.size("tw") > 0).withColumn("k", F.array_join(F.slice("tw", 1, words), " ")).withColumn("all", F.array_join("tw", " "))
     b = bodies.withColumn("bw", clean(body)).withColumn("flat", F.concat(F.lit(" "), F.array_join("bw", " "), F.lit(" ")))
-    runs = [F.transform("bw", lambda _, i, n=n: F.when(i + n <= F.size("bw"), F.array_join(F.slice("bw", i + 1, n), " "))) for n in range(1, words + 1)]
+    runs = [F.expr(f"transform(bw, (w, i) -> if(i + {n} <= size(bw), array_join(slice(bw, i + 1, {n}), ' '), null))") for n in range(1, words + 1)]
     b = b.withColumn("k", F.explode(F.array_distinct(F.array_compact(F.concat(*runs)))))
     return t.join(b, "k").where(F.contains("flat", F.concat(F.lit(" "), F.col("all"), F.lit(" ")))).drop("tw", "bw", "k", "all", "flat")
 
