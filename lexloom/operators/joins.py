@@ -31,27 +31,35 @@ def changed(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> Dat
     return a.join(b, key).where(reduce(Column.__or__, (~F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in columns)))
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, most: int, every_tie: bool = False) -> DataFrame:
-    """For each distinct key of left the key of right at least edit distance, up to ``most``.
+def _met(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
+    """Pairs of a and b (distinct strings) within ``most`` edits, with their distance.
 
-    Keys meet only if they can be that near: a key of length n is cut into most + 1 pieces, of which one must occur
-    unchanged in the other, shifted by at most ``most``. Each piece is offered with the lengths of both keys and its
-    place, so the join is on equality and no bucket holds all keys of a length. Keys shorter than most + 1 meet by length.
+    A string of length n is cut into most + 1 pieces, of which one must occur unchanged in any other that is so near,
+    shifted by at most ``most``. Each piece is offered with the length and its number, so the join is on equality
+    and no bucket holds all strings of a length. Strings shorter than most + 1 have empty pieces and meet by length.
     """
-    a, b = left.select(F.col(key).alias("a")).where("a is not null").distinct(), right.select(F.col(key).alias("b")).where("b is not null").distinct()
-    n, parts = F.length("b"), most + 1
-    cuts = F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: F.floor(n * i / parts).cast("int"))
-    ends = F.transform(F.sequence(F.lit(1), F.lit(parts)), lambda i: F.floor(n * i / parts).cast("int"))
-    offered = b.withColumn("n", n).withColumn("p", F.arrays_zip(cuts.alias("x"), ends.alias("y")))
-    offered = offered.select("b", "n", F.posexplode("p").alias("i", "p")).select("b", "n", F.col("i").cast("int"), F.expr("substring(b, p.x + 1, p.y - p.x)").alias("piece"))
-    # What a key of left may hold as piece i of a key of length n.
+    parts = most + 1
+    cut = lambda n, i: F.floor(n * i / parts).cast("int")
+    offered = b.select("b", F.length("b").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(most))).alias("i"))
+    offered = offered.select("b", "n", "i", cut(F.col("n"), F.col("i")).alias("x"), cut(F.col("n"), F.col("i") + 1).alias("y")).select("b", "n", "i", F.expr("substring(b, x + 1, y - x)").alias("piece"))
     look = a.select("a", F.explode(F.sequence(F.greatest(F.length("a") - most, F.lit(0)), F.length("a") + most)).alias("n"))
     look = look.select("a", "n", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("i"))
-    look = look.select("a", "n", "i", F.floor(F.col("n") * F.col("i") / parts).cast("int").alias("x"), F.floor(F.col("n") * (F.col("i") + 1) / parts).cast("int").alias("y"))
+    look = look.select("a", "n", "i", cut(F.col("n"), F.col("i")).alias("x"), cut(F.col("n"), F.col("i") + 1).alias("y"))
     look = look.select("a", "n", "i", "x", "y", F.explode(F.sequence(F.lit(-most), F.lit(most))).alias("s")).where("x + s >= 0 and y + s <= length(a)")
     look = look.select("a", "n", "i", F.expr("substring(a, x + s + 1, y - x)").alias("piece")).distinct()
     met = look.join(offered, ["n", "i", "piece"]).select("a", "b").distinct()
-    near = met.withColumn("distance", F.levenshtein("a", "b", most)).where("distance >= 0")
+    return met.withColumn("distance", F.levenshtein("a", "b", most)).where("distance >= 0")
+
+
+def within(df: DataFrame, key: str, most: int) -> DataFrame:
+    """Pairs a < b of distinct keys within ``most`` edits."""
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    return _met(keys.select(F.col(key).alias("a")), keys.select(F.col(key).alias("b")), most).where("a < b")
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str, most: int, every_tie: bool = False) -> DataFrame:
+    """For each distinct key of left the key of right at least edit distance, up to ``most`` (J6); ties by the key."""
+    near = _met(left.select(F.col(key).alias("a")).where("a is not null").distinct(), right.select(F.col(key).alias("b")).where("b is not null").distinct(), most)
     if every_tie:
         best = near.groupBy("a").agg(F.min("distance").alias("d"))
         return near.join(best, "a").where("distance = d").select("a", "b", "distance")

@@ -1,6 +1,6 @@
 """Queries over the harness tables; importing this package registers them."""
 
-from . import corpus_queries, text_queries  # noqa: F401
+from . import corpus_queries, publish_queries, text_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
