@@ -149,7 +149,9 @@ def headword_kinds(spark, sf):
 @query()
 def near_dup_pairs(spark, sf):
     """Pairs of ratio 0.95 or more (difflib; tested by brute force)."""
-    return V.near_duplicates(lexicon(spark, sf).select(F.upper(F.substring("body", 1, 30)).alias("term")))
+    heads = lexicon(spark, sf).select(F.upper(F.substring("body", 1, 30)).alias("term")).where("length(term) = 30")
+    spoiled = heads.select(F.concat(F.substring("term", 1, 20), F.lit("#"), F.expr("substring(term, 22)")).alias("term"))
+    return V.near_duplicates(heads.unionByName(spoiled))
 
 
 @query(LEX + """, h as (select distinct substr(term, 1, 12) as w from lex where length(term) >= 4) select a.w as a, b.w as b, cast(levenshtein(a.w, b.w) as int) as distance from h a join h b on a.w < b.w and abs(length(a.w) - length(b.w)) <= 1 and levenshtein(a.w, b.w) <= 1""")
