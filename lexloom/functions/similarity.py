@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from .normalize import col, term
+from .normalize import col
 
 #: Letters that recognition mistakes for one another (fixed values).
 CONFUSED = (("O", "C"), ("O", "G"), ("B", "R"), ("B", "H"), ("E", "F"), ("I", "L"), ("I", "T"), ("U", "V"), ("N", "M"), ("Z", "E"), ("0", "O"), ("1", "I"))
@@ -150,4 +150,4 @@ def derivational(a, b) -> Column:
     return F.startswith(long, short) & F.substring(long, F.length(short) + 1, F.length(long)).rlike("^(S|ES|ED|ING|ER|OR|ION|MENT|LY|AL|ABLE|NESS)$")
 
 
-__all__ = [k for k in dir() if not k.startswith("_") and k not in ("pd", "F", "term")]
+__all__ = [k for k in dir() if not k.startswith("_") and k not in ("pd", "F")]

@@ -247,3 +247,89 @@ def repair(entries: DataFrame, fix, batch: int = 50) -> DataFrame:
                 yield part
 
     return entries.select("index", "term", "body").mapInPandas(each, "index long, term string, body string, fixed string, error string")
+
+
+def safe_term_fix(entries: DataFrame) -> DataFrame:
+    """The suggested term where confidence is 0.95 or more and the headword was flagged as different."""
+    safe = (F.col("confidence") >= 0.95) & F.array_contains("flags", "headword_mismatch") & F.col("suggested_term").isNotNull()
+    return entries.withColumn("fixed_term", F.when(safe, F.col("suggested_term")).otherwise(F.col("term")))
+
+
+def reports(entries: DataFrame) -> DataFrame:
+    """Entries for the two review lists: low confidence or flagged, and safe suggestions."""
+    low = (F.col("confidence") < 0.9) | (F.size("flags") > 0)
+    fix = (F.col("confidence") >= 0.9) & F.col("suggested_term").isNotNull() & (F.col("suggested_term") != F.col("term"))
+    return entries.withColumn("report", F.array_compact(F.array(F.when(low, F.lit("low_confidence")), F.when(fix, F.lit("term_fix"))))).where(F.size("report") > 0)
+
+
+def phase_stats(entries: DataFrame) -> DataFrame:
+    """Rows, sourced rows, flagged rows and the share with a source."""
+    out = entries.agg(F.count("*").alias("rows"), F.count_if(F.col("source_headword").isNotNull()).alias("sourced"), F.count_if(F.size("flags") > 0).alias("flagged"))
+    return out.withColumn("share", F.format_string("%.1f%%", 100.0 * F.col("sourced") / F.greatest("rows", F.lit(1))))
+
+
+def boundary_decisions(entries: DataFrame, known: DataFrame) -> DataFrame:
+    """What to do with each entry hidden in a body (K22): extract it, trim the body before it, or reject it.
+
+    entries: index, term, body. A hidden head that is a known term is trimmed off if 30 characters stay and 20 go; an
+    unknown, cleanly read head that files after its parent and has 25 characters is extracted; the first extract of a
+    headword wins (W3).
+    """
+    from .segment import clean_head, embedded
+
+    parts = embedded(entries)
+    own = parts.where("nth = 0").select("index", F.length("text").alias("kept"))
+    hidden = parts.where("nth > 0").join(own, "index").join(entries.select("index", "term"), "index")
+    hidden = hidden.join(known.select(F.col("term").alias("head")).distinct().withColumn("known", F.lit(True)), "head", "left")
+    n, sub = F.length("text"), J.is_subentry(F.col("term"), F.col("head"))
+    action = (
+        F.when(sub, "reject").when(F.col("known") & (F.col("kept") >= 30) & (n >= 20), "trim").when(F.col("known"), "reject")
+        .when(clean_head(F.col("head")) & (n >= 25) & (F.col("head") >= F.col("term")), "extract").otherwise("reject")
+    )
+    out = hidden.select("index", "nth", "head", "text", action.alias("action"))
+    first = out.where("action = 'extract'").groupBy("head").agg(F.min(F.struct("index", "nth")).alias("first"))
+    out = out.join(first, "head", "left")
+    late = (F.col("action") == "extract") & (F.struct("index", "nth") != F.col("first"))
+    return out.select("index", "nth", "head", F.when(late, "reject").otherwise(F.col("action")).alias("action"))
+
+
+def classify_gaps(missing: DataFrame, overlay: DataFrame, live: DataFrame, candidates: DataFrame, most: int = 2) -> DataFrame:
+    """Terms of another corpus that ours lacks: FOUND, RECOVERABLE, SUBENTRY, DEBRIS or NOT_FOUND.
+
+    missing: term; the others have term. Asked in order: overlay exactly and nearly, live, candidates exactly and nearly,
+    a parent that the term begins with, and the look of debris.
+    """
+    found = cascade(missing, [("overlay", overlay), ("overlay_near", overlay), ("live", live), ("candidate", candidates), ("candidate_near", candidates)], most, ("overlay_near", "candidate_near"))
+    parents = live.select(F.col("term").alias("parent")).where("length(parent) >= 4").distinct()
+    starts = missing.select("term").distinct().withColumn("parent", F.regexp_extract("term", r"^([^ ,]+)[ ,]", 1)).join(parents, "parent", "left_semi").select("term", F.lit(True).alias("sub"))
+    f, t = F.col("found_in"), F.col("term")
+    kind = (
+        F.when(f.isin("overlay", "overlay_near", "live"), "FOUND").when(f.isNotNull(), "RECOVERABLE").when(F.col("sub"), "SUBENTRY")
+        .when(t.rlike(r"^[^A-Z]*$|^.{1,2}$|[^A-Z0-9 ,.'&-]{2,}"), "DEBRIS").otherwise("NOT_FOUND")
+    )
+    return found.join(starts, "term", "left").select("term", kind.alias("gap"), "match")
+
+
+def header_gaps(headers: DataFrame, live: DataFrame, overlay: DataFrame, bodies: DataFrame, most: int = 2) -> DataFrame:
+    """Terms of running headers that no entry has: suppressed, fuzzy, subentry, noise or gap."""
+    terms = headers.select(F.explode(F.array("first_term", "last_term")).alias("term")).where("length(term) >= 2").distinct()
+    found = cascade(terms, [("exact", live), ("suppressed", overlay), ("fuzzy", live.unionByName(overlay))], most, ("fuzzy",))
+    inside = J.containing(terms, bodies).select("term").distinct().withColumn("inside", F.lit(True))
+    kind = F.when(F.col("found_in").isNotNull(), F.col("found_in")).when(F.col("inside"), "subentry").when(F.col("term").rlike(r"^\W*$|[0-9]|^.{1,2}$"), "noise").otherwise("gap")
+    return found.join(inside, "term", "left").select("term", kind.alias("kind"), "match")
+
+
+def validate_terms(reference: DataFrame, entries: DataFrame, n: int = 3, cutoff: float = 0.7) -> DataFrame:
+    """Reference terms that no entry has, with up to n close headwords of the same first letter.
+
+    Candidates are the headwords of the letter within half the term's length of edits in length, gathered per missing term.
+    """
+    from ..functions.similarity import ratio
+
+    missing = reference.select(F.upper("term").alias("want")).distinct().join(entries.select(F.col("term").alias("want")).distinct(), "want", "left_anti")
+    heads = entries.select("term").distinct().withColumn("k", F.substring("term", 1, 1))
+    near = missing.withColumn("k", F.substring("want", 1, 1)).join(heads, "k", "left")
+    # 2 * min / (a + b) bounds the ratio.
+    near = near.where(2.0 * F.least(F.length("want"), F.length("term")) / (F.length("want") + F.length("term")) >= cutoff).withColumn("r", ratio()("term", "want")).where(F.col("r") >= cutoff)
+    best = near.groupBy("want").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("r")).alias("r"), "term"))), 1, n).alias("b"))
+    return missing.join(best, "want", "left").select(F.col("want").alias("term"), F.transform("b", lambda x: x["term"]).alias("close"))

@@ -98,3 +98,16 @@ def see_target(body: Column) -> Column:
     """The target of a body that only refers (X6); null for others."""
     got = F.regexp_extract(body, r"^\s*[Ss]ee\s+([A-Z][A-Za-z '&-]{1,80}?)\s*[.,;]?\s*$", 1)
     return F.when(got != "", F.upper(got))
+
+
+def correct(missing: DataFrame, heads: DataFrame, fixes: DataFrame, most: int = 2) -> DataFrame:
+    """A headword for a garbled target (F12): from a table of fixes, else by R for B, else the nearest within ``most`` edits."""
+    from ..functions.similarity import substitutions
+
+    known = heads.select("term").distinct()
+    a = missing.join(fixes.select("term", "fixed"), "term").join(known.withColumnRenamed("term", "fixed"), "fixed", "left_semi").groupBy("term").agg(F.min("fixed").alias("by_table"))
+    made = missing.select("term", F.explode(substitutions("term", 2, (("B", "R"),))).alias("fixed"))
+    b = made.join(known.withColumnRenamed("term", "fixed"), "fixed", "left_semi").groupBy("term").agg(F.min("fixed").alias("by_letter"))
+    c = J.nearest(missing.where("length(term) >= 5"), known, "term", most).select(F.col("a").alias("term"), F.col("b").alias("by_distance"))
+    out = missing.select("term").distinct().join(a, "term", "left").join(b, "term", "left").join(c, "term", "left")
+    return out.select("term", F.coalesce("by_table", "by_letter", "by_distance").alias("fixed"))

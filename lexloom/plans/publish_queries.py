@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import normalize as N
 from ..operators import audit as V
 from ..operators import overlay as O
 from ..operators import segment as G
@@ -371,3 +370,79 @@ def align_terms(spark, sf):
 @query(LEX + "select distinct upper(regexp_replace(term, '[.,;:]+$', '')) as word from lex where length(regexp_replace(term, '[.,;:]+$', '')) > 2")
 def wordlist(spark, sf):
     return io.wordlist(lexicon(spark, sf))
+
+
+FLAGGED = """f as (select index, term, (index % 20) / 20.0::double as confidence, case when index % 3 = 0 then ['headword_mismatch'] when index % 3 = 1 then ['short_body'] else [] end as flags, case when index % 4 = 0 then null when index % 4 = 1 then term else concat(term, 'S') end as suggested_term, case when index % 5 = 0 then null else term end as source_headword from lex)"""
+
+
+def _flagged(spark, sf):
+    i = F.col("index")
+    flags = F.when(i % 3 == 0, F.array(F.lit("headword_mismatch"))).when(i % 3 == 1, F.array(F.lit("short_body"))).otherwise(F.array().cast("array<string>"))
+    suggested = F.when(i % 4 == 0, None).when(i % 4 == 1, F.col("term")).otherwise(F.concat("term", F.lit("S")))
+    return lexicon(spark, sf).select("index", "term", (i % 20 / 20.0).alias("confidence"), flags.alias("flags"), suggested.alias("suggested_term"), F.when(i % 5 != 0, F.col("term")).alias("source_headword"))
+
+
+@query(LEX + f", {FLAGGED} select index, case when confidence >= 0.95 and list_contains(flags, 'headword_mismatch') and suggested_term is not null then suggested_term else term end as fixed_term from f")
+def safe_term_fix(spark, sf):
+    return O.safe_term_fix(_flagged(spark, sf)).select("index", "fixed_term")
+
+
+@query(LEX + f""", {FLAGGED}, r as (select index, confidence < 0.9 or len(flags) > 0 as low, confidence >= 0.9 and coalesce(suggested_term <> term, false) as fix from f)
+select index, concat_ws(',', case when low then 'low_confidence' end, case when fix then 'term_fix' end) as report from r where low or fix""")
+def review_reports(spark, sf):
+    return O.reports(_flagged(spark, sf)).select("index", F.array_join("report", ",").alias("report"))
+
+
+@query(LEX + f", {FLAGGED} select count(*) as rows, count(source_headword) as sourced, count(*) filter (len(flags) > 0) as flagged, printf('%.1f%%', 100.0 * count(source_headword) / greatest(count(*), 1)) as share from f")
+def phase_stats(spark, sf):
+    return O.phase_stats(_flagged(spark, sf))
+
+
+@query(LEX + """, m as (select distinct case when index % 2 = 0 then replace(term, 'R', 'B') else concat(term, 'S') end as term from lex where regexp_matches(term, '^[A-Z ]{5,20}$') and index % 3 = 0), heads as (select distinct term from lex), fx as (select m.term, min(h.term) as t from m join heads h on h.term = left(m.term, length(m.term) - 1) where right(m.term, 1) = 'S' group by m.term),
+n as (select m.term, arg_min(h.term, (levenshtein(m.term, h.term), h.term)) as n from m, heads h where abs(length(m.term) - length(h.term)) <= 2 and levenshtein(m.term, h.term) <= 2 group by m.term),
+one as (select term, substr(term, 1, i::int - 1) || 'R' || substr(term, i::int + 1) as c from m, range(1, 40) t(i) where i <= length(term) and substr(term, i::int, 1) = 'B'), two as (select term, substr(c, 1, i::int - 1) || 'R' || substr(c, i::int + 1) as c from one, range(1, 40) t(i) where i <= length(c) and substr(c, i::int, 1) = 'B'),
+b as (select term, min(c) as b from (select * from one union all select * from two) where c in (select term from heads) group by term)
+select m.term, coalesce(fx.t, b.b, n.n) as fixed from m left join fx on fx.term = m.term left join b on b.term = m.term left join n on n.term = m.term""")
+def xref_correction(spark, sf):
+    from ..operators import xref as X
+
+    lex, i = lexicon(spark, sf), F.col("index")
+    made = F.when(i % 2 == 0, F.replace("term", F.lit("R"), F.lit("B"))).otherwise(F.concat("term", F.lit("S")))
+    m = lex.where(F.col("term").rlike("^[A-Z ]{5,20}$") & (i % 3 == 0)).select(made.alias("term")).distinct()
+    fixes = m.where("right(term, 1) = 'S'").select("term", F.expr("left(term, length(term) - 1)").alias("fixed"))
+    return X.correct(m, lex, fixes)
+
+
+@query(LEX + """, b as (select distinct split_part(term, ' ', 1) as w, index from lex where regexp_matches(term, '^[A-Z]{4,12} ')), m as (select distinct case index % 4 when 0 then w when 1 then concat(w, 'Q') when 2 then concat(w, ' SUBENTRY OF IT') else concat('QQ', index, 'XX') end as term from b where index % 2 = 0 or index % 4 = 3 or index % 4 = 1),
+ov as (select distinct w as term from b where index % 3 = 0), lv as (select distinct w as term from b where index % 3 = 1), cd as (select distinct w as term from b where index % 3 = 2),
+x as (select m.term, exists (select 1 from ov where ov.term = m.term or levenshtein(ov.term, m.term) <= 2) or exists (select 1 from lv where lv.term = m.term) as found, exists (select 1 from cd where levenshtein(cd.term, m.term) <= 2) as rec, exists (select 1 from lv where lv.term = regexp_extract(m.term, '^([^ ,]+)[ ,]', 1) and length(lv.term) >= 4) as sub from m)
+select term, case when found then 'FOUND' when rec then 'RECOVERABLE' when sub then 'SUBENTRY' when regexp_matches(term, '^[^A-Z]*$|^.{1,2}$|[^A-Z0-9 ,.''&-]{2,}') then 'DEBRIS' else 'NOT_FOUND' end as gap from x""")
+def gap_classify(spark, sf):
+    i = F.col("index")
+    b = lexicon(spark, sf).where(F.col("term").rlike("^[A-Z]{4,12} ")).select(F.split_part("term", F.lit(" "), F.lit(1)).alias("w"), "index")
+    made = F.when(i % 4 == 0, F.col("w")).when(i % 4 == 1, F.concat("w", F.lit("Q"))).when(i % 4 == 2, F.concat("w", F.lit(" SUBENTRY OF IT"))).otherwise(F.concat(F.lit("QQ"), i.cast("string"), F.lit("XX")))
+    part = lambda k: b.where(i % 3 == k).select(F.col("w").alias("term"))
+    return O.classify_gaps(b.select(made.alias("term")).distinct(), part(0), part(1), part(2)).select("term", "gap")
+
+
+@query()
+def boundary_decisions(spark, sf):
+    """Decisions on entries hidden in bodies (tested by hand-made cases)."""
+    lex = lexicon(spark, sf)
+    e = lex.select("index", "term", F.concat(F.substring("body", 1, 60), F.lit("\n\n"), F.upper(F.regexp_extract("body", "[A-Za-z]{4,}", 0)), F.lit(". A thing that is long enough to stand")).alias("body"))
+    return O.boundary_decisions(e, lex.where("index % 2 = 0")).groupBy("action").agg(F.count("*").alias("n"))
+
+
+@query()
+def header_gaps(spark, sf):
+    """Kinds of running-header terms (parts have SQL twins; tested by hand-made cases)."""
+    lex = lexicon(spark, sf)
+    h = lex.where("index % 5 = 0").select(F.split_part("term", F.lit(" "), F.lit(1)).alias("first_term"), F.concat("term", F.lit("X")).alias("last_term"))
+    return O.header_gaps(h, lex.where("index % 2 = 0").select("term"), lex.where("index % 2 = 1").select("term"), lex.where("index % 10 = 0").select("index", "body")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query()
+def validate_terms(spark, sf):
+    """Missing reference terms with close headwords (difflib; tested by hand-made cases)."""
+    part = table(spark, sf, "part").select(F.upper("p_name").alias("term")).distinct()
+    return O.validate_terms(part.select(F.concat("term", F.lit("X")).alias("term")), part).select("term", F.array_join("close", "|").alias("close"))

@@ -194,3 +194,15 @@ def test_exact_forms(spark):
     assert [r[0] for r in df.select(N.chars_exact("t")).collect()] == ['fi"x" é-', None]
     assert [r[0] for r in df.select(N.unmarked_exact("t")).collect()] == ["fi“x” e–", None]
     assert one(spark, N.term(F.lit(" Café  au lait.;"))) == "CAFE AU LAIT" and one(spark, N.header_term(F.lit("[“æther.]"))) in ("“AETHER", "AETHER")
+
+
+def test_boundaries_and_gaps(spark):
+    body = "BAIL is a security given for the appearance of one\n\nBALL. A round thing that one throws at others\n\nBAIL BOND. A bond of it that is given to court\n\nZEBRA. An"
+    e = spark.createDataFrame([(1, "BAIL", body), (2, "BAKER", "A baker of bread and of other things\n\nBALL. A round thing that one throws at others")], "index long, term string, body string")
+    got = {(r["index"], r.head): r.action for r in O.boundary_decisions(e, spark.createDataFrame([("ZEBRA",)], "term string")).collect()}
+    assert got == {(1, "BALL"): "extract", (1, "BAIL BOND"): "reject", (1, "ZEBRA"): "reject", (2, "BALL"): "reject"}
+    t = lambda *x: spark.createDataFrame([(w,) for w in x], "term string")
+    h = spark.createDataFrame([("BAIL", "BALX"), ("TRUST", "12")], "first_term string, last_term string")
+    b = spark.createDataFrame([(1, "a trust, held")], "index long, body string")
+    assert {r.term: r.kind for r in O.header_gaps(h, t("BAIL"), t("BALL"), b, 1).collect()} == {"BAIL": "exact", "BALX": "fuzzy", "TRUST": "subentry", "12": "noise"}
+    assert {r.term: r.close for r in O.validate_terms(t("bail", "balx", "zzz"), t("BAIL", "BALL")).collect()} == {"BALX": ["BAIL", "BALL"], "ZZZ": None}
