@@ -12,7 +12,6 @@ import public_tokenizers
 from lexloom.llm import bpe, mixing, quality, simhash, toxicity
 from lexloom.llm.common import shared_dir, table
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -40,8 +39,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document and the hashes of ids and of what they decode to."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    """Token ids of each document and the hashes of ids and of what they decode to.
+
+    The executors' heaps have grown in the stages before, so the workers remember less than they do by default.
+    """
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, states=40_000, pieces=240_000)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", keep_quality), ("near_copies", drop_near_copies), ("mixing", mix_sources), ("tokens", tokenize)]

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from struct import pack
 
@@ -29,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATES, PIECES = 80_000, 350_000
+STATES, PIECES, FEW = 160_000, 1_000_000, 12
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,21 +53,55 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Transducer:
     """Deterministic states, made lazily: number -> {byte: (number, tokens emitted)}; final outputs by number."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], states: int | None = None):
+        self.ranks, self.states = ranks, states or STATES
         self.tokens = {r: b for b, r in ranks.items()}
         #: Beginnings of entries: the rank of those that are entries themselves, else -1.
         self.begins = {b[:k]: -1 for b in ranks for k in range(1, len(b) + 1)} | ranks
+        self.entries = sorted(ranks)
         self.sound: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = ({}, {})
         self.follows: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
-        # A path: (tokens written but not emitted, the last token written or -1, open bytes).
-        start = (((), -1, b""),)
+        # A path is (the last token written or -1, open bytes); it has a number, and moves[number << 8 | byte] is
+        # [number of the path grown by byte or -1, token or -1 that its bytes then are, its path or -1, -2: not looked into].
+        self.path_number: dict[tuple[int, bytes], int] = {(-1, b""): 0}
+        self.path_list: list[tuple[int, bytes]] = [(-1, b"")]
+        self.moves: dict[int, list[int]] = {}
+        # A state: for each path, tokens written but not emitted; and the paths.
+        start = (((),), (0,))
         self.paths, self.number, self.next, self.end = [start], {start: 0}, [{}], [()]
 
+    def _path(self, last: int, opened: bytes) -> int:
+        at = self.path_number.setdefault((last, opened), len(self.path_list))
+        if at == len(self.path_list):
+            self.path_list.append((last, opened))
+        return at
+
+    def _move(self, path: int, byte: int) -> list[int]:
+        last, opened = self.path_list[path]
+        entry = opened + bytes((byte,))
+        token = self.begins.get(entry)
+        if token is None or not self._alive(last, entry):
+            out = [-1, -1, -1]
+        else:
+            out = [self._path(last, entry), token, -2 if token >= 0 else -1]
+        self.moves[path << 8 | byte] = out
+        return out
+
+    def _alive(self, last: int, opened: bytes) -> bool:
+        """False only if no entry that begins with the open bytes may follow the last token; looks into FEW entries at most."""
+        low = bisect_left(self.entries, opened)
+        few = self.entries[low : low + FEW + 1]
+        for entry in few:
+            if not entry.startswith(opened):
+                return False
+            if self._may_follow(last, self.ranks[entry]):
+                return True
+        return len(few) > FEW
+
     def _edge(self, token: int, right: bool) -> list[tuple[bytes, float]]:
         """How a token's outermost part at one side grows: (bytes, rank at which it is merged into the next)."""
         known = self.edges[right]
@@ -105,7 +140,7 @@ class Transducer:
         key = last << 32 | token
         known = self.follows.get(key)
         if known is None:
-            if len(self.follows) >= 8 * STATES:
+            if len(self.follows) >= 8 * self.states:
                 self.follows.clear()
             known = self._is_sound(token) and self._apart(self._edge(last, True), self._edge(token, False))
             self.follows[key] = known
@@ -128,21 +163,25 @@ class Transducer:
 
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The transition, worked out by following all paths."""
-        one, grown, whole, begins = bytes((byte,)), [], None, self.begins
-        for written, last, opened in self.paths[state]:
-            entry = opened + one
-            token = begins.get(entry)
-            if token is None:
+        moves, writes, paths, whole = self.moves, [], [], -1
+        for written, path in zip(*self.paths[state]):
+            move = moves.get(path << 8 | byte) or self._move(path, byte)
+            if move[0] < 0:
                 continue
-            if token >= 0 and whole is None and self._may_follow(last, token):
-                whole = (written + (token,), token, b"")  # the one encoding of all bytes so far
-            grown.append((written, last, entry))
-        if whole is None:
+            if move[1] >= 0 and whole < 0:
+                if move[2] == -2:
+                    move[2] = self._path(move[1], b"") if self._may_follow(self.path_list[path][0], move[1]) else -1
+                if move[2] >= 0:  # the one encoding of all bytes so far
+                    whole, last = move[2], (*written, move[1])
+            writes.append(written)
+            paths.append(move[0])
+        if whole < 0:
             raise ValueError(f"no vocabulary entry ends at byte {byte}")
-        grown.append(whole)
-        out = grown[0][0]
+        writes.append(last)
+        paths.append(whole)
+        out = writes[0]
         if out:
-            for written, _, _ in grown:
+            for written in writes:
                 if written[: len(out)] != out:
                     shared = 0
                     while shared < min(len(out), len(written)) and written[shared] == out[shared]:
@@ -150,23 +189,37 @@ class Transducer:
                     out = out[:shared]
             if out:
                 n = len(out)
-                grown = [(w[n:], last, opened) for w, last, opened in grown]
-        paths = tuple(grown)
-        at = self.number.get(paths)
+                writes = [w[n:] for w in writes]
+        key = (tuple(writes), tuple(paths))
+        at = self.number.get(key)
         if at is None:
-            at = self.number[paths] = len(self.paths)
-            self.paths.append(paths)
+            at = self.number[key] = len(self.paths)
+            self.paths.append(key)
             self.next.append({})
-            self.end.append(paths[-1][0])
+            self.end.append(writes[-1])
         self.next[state][byte] = (at, out)
         return at, out
 
+    def _only(self, state: int) -> int:
+        """Forgets all states and paths but one state, and gives its new number."""
+        writes, paths = self.paths[state]
+        held = [self.path_list[p] for p in paths]
+        self._reset()
+        key = (writes, tuple(self._path(*p) for p in held))
+        if key in self.number:
+            return 0
+        self.number[key] = 1
+        self.paths.append(key)
+        self.next.append({})
+        self.end.append(writes[-1])
+        return 1
+
     def encode(self, piece: bytes) -> list[int]:
         """Tokens of one piece; a piece that is an entry of the vocabulary is that token."""
         token = self.ranks.get(piece)
         if token is not None:
             return [token]
-        if len(self.paths) > STATES:
+        if len(self.paths) > self.states or len(self.moves) > 4 * self.states:
             self._reset()
         out: list[int] = []
         at, moves = 0, self.next
@@ -174,14 +227,8 @@ class Transducer:
             hit = moves[at].get(byte)
             if hit is None:
                 hit = self.step(at, byte)
-                if len(self.paths) > 2 * STATES:  # a very long piece: keep only where it stands
-                    here = self.paths[hit[0]]
-                    self._reset()
-                    self.paths.append(here)
-                    self.number[here] = 1
-                    self.next.append({})
-                    self.end.append(here[-1][0])
-                    hit, moves = (1, hit[1]), self.next
+                if len(self.paths) > 2 * self.states or len(self.moves) > 8 * self.states:  # a very long piece: keep only where it stands
+                    hit, moves = (self._only(hit[0]), hit[1]), self.next
             at, emitted = hit
             if emitted:
                 out += emitted
@@ -227,13 +274,18 @@ class Utf8Stream:
         return low <= second <= high
 
 
+#: What keeps a text from being looked up by parts: white space side by side, ASCII and other white space (fixed values).
+_TIGHT = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+_BLANKS = ("\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
+_ENDS = (" ", "\n")
+
+
 class Codec:
     """Encodes and decodes whole texts with one vocabulary and one pattern of pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.fst = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, states: int | None = None, pieces: int | None = None):
+        self.fst, self.most = Transducer(ranks, states), pieces or PIECES
         self.pattern = regex.compile(pattern)
-        self.runs = regex.compile(r"\s\s|[\s--[ \n]]", regex.V1)
         self.spaced, self.first, self.pieces = _Known(self, b" "), _Known(self, b""), {}
         self.newline, self.marks = self.ids_of("\n"), {m: self.ids_of(m) for m in ".,"}
         self.bytes = [self.fst.tokens.get(k, b"") for k in range(max(self.fst.tokens, default=-1) + 1)]
@@ -244,7 +296,7 @@ class Codec:
         for piece in self.pattern.findall(text):
             raw = piece.encode()
             if (ids := self.pieces.get(raw)) is None:
-                if len(self.pieces) >= PIECES:
+                if 4 * len(self.pieces) >= self.most:
                     self.pieces.clear()
                 ids = pack(f"<{len(found := self.fst.encode(raw))}I", *found)
                 if len(raw) <= 64:
@@ -258,7 +310,7 @@ class Codec:
         Where all white space is single blanks and line feeds, no match crosses the place before a blank or
         around a line feed, so parts between these are looked up by themselves; other texts are matched whole.
         """
-        if self.runs.search(text) or text[:1].isspace() or text[-1:].isspace():
+        if any(map(text.__contains__, _TIGHT)) or text[:1] in _ENDS or text[-1:] in _ENDS or (not text.isascii() and any(map(text.__contains__, _BLANKS))):
             return self.ids_of(text)
         lines = []
         for line in text.split("\n"):
@@ -274,13 +326,19 @@ class Codec:
 
 
 class _Known(dict):
-    """Ids of a part of a text after a given beginning; emptied when it holds PIECES parts."""
+    """Ids of a part of a text after a given beginning, for a given number of parts at most.
+
+    When half of them are here, they become the older half, from which parts that are met again come back.
+    """
 
     def __init__(self, codec: Codec, before: bytes):
         super().__init__()
-        self.codec, self.before = codec, before.decode()
+        self.codec, self.before, self.older = codec, before.decode(), {}
 
     def __missing__(self, part: str) -> bytes:
+        if (ids := self.older.get(part)) is not None:
+            self[part] = ids
+            return ids
         code = self.codec
         if part[-1:] in (".", ",") and len(part) > 1 and part[:-1].isalpha():  # a match ends before the mark
             return self[part[:-1]] + code.marks[part[-1]]
@@ -289,26 +347,29 @@ class _Known(dict):
         else:
             ids = code.ids_of(self.before + part)
         if len(part) <= 64:
-            if len(self) >= PIECES:
+            if 2 * len(self) >= code.most:
+                self.older = dict(self)
                 self.clear()
             self[part] = ids
         return ids
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
+_CODECS: dict[tuple, Codec] = {}
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, states: int | None = None, pieces: int | None = None) -> Codec:
     """The codec of a rank file, one a process."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = Codec(read_ranks(path), pattern)
-    return _CODECS[path, pattern]
+    key = (path, pattern, states, pieces)
+    if key not in _CODECS:
+        _CODECS[key] = Codec(read_ranks(path), pattern, states, pieces)
+    return _CODECS[key]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True, states: int | None = None, pieces: int | None = None) -> DataFrame:
     """docs (doc_id, text) as doc_id, n_tokens, ids (array of ints, on request), ids_sha256 and decoded_sha256.
 
     Null texts count as empty: no ids. The decoded text is what the ids give back, as UTF-8. Rows repeat as in docs.
+    states and pieces bound what a worker remembers (about 0.5 GB by default); they change its speed only.
     """
     fields = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
@@ -320,9 +381,9 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
         return [len(ids) // 4, hashlib.sha256(ids).hexdigest(), back.hexdigest(), *([np.frombuffer(ids, "<i4")] if with_ids else [])]
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = codec(path, pattern)
+        code = codec(path, pattern, states, pieces)
         for whole in batches:
-            for b in (whole.slice(k, 256) for k in range(0, whole.num_rows, 256)):
+            for b in (whole.slice(k, 128) for k in range(0, whole.num_rows, 128)):
                 columns = list(zip(*(one(code, t) for t in b.column(1).to_pylist()))) or [[]] * (3 + with_ids)
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), k) for c, k in zip(columns, kinds))], names=[x.split()[0] for x in fields.split(", ")])
