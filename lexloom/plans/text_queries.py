@@ -52,6 +52,7 @@ def longest_bodies(spark, sf):
 STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
 WS = "regexp_replace({}, '\\s+', ' ', 'g')"
 WORDY = "substr(text, 1, 200)"
+FOLDED_LOW = f"translate({WORDY}, '{FOLD_FROM}', '{FOLD_TO}')"  # a sharp s is no letter of search keys
 FOLDED200 = f"translate(replace({WORDY}, 'ß', 'ss'), '{FOLD_FROM}', '{FOLD_TO}')"
 
 
@@ -69,12 +70,12 @@ def norm_plain(spark, sf):
     return _heads(spark, sf).select("doc_id", N.norm("t").alias("norm"))
 
 
-@query(f"""select doc_id, {STRIP.format(f"regexp_replace(lower({FOLDED200}), '[^a-z0-9]+', ' ', 'g')")} as key from documents where lang <> 'de'""")
+@query(f"""select doc_id, {STRIP.format(f"regexp_replace(lower({FOLDED_LOW}), '[^a-z0-9]+', ' ', 'g')")} as key from documents where lang <> 'de'""")
 def norm_search(spark, sf):
     return _heads(spark, sf).select("doc_id", N.search_key("t").alias("key"))
 
 
-@query(f"""select doc_id, regexp_replace(regexp_replace(lower({FOLDED200}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from documents where lang <> 'de'""")
+@query(f"""select doc_id, regexp_replace(regexp_replace(lower({FOLDED_LOW}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from documents where lang <> 'de'""")
 def slugify(spark, sf):
     return _heads(spark, sf).select("doc_id", N.slug("t").alias("slug"))
 
