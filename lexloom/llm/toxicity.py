@@ -96,30 +96,29 @@ def _logistic(z):
 
 def fit(texts: list[str], labels: np.ndarray, steps: int = STEPS) -> Model:
     """Maximises the noisy-or likelihood by Adam over all bags at once; without both labels the score is the label's share."""
-    toxic, all_docs, known = Counter(), Counter(), {}
-
-    def of(word: str) -> list[str]:  # the sample is bounded, and so are its words
-        if word not in known:
-            known[word] = features(word)
-        return known[word]
-
-    for text, y in zip(texts, labels):
-        found = {f for w in set(text.split()) for f in of(w)}
-        all_docs.update(found)
-        if y:
-            toxic.update(found)
     share = labels.mean() if len(labels) else 0.0
     if not len(labels) or share in (0.0, 1.0):
         return Model({}, -20.0 if share < 1 else 20.0)
     least = max(LEAST, int(labels.sum() / 100))
-    gain = {f: n * np.log(n / (all_docs[f] * share)) for f, n in toxic.items() if n >= least and n > 1.5 * all_docs[f] * share}
+    # Only features of enough toxic texts are counted in the others, so few of the sample's words are held.
+    found_in = lambda text: {f for w in set(text.split()) for f in features(w)}
+    toxic, all_docs = Counter(), Counter()
+    for text, y in zip(texts, labels):
+        if y:
+            toxic.update(found_in(text))
+    toxic = Counter({f: n for f, n in toxic.items() if n >= least})
+    for text in texts:
+        all_docs.update(f for f in found_in(text) if f in toxic)
+    gain = {f: n * np.log(n / (all_docs[f] * share)) for f, n in toxic.items() if n > 1.5 * all_docs[f] * share}
     names = sorted(gain, key=lambda f: (-gain[f], f))[:FEATURES]
     index = {f: k for k, f in enumerate(names)}
-    words: dict[str, list[int]] = {}
+    words: dict[str, tuple[int, ...]] = {}
 
-    def kept(word: str) -> list[int]:
+    def kept(word: str) -> tuple[int, ...]:
         if word not in words:
-            words[word] = [index[f] for f in of(word) if f in index]
+            if len(words) >= _CACHE:
+                words.clear()
+            words[word] = tuple(index[f] for f in features(word) if f in index)
         return words[word]
 
     # Sentences without a kept feature differ only in number; the others are rows of (bag, features).
