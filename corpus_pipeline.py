@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from lexloom.llm import bpe, mixing, quality, simhash, toxicity
+from lexloom.llm import bpe, mixing, near_copies, quality, toxicity
 from lexloom.llm.common import shared_dir, table
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,8 +29,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
-    return simhash.keep_first(docs.select(*COLUMNS))
+    """One document of each component of near copies: SimHash links and five-word Jaccard of 0.8 or more."""
+    return near_copies.keep_first(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
