@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from ..functions import normalize as N
 from ..functions import similarity as S
+from ..operators import audit as V
 from ..operators import joins as J
 from ..operators import search as Q
 from .lexicon import FOLD_FROM, FOLD_TO, SQL, lexicon, table
@@ -278,9 +279,7 @@ def fuzzy_all_ties(spark, sf):
 @query()
 def near_dup_ratio(spark, sf):
     """Headword pairs of ratio 0.95 or more within a first letter; SQL has no such ratio (tested by brute force)."""
-    heads = table(spark, sf, "part").select(F.upper("p_name").alias("w")).distinct()
-    near = J.nearest(heads.select("w"), heads.select("w"), "w", 2, every_tie=True)
-    return near.select("a", "b", S.ratio()("a", "b").alias("ratio"))
+    return V.near_duplicates(table(spark, sf, "part").select(F.upper("p_name").alias("term")))
 
 
 @query()
