@@ -1,11 +1,15 @@
 """Near copies for the pipeline: SimHash links and every pair of five-word Jaccard likeness of THRESHOLD or more.
 
-Candidates: of two sets with likeness t or more, the first |A| - ceil(t |A|) + 1 shingles of each, in any one order of
-all shingles, have one in common. The order is by hash, with shingles often seen in a sample last; the sample decides
-the cost only. So no pair is missed.
+Candidates: of two sets with likeness t or more, the first |A| - ceil(t |A|) + 1 shingles of each (its head), in any
+one order of all shingles, have one in common. The order is by hash, with shingles often seen in a sample last; the
+sample decides the cost only. So no pair is missed. Of each candidate pair the sizes, the places of the common
+shingle and the parities of both sets must allow the likeness; what is left is compared shingle by shingle.
 
 Only components count, so that a group of near copies needs no square of pairs: of those that share a shingle each is
-compared with the smallest, and only those unlike it with the others, as far as they are not connected yet.
+compared with STARS of them, and only those not connected with the first of these afterwards with the others.
+
+What is stored and shuffled are heads (a fifth of the shingles) and parities (a bit or two a shingle), not the sets;
+the sets of the few documents that need an exact comparison are made from their texts again.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut, shared_dir
@@ -25,8 +30,10 @@ from .simhash import _LOWER, SEED, fingerprint
 from .simhash import links as simhash_links
 
 WIDTH, THRESHOLD = 5, 0.8
-#: Documents looked at for common shingles, in how many a shingle is common, and how many are remembered at most.
-SAMPLE, OFTEN, REMEMBERED = 10_000, 10, 50_000
+#: Documents looked at for common shingles, in how many a shingle is common, and how many are remembered at most (8 bytes each).
+SAMPLE, OFTEN, REMEMBERED = 4_000, 4, 200_000
+#: How many members of those that share a shingle all others are compared with first.
+STARS = 2
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -42,6 +49,16 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())], np.uint64).view(np.int64))
 
 
+def parity(sigs: np.ndarray) -> np.ndarray:
+    """Bit h mod m is set if an odd number of hashes have it; m is a power of two of 2 to 4 bits a hash, 64 at least.
+
+    The bits in which the parities of two sets differ are no more than the elements in which the sets do.
+    """
+    m = max(64, 1 << (2 * len(sigs) - 1).bit_length()) if len(sigs) else 64
+    odd = np.bincount((sigs & (m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _common(docs: DataFrame) -> np.ndarray:
     """Shingles of many documents, ascending."""
     n = docs.select(F.count("*")).first()[0]
@@ -61,9 +78,11 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
 
 
 def _rows(docs: DataFrame, key: list[Column], common: np.ndarray) -> DataFrame:
-    """row, fp, node (a hash of the shingle set), head (the shingles by which it meets others) and sigs (the set)."""
+    """row, fp, node (a hash of the shingle set), n (its size), head (the shingles by which it meets others) and parity."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = shared.value
         for b in batches:
             for part in (b.slice(k, 128) for k in range(0, b.num_rows, 128)):
                 texts = part.column(1).to_pylist()
@@ -76,41 +95,76 @@ def _rows(docs: DataFrame, key: list[Column], common: np.ndarray) -> DataFrame:
                     heads.append(ordered[: n + (-4 * n // 5) + 1] if n else s)  # n - ceil(0.8 n) + 1, in whole numbers
                 nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64).view(np.int64)
                 fps = pa.array([fingerprint(t) for t in texts], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), fps, pa.array(nodes, pa.int64()), _lists(heads), _lists(sets)], names=["row", "fp", "node", "head", "sigs"])
+                sizes = pa.array([len(s) for s in sets], pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), fps, pa.array(nodes, pa.int64()), sizes, _lists(heads), _lists([parity(s) for s in sets])], names=["row", "fp", "node", "n", "head", "parity"])
+
+    return docs.select(F.struct(*key).alias("row"), "text").mapInArrow(each, "row struct<k0:boolean,k1:long,k2:long>, fp long, node long, n int, head array<long>, parity array<long>")
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """(node, sigs) of texts (node, text)."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in (b.slice(k, 128) for k in range(0, b.num_rows, 128)):
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists([shingles(t) for t in part.column(1).to_pylist()])], names=["node", "sigs"])
 
-    return docs.select(F.struct(*key).alias("row"), "text").mapInArrow(each, "row struct<k0:boolean,k1:long,k2:long>, fp long, node long, head array<long>, sigs array<long>")
+    return texts.select("node", "text").mapInArrow(each, "node long, sigs array<long>").dropDuplicates(["node"])
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) with likeness of THRESHOLD or more."""
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    sets = sets.select("node", "sigs").join(ids, "node", "left_semi")
+def _may_be_alike(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """Of pairs (a, b) those whose sizes and parities allow a likeness of THRESHOLD.
+
+    Likeness of 4 / 5 leaves the ninth part of both sizes at most to differ in. Sizes then differ by a fourth at most, so
+    the longer parity is at most twice the other; folded in the middle it is that of the smaller modulus.
+    """
+    one, two = (whole.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}")) for x in "ab")
+    both = pairs.join(one, "a").join(two, "b").where("5 * least(na, nb) >= 4 * greatest(na, nb)")
+    k = F.least(F.size("pa"), F.size("pb"))
+    fold = lambda p: F.when(F.size(p) > k, F.zip_with(F.slice(p, F.lit(1), k), F.slice(p, k + 1, k), lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(p))
+    apart = F.aggregate(F.zip_with(fold("pa"), fold("pb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return both.where(9 * apart <= F.col("na") + F.col("nb")).select("a", "b")
+
+
+def _alike(pairs: DataFrame, whole: DataFrame, texts) -> DataFrame:
+    """pairs (a, b) with likeness of THRESHOLD or more; texts gives (node, text) of what is asked for."""
+    pairs = cut(_may_be_alike(pairs, whole))
+    sets = cut(_sets(texts(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
     one, two = sets.select(F.col("node").alias("a"), F.col("sigs").alias("sa")), sets.select(F.col("node").alias("b"), F.col("sigs").alias("sb"))
     both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
     return both.where(5 * F.col("common") >= 4 * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
 
 
-def set_links(sets: DataFrame) -> DataFrame:
+def _close(a: str, b: str) -> Column:
+    """Likeness needs 4 / 9 of both sizes in common; after the first shingle in common no more than what is left can be."""
+    left = F.least(F.col(f"n{a}") - F.col(f"p{a}"), F.col(f"n{b}") - F.col(f"p{b}"))
+    return 9 * left >= 4 * (F.col(f"n{a}") + F.col(f"n{b}"))
+
+
+def set_links(whole: DataFrame, texts) -> DataFrame:
     """Edges (a, b) that connect exactly what the pairs of likeness THRESHOLD or more connect.
 
-    sets: distinct node, with n (its size), head and sigs.
+    whole: distinct node, with n (its size), head and parity. The pair's first common shingle is in both heads, and there
+    the test by place holds; so whatever is alike passes it in one of the groups that share a shingle.
     """
-    each = sets.select("node", "n", F.posexplode("head").alias("at", "sig"))
-    shared = each.groupBy("sig").agg(F.count("*").alias("often"), F.min("node").alias("least")).where("often > 1").select("sig", "least")
-    met = cut(each.join(shared, "sig"))
-    pairs = met.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    first = cut(_alike(pairs, sets))
+    each = whole.select("node", "n", F.posexplode("head").alias("at", "sig"))
+    # A group that shares a shingle is one of few columns; common shingles come last, so few heads hold them.
+    group = W.partitionBy("sig")
+    stars = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "at")).over(group).alias(f"s{k}") for k in range(STARS)]
+    met = each.withColumn("often", F.count("*").over(group)).where("often > 1").select("sig", "node", "n", "at", *stars)
+    met = cut(met)
+    ends = F.explode(F.array(*(F.struct(F.col(f"s{k}.node").alias("a"), F.col(f"s{k}.n").alias("na"), F.col(f"s{k}.at").alias("pa")) for k in range(STARS)))).alias("s")
+    pairs = met.select("s0", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), ends).select("s.*", "b", "nb", "pb")
+    pairs = pairs.where((F.col("a") != F.col("b")) & _close("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    first = cut(_alike(pairs, whole, texts))
     roots = cut(connected_components(first))
-    # What is unlike the least node of its shingle, or not connected with it, is compared with the others of the shingle.
-    named = met.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    tops = roots.select(F.col("node").alias("least"), F.col("root").alias("top"))
-    named = cut(named.join(tops, "least", "left").withColumn("top", F.coalesce("top", "least")).select("sig", "least", "node", "n", "at", "root", "top"))
-    outside = named.where("root <> top").select("sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("root").alias("ra"))
-    others = named.where("node <> least").select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("root").alias("rb"))
-    # Likeness needs 4 / 9 of both sizes in common; after the first shingle in common no more than what is left can be.
-    close = (F.col("ra") != F.col("rb")) & (9 * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= 4 * (F.col("na") + F.col("nb")))
-    more = outside.join(others, "sig").where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return first.unionByName(_alike(more, sets))
+    named = met.select("sig", "node", "n", "at", F.col("s0.node").alias("star")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    tops = roots.select(F.col("node").alias("star"), F.col("root").alias("top"))
+    named = cut(named.join(tops, "star", "left").select("sig", "node", "n", "at", "root", (F.col("root") != F.coalesce("top", "star")).alias("outside")))
+    one = named.where("outside").select("sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("root").alias("ra"))
+    two = named.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("root").alias("rb"))
+    more = one.join(two, "sig").where((F.col("ra") != F.col("rb")) & _close("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return first.unionByName(_alike(more, whole, texts))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -125,9 +179,14 @@ def keep_first(docs: DataFrame) -> DataFrame:
     _rows(docs, key, _common(docs)).write.parquet(folder)
     rows = docs.sparkSession.read.parquet(folder)
     firsts = cut(rows.groupBy("fp", "node").agg(F.min("row").alias("first")))
-    sets = rows.where(F.size("sigs") > 0).groupBy("node").agg(F.min("row").alias("row"))
-    whole = rows.join(sets, ["node", "row"], "left_semi").dropDuplicates(["node"]).select("node", F.size("sigs").alias("n"), "head", "sigs")
-    likes = cut(set_links(whole))
+    # Head and parity follow from the set, so any row of a node gives them.
+    whole = rows.where("n > 0").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("head").alias("head"), F.any_value("parity").alias("parity"))
+
+    def texts(nodes: DataFrame) -> DataFrame:
+        owners = firsts.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("first").alias("first")).select("node", "first.*")
+        return docs.select("text", *key).join(owners, ["k0", "k1", "k2"]).select("node", "text")
+
+    likes = cut(set_links(whole, texts))
     linked = likes.select(F.col("a").alias("node")).unionByName(likes.select(F.col("b").alias("node")))
     several = firsts.groupBy("node").agg(F.count("*").alias("m")).where("m > 1").select("node")
     ties = firsts.join(linked.unionByName(several).distinct(), "node", "left_semi").select(F.col("fp").alias("a"), F.col("node").alias("b"))
