@@ -5,8 +5,9 @@ one order of all shingles, have one in common. The order is by hash, with shingl
 sample decides the cost only. So no pair is missed. Of each candidate pair the sizes, the places of the common
 shingle and the parities of both sets must allow the likeness; what is left is compared shingle by shingle.
 
-Only components count, so that a group of near copies needs no square of pairs: of those that share a shingle each is
-compared with STARS of them, and only those not connected with the first of these afterwards with the others.
+Only components count, so that a group of near copies makes no square of pairs: of those that share a shingle each is
+compared with STARS of them, and only those not connected with the first of these afterwards with the others; of these
+comparisons only what passes all tests but the last one leaves the join.
 
 What is stored and shuffled are heads (a fifth of the shingles) and parities (a bit or two a shingle), not the sets;
 the sets of the few documents that need an exact comparison are made from their texts again.
@@ -118,17 +119,21 @@ def _may_be_alike(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     Likeness of 4 / 5 leaves the ninth part of both sizes at most to differ in. Sizes then differ by a fourth at most, so
     the longer parity is at most twice the other; folded in the middle it is that of the smaller modulus.
     """
-    one, two = (whole.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}")) for x in "ab")
-    both = pairs.join(one, "a").join(two, "b").where("5 * least(na, nb) >= 4 * greatest(na, nb)")
-    k = F.least(F.size("pa"), F.size("pb"))
-    fold = lambda p: F.when(F.size(p) > k, F.zip_with(F.slice(p, F.lit(1), k), F.slice(p, k + 1, k), lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(p))
-    apart = F.aggregate(F.zip_with(fold("pa"), fold("pb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return both.where(9 * apart <= F.col("na") + F.col("nb")).select("a", "b")
+    one, two = (whole.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"q{x}")) for x in "ab")
+    return pairs.join(one, "a").join(two, "b").where(_parities_allow()).select("a", "b")
 
 
-def _alike(pairs: DataFrame, whole: DataFrame, texts) -> DataFrame:
+def _parities_allow() -> Column:
+    """Whether sizes na and nb and parities qa and qb allow a likeness of THRESHOLD."""
+    k = F.least(F.size("qa"), F.size("qb"))
+    fold = lambda q: F.when(F.size(q) > k, F.zip_with(F.slice(q, F.lit(1), k), F.slice(q, k + 1, k), lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(q))
+    apart = F.aggregate(F.zip_with(fold("qa"), fold("qb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.expr("5 * least(na, nb) >= 4 * greatest(na, nb)") & (9 * apart <= F.col("na") + F.col("nb"))
+
+
+def _alike(pairs: DataFrame, texts) -> DataFrame:
     """pairs (a, b) with likeness of THRESHOLD or more; texts gives (node, text) of what is asked for."""
-    pairs = cut(_may_be_alike(pairs, whole))
+    pairs = cut(pairs)
     sets = cut(_sets(texts(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
     one, two = sets.select(F.col("node").alias("a"), F.col("sigs").alias("sa")), sets.select(F.col("node").alias("b"), F.col("sigs").alias("sb"))
     both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
@@ -156,15 +161,21 @@ def set_links(whole: DataFrame, texts) -> DataFrame:
     ends = F.explode(F.array(*(F.struct(F.col(f"s{k}.node").alias("a"), F.col(f"s{k}.n").alias("na"), F.col(f"s{k}.at").alias("pa")) for k in range(STARS)))).alias("s")
     pairs = met.select("s0", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), ends).select("s.*", "b", "nb", "pb")
     pairs = pairs.where((F.col("a") != F.col("b")) & _close("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = cut(_alike(pairs, whole, texts))
+    first = cut(_alike(_may_be_alike(pairs, whole), texts))
     roots = cut(connected_components(first))
-    named = met.select("sig", "node", "n", "at", F.col("s0.node").alias("star")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # The stars of a shingle are done with; of the others those are left that are not connected with its first star.
+    star = F.array(*(F.col(f"s{k}.node") for k in range(STARS)))
+    rest = met.where(~F.array_contains(star, F.col("node"))).select("sig", "node", "n", "at", F.col("s0.node").alias("star"))
+    named = rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     tops = roots.select(F.col("node").alias("star"), F.col("root").alias("top"))
     named = cut(named.join(tops, "star", "left").select("sig", "node", "n", "at", "root", (F.col("root") != F.coalesce("top", "star")).alias("outside")))
-    one = named.where("outside").select("sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("root").alias("ra"))
-    two = named.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("root").alias("rb"))
-    more = one.join(two, "sig").where((F.col("ra") != F.col("rb")) & _close("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return first.unionByName(_alike(more, whole, texts))
+    unsettled = named.groupBy("sig").agg(F.max("outside").alias("some"), F.count("*").alias("m")).where("some and m > 1").select("sig")
+    marked = cut(named.join(unsettled, "sig", "left_semi").join(whole.select("node", F.col("parity").alias("q")), "node"))
+    side = lambda x: [F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"p{x}"), F.col("root").alias(f"r{x}"), F.col("q").alias(f"q{x}")]
+    one, two = marked.where("outside").select("sig", *side("a")), marked.select("sig", *side("b"))
+    more = one.join(two, (one.sig == two.sig) & (F.col("ra") != F.col("rb")) & _close("a", "b") & _parities_allow())
+    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return first.unionByName(_alike(more, texts))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
