@@ -3,6 +3,8 @@
 import html
 import random
 import re
+import time
+from collections import defaultdict
 
 import pytest
 from lexloom.llm import html_text
@@ -54,8 +56,85 @@ def test_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
     got = {r.page_id: r.text for r in html_text.main_text(spark.read.parquet(f"{sf}/pages.parquet")).collect()}
     for p in pages:
-        inner = re.search(r"(?s)<article>(.*?)(?:</article>|\Z)", p.html)
-        assert got[p.page_id] == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner[1] if inner else "")).split())
+        assert got[p.page_id] == inner(p.html)
+
+
+def variants(page):
+    """A page with its article under other names, and in wrappers that are called like a sidebar."""
+    yield re.sub(r"(</?)(article|main)\b", r"\1div", page)
+    yield page.replace("<article>", "<div class=post-body>").replace("</article>", "</div>")
+    yield page.replace("<body>", "<body class='search-ready comment-enabled'>").replace("<article>", "<div class='related-work'><article class='has-sidebar'>").replace("</article>", "</article></div>")
+
+
+def test_other_names(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    want = {p.page_id: inner(p.html) for p in pages}
+    for k in range(3):
+        rows = [(p.page_id, p.url, list(variants(p.html))[k]) for p in pages]
+        got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert sum(r.text == want[r.page_id] for r in got) >= 0.95 * len(rows)
+
+
+def inner(page):
+    found = re.search(r"(?s)<article>(.*?)(?:</article>|\Z)", page)
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", found[1] if found else "")).split())
+
+
+def plain_template(pages):
+    """Slots and template text of one host from the vectors themselves: a count for each distinct page."""
+    pages = sorted({p for p in pages if p})
+    counts, facts = defaultdict(lambda: [0] * len(pages)), {}
+    for k, page in enumerate(pages):
+        for number, above, kind, n, weight in html_text._tokens(page):
+            counts[number][k] = n
+            old = facts.get(number, (above, kind, 0.0))
+            facts[number] = (above, kind, old[2] + weight)
+    least = max(html_text.LEAST_PAGES, html_text.SUPPORT * len(pages))
+    on = {x: sum(map(bool, c)) for x, c in counts.items()}
+    return html_text.deduce([(x, facts[x][0], facts[x][1], tuple(c), on[x], sum(c), facts[x][2]) for x, c in counts.items() if on[x] >= least])
+
+
+def test_templates_are_those_of_plain_vectors(spark):
+    rng, hosts = random.Random(8), {}
+    for h in range(6):
+        notice = f"<div class=x{h}><p>The same words on every page of host {h}</p></div>"
+        make = [semantic, divs][h % 2]
+        hosts[f"h{h}"] = [make(rng, article(rng)).replace("</body>", (notice if rng.random() < 0.9 else "") + "</body>") for _ in range(rng.randint(1, 25))]
+        hosts[f"h{h}"] += [hosts[f"h{h}"][0]] * 5 + ["", None]
+    rows = [(h, p) for h, pages in hosts.items() for p in pages]
+    got = {r.host: r for r in html_text.templates(spark.createDataFrame(rows, "host string, html string")).collect()}
+    for h, pages in hosts.items():
+        weights, texts = plain_template(pages)
+        assert (h in got) == (len({p for p in pages if p}) >= html_text.LEAST_PAGES)
+        if h in got:
+            found = dict(zip(got[h].paths, got[h].weights))
+            assert found.keys() == weights.keys() and all(abs(found[x] - weights[x]) < 1e-6 for x in weights)
+            assert got[h].texts == texts and len(texts) > 0
+
+
+def test_template_decides(spark):
+    """Repeated text inside the slot goes by its vector alone; pages that are copies but for an advert keep theirs."""
+    rng = random.Random(9)
+    rows, want = [], {}
+    for k in range(30):
+        text = article(rng)
+        rows.append((k, f"http://one.org/{k}", f"<body><div class=top><p>{rng.random()}</p></div><div class=c>{body(text)}<p>Read more of this site every day</p></div><div class=end><p>end {rng.random()}</p></div></body>"))
+        want[k] = plain(text)
+    text = article(rng)
+    for k in range(100, 110):
+        rows.append((k, f"http://two.org/{k}", f"<body><article>{body(text)}</article><div class=ad>{rng.random()}</div></body>"))
+        want[k] = plain(text)
+    rows += [(200, "http://one.org/x", None), (201, "http://one.org/y", "<html><p>Error 404</p></html>")]
+    want |= {200: "", 201: "Error 404"}
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<a ", "<b><p>x", "<a '>", "<p class='x>y", "<!--", "<script>", "&amp", "= <i = ", "</q></zz><div>"])
+def test_broken_pages_take_time_in_proportion(piece):
+    began = time.process_time()
+    html_text.extract(piece * (200_000 // len(piece)))
+    assert time.process_time() - began < 2
 
 
 @pytest.mark.parametrize(
