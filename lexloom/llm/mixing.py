@@ -3,11 +3,13 @@
 1. Pack: the words of a source form one sequence, cut into blocks of ``block_words`` words.
    Documents are dealt to ``lanes`` lanes of their source by hash, ordered inside a lane, and
    lanes follow one another, so that no window holds a whole source.
-2. Draw: source s has quota_s = round(target_s / block_words) slots. All slots stand in one
-   urn, which is dealt to output shards of ``shard_slots`` slots without replacement: the
-   counts of a shard are multinomial draws by target weight, given that the quotas come out.
-3. Map: slot q of a source is block perm(q mod n) of its pass q div n; each source and pass has
-   its own pseudorandom permutation of [0, n), a Feistel network on a mixed radix.
+2. Draw: source s has quota_s = round(target_s / block_words) slots. For each output shard of
+   ``shard_slots`` slots a count is drawn for every source: multinomial by target weight, given
+   that the quotas come out at the end. Counts are drawn source by source and shard by shard from
+   what is left, on a tree of shards (FAN children a node), so that no task draws for all shards.
+3. Map: the slots of a shard follow from its counts. Slot q of a source is block perm(q mod n) of
+   its pass q div n; each source and pass has its own pseudorandom permutation of [0, n), a Feistel
+   network on a mixed radix. Another permutation gives the slots their positions in the shard.
 4. Join the slots with the blocks by (source, index).
 """
 
@@ -19,8 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import WORD, cut
 
-BLOCK_WORDS, LANES, SHARD_SLOTS, CHUNK, MAX_PASSES = 32, 1024, 4096, 1 << 14, 3
+BLOCK_WORDS, LANES, LANE_ROWS, SHARD_SLOTS, FAN, MAX_PASSES = 32, 1024, 10_000, 4096, 64, 3
 WEIGHTS = (5, 2, 1)
+#: Up to this many items a count is drawn by inversion of its distribution, above by the normal one of its mean and variance.
+EXACT = 256
 
 
 def n_words(text: Column) -> Column:
@@ -34,7 +38,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int =
     Sources in code point order, null last, take the weights in turn. Resharing what lies above the
     stops by weight until none is above ends at the level L with sum(min(stop, L * weight)) = all words.
     In ascending stop / weight, a source stops if the level left by those before it is not below its own.
-    One row a source goes through the two windows; sources are few against documents.
+    One row a source goes through the windows: sources are the entries of a mix, not a number that grows with the rows.
     """
     nth = F.row_number().over(W.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))) - 1
     named = sizes.withColumn("w", F.element_at(F.array(*(F.lit(float(x)) for x in weights)), (nth % len(weights) + 1).cast("int")))
@@ -49,12 +53,17 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int =
     return marked.withColumn("common", common).select("source", "source_size", F.when(F.col("stops"), stop).otherwise(F.col("common") * F.col("w")).alias("target"))
 
 
+def _let(x: Column, then) -> Column:
+    """then(x), where x is worked out once."""
+    return F.element_at(F.transform(F.array(x), then), 1)
+
+
 def permuted(x: Column, n: Column, seed: Column, rounds: int = 4) -> Column:
     """Where x goes in a pseudorandom permutation of [0, n), by seed.
 
     Alternate rounds on a grid of a x b >= n points, a = ceil(sqrt(n)); points outside go on until inside.
     Fewer than a points lie outside, so 64 steps suffice for n up to 4096, and above that a walk
-    of 64 has probability under 64 ** -64; such a walk would raise an error rather than give a wrong place.
+    of 64 has probability under 64 ** -64; such a walk raises an error rather than give a wrong place.
     """
     a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
     b = F.ceil(n / a).cast("long")
@@ -73,7 +82,8 @@ def permuted(x: Column, n: Column, seed: Column, rounds: int = 4) -> Column:
         return F.when(y < n, y).otherwise(once(y))
 
     first = once(x)
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(64)), first, lambda y, _: step(y))
+    lost = F.raise_error(F.lit("a permutation did not come back into its range")).cast("long")
+    walked = _let(F.aggregate(F.sequence(F.lit(1), F.lit(64)), first, lambda y, _: step(y)), lambda y: F.when(y < n, y).otherwise(lost))
     return F.when(n <= 1, F.lit(0).cast("long")).otherwise(F.transform(F.array(first), lambda y: F.when(y < n, y).otherwise(walked))[0])
 
 
@@ -90,38 +100,110 @@ def packed(docs: DataFrame, lanes: int = LANES) -> DataFrame:
 
 
 def quotas(wanted: DataFrame, block_words: int = BLOCK_WORDS, passes: int = MAX_PASSES) -> DataFrame:
-    """wanted (source, source_size, target) with n_blocks, quota in slots, and the slots of all sources before: urn."""
+    """wanted (source, source_size, target) with n_blocks and quota in slots."""
     n = F.ceil(F.col("source_size") / block_words).cast("long")
     q = F.least(F.round(F.col("target") / block_words).cast("long"), n * passes)
     # A source that takes every word of all passes takes all slots, whatever the rounding.
     q = F.when(F.col("target") >= F.col("source_size") * passes, n * passes).otherwise(q)
-    order = W.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
-    return wanted.withColumn("n_blocks", n).withColumn("quota", q).withColumn("urn", F.coalesce(F.sum("quota").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("slots", F.sum("quota").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    return wanted.withColumn("n_blocks", n).withColumn("quota", q)
+
 
+def _uniform(*seed: Column) -> Column:
+    """A pseudorandom number in (0, 1)."""
+    return (F.shiftrightunsigned(F.xxhash64(*seed), 11) + 0.5) / float(1 << 53)
 
-def slots(quota: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """One row a slot: source, pass, block, and its place in the mix as shard and position.
 
-    A source's slots are made in chunks that are dealt out before they are expanded.
+def drawn(n: Column, marked: Column, items: Column, *seed: Column) -> Column:
+    """How many of ``n`` items taken from ``items`` without replacement are among the ``marked`` ones, by seed (all longs).
+
+    With a <= b the two numbers in either order and b no more than half of the items (else what is left out is counted),
+    the chance of 0 is a product of a factors, and each further one follows from the one before.
     """
-    chunks = quota.where("quota > 0").select("source", "n_blocks", "quota", "urn", "slots", F.explode(F.sequence(F.lit(0), F.floor((F.col("quota") - 1) / CHUNK))).alias("chunk"))
+    few, many = F.least(n, marked), F.greatest(n, marked)
+    flip = 2 * many > items
+    a, b = F.least(few, F.when(flip, items - many).otherwise(many)), F.greatest(few, F.when(flip, items - many).otherwise(many))
+
+    def inverted(v: Column) -> Column:
+        a, b, t, u = v["a"].cast("double"), v["b"].cast("double"), v["t"].cast("double"), v["u"]
+        none = F.aggregate(F.sequence(F.lit(0), F.greatest(v["a"] - 1, F.lit(0)).cast("int")), F.lit(1.0), lambda p, i: F.when(i < v["a"], p * (t - b - i) / (t - i)).otherwise(p))
+        start = _let(none, lambda p: F.struct(F.lit(0).cast("long").alias("x"), p.alias("p"), p.alias("sum")))
+
+        def step(s: Column, i: Column) -> Column:
+            x = s["x"].cast("double")
+            more = _let(s["p"] * (a - x) * (b - x) / ((x + 1) * (t - a - b + x + 1)), lambda p: F.struct((s["x"] + 1).alias("x"), p.alias("p"), (s["sum"] + p).alias("sum")))
+            return F.when((u > s["sum"]) & (s["x"] < v["a"]), more).otherwise(s)
+
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(v["a"], F.lit(1)).cast("int")), start, step)["x"]
+
+    def normal(v: Column) -> Column:
+        share = v["b"] / v["t"].cast("double")
+        deviation = F.sqrt(v["a"] * share * (1 - share) * (v["t"] - v["a"]) / F.greatest(v["t"] - 1, F.lit(1)))
+        z = F.sqrt(-2 * F.log(v["u"])) * F.cos(2 * F.pi() * _uniform(*seed, F.lit("second")))
+        return F.greatest(F.lit(0), F.least(v["a"], F.round(v["a"] * share + deviation * z).cast("long"))).cast("long")
+
+    # Of a and b the one that was not flipped has its count: if few stayed, what few has outside many.
+    value = F.struct(a.alias("a"), b.alias("b"), items.alias("t"), _uniform(*seed).alias("u"), flip.alias("flip"), few.alias("few"))
+    return _let(
+        value, lambda v: _let(F.when(v["a"] <= 0, F.lit(0).cast("long")).when(v["a"] <= EXACT, inverted(v)).otherwise(normal(v)), lambda x: F.when(v["flip"], v["few"] - x).otherwise(x))
+    )
+
+
+def draws(quota: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS, fan: int = FAN) -> DataFrame:
+    """(source, n_blocks, shard, slots, n, first, ahead): the counts drawn for each output shard, of sources with any.
+
+    slots: those of the shard; n: those of the source; first: the source's in shards before; ahead: those of other
+    sources before it in the shard. A node of the tree has the slots and counts of all shards below it.
+    """
+    order = F.struct(F.col("source").isNull().alias("o0"), F.col("source").cast("binary").alias("o1"))
+    known = F.array_sort(F.collect_list(F.struct(order.alias("o"), "source", "n_blocks", "quota")))
+    one = quota.where("quota > 0").agg(known.alias("known")).where(F.size("known") > 0)
+    total, n_sources = one.select(F.aggregate("known", F.lit(0).cast("long"), lambda t, x: t + x["quota"]), F.size("known")).first() or (0, 0)
+    zero = F.array_repeat(F.lit(0).cast("long"), n_sources)
+    node = one.select("known", F.lit(0).cast("long").alias("shard"), F.lit(total).cast("long").alias("slots"), F.transform("known", lambda x: x["quota"]).alias("counts"), zero.alias("before"))
+    shards, span = -(-total // shard_slots), 1
+    while span < shards:
+        span *= fan
     parts = int(quota.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = chunks.repartition(parts, "source", "chunk")  # a given number is not merged again by the few bytes of the chunks
-    first = F.col("chunk") * CHUNK
-    each = chunks.withColumn("q", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("quota")) - 1)))
-    q = F.col("q")
-    each = each.withColumn("pass", F.floor(q / F.col("n_blocks")).cast("int")).withColumn("place", permuted(F.col("urn") + q, F.col("slots"), F.lit(seed)))
+    while span > 1:
+        span //= fan
+        size = F.lit(span * shard_slots).cast("long")
+
+        def child(s: Column, i: Column) -> Column:  # called at once, below
+            name = F.col("shard") + i * span
+
+            def source(t: Column, k: Column) -> Column:
+                x = drawn(t["n"], F.element_at(s["counts"], k), t["items"], F.lit(seed), F.lit(span).cast("long"), name, k)
+                return _let(x, lambda x: F.struct((t["n"] - x).alias("n"), (t["items"] - F.element_at(s["counts"], k)).alias("items"), F.concat(t["out"], F.array(x)).alias("out")))
+
+            here = F.least(size, s["slots"])
+            start = F.struct(here.alias("n"), s["slots"].alias("items"), F.array().cast("array<bigint>").alias("out"))
+            got = F.aggregate(F.sequence(F.lit(1), F.lit(n_sources)), start, source)["out"]
+            return _let(got, lambda c: F.struct(
+                (s["slots"] - here).alias("slots"), F.zip_with(s["counts"], c, lambda a, b: a - b).alias("counts"), F.zip_with(s["before"], c, lambda a, b: a + b).alias("before"),
+                F.concat(s["out"], F.array(F.struct(name.alias("shard"), here.alias("slots"), c.alias("counts"), s["before"].alias("before")))).alias("out"),
+            ))
+
+        kind = "array<struct<shard:bigint,slots:bigint,counts:array<bigint>,before:array<bigint>>>"
+        begin = F.struct("slots", "counts", "before", F.array().cast(kind).alias("out"))
+        number = F.ceil(F.col("slots") / size).cast("int")
+        each = node.select("known", F.explode(F.aggregate(F.sequence(F.lit(0), number - 1), begin, child)["out"]).alias("c"))
+        node = cut(each.select("known", "c.*").repartition(parts, "shard"))  # few and small rows, each the work of a node
+    sources = F.explode(F.sequence(F.lit(1), F.lit(n_sources))).alias("k")
+    ahead = F.aggregate(F.slice("counts", F.lit(1), F.col("k") - 1), F.lit(0).cast("long"), lambda t, x: t + x)
+    out = node.select("*", sources).select(F.element_at("known", F.col("k")).alias("s"), "shard", "slots", F.element_at("counts", F.col("k")).alias("n"), F.element_at("before", F.col("k")).alias("first"), ahead.alias("ahead"))
+    return out.where("n > 0").select("s.source", "s.n_blocks", "shard", "slots", "n", "first", "ahead")
+
+
+def slots(counts: DataFrame, seed: int = 0) -> DataFrame:
+    """One row a slot of ``draws``: source, pass, block, and its place in the mix as shard and position."""
+    i, q = F.col("i"), F.col("first") + F.col("i")
+    each = counts.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("pass", F.floor(q / F.col("n_blocks")).cast("int"))
     return each.select(
         "source", "pass", permuted(q % F.col("n_blocks"), F.col("n_blocks"), F.xxhash64(F.lit(seed), "source", "pass")).alias("block"),
-        F.floor(F.col("place") / shard_slots).alias("shard"), (F.col("place") % shard_slots).cast("int").alias("position"),
+        "shard", permuted(F.col("ahead") + i, F.col("slots"), F.xxhash64(F.lit(seed), "shard")).cast("int").alias("position"),
     )
 
 
-def draws(slot: DataFrame) -> DataFrame:
-    """(shard, source, n): how many slots of each output shard each source was drawn for."""
-    return slot.groupBy("shard", "source").agg(F.count("*").alias("n"))
-
-
 def pieces(places: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Documents (row, source, size, start) cut at block ends: (row, source, block, begin, words), begin in the document."""
     end = F.col("start") + F.col("size")
@@ -142,21 +224,21 @@ def mix(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> tuple
     base = cut(docs.select(F.col("doc_id"), F.col("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie")))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = cut(quotas(targets(sizes), block_words))
-    places = packed(base)
+    places = packed(base, max(LANES, base.count() // LANE_ROWS))  # more lanes for more rows, as a lane is one window
     named = plan.select(F.col("source").alias("s"), "source_size", "target")
     places = places.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("row", F.struct("doc_id", "tie", "start"))
-    drawn = slots(plan, seed)
-    right = drawn.select(F.col("source").alias("s"), F.col("block").alias("k"), "pass", "shard", "position")
+    made = slots(draws(plan, seed), seed)
+    right = made.select(F.col("source").alias("s"), F.col("block").alias("k"), "pass", "shard", "position")
     cutted = pieces(places, block_words)
     joined = cutted.join(right.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k"))).drop("s", "k")
-    return places, drawn, joined
+    return places, made, joined
 
 
 def taken(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row of docs: the words that the mix takes of it."""
-    places, drawn, _ = mix(docs, seed, block_words)
+    places, made, _ = mix(docs, seed, block_words)
     # How often a block is taken, before the join: at most one row a block and source, so a short row meets each piece.
-    times = drawn.groupBy("source", "block").agg(F.count("*").alias("times"))
+    times = made.groupBy("source", "block").agg(F.count("*").alias("times"))
     right = times.select(F.col("source").alias("s"), F.col("block").alias("k"), "times")
     # Expanded rows are far more than their estimated size says: a sort-merge join, never a broadcast.
     joined = pieces(places, block_words).join(right.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k")))

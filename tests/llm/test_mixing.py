@@ -69,11 +69,52 @@ def test_documents(spark, sf):
     out = check_mix(docs, [(r.doc_id, r.source, r.text) for r in docs.collect()])
     again = mixing.taken(docs.repartition(7)).collect()
     assert Counter(map(tuple, out)) == Counter(map(tuple, again))
-    _, slots, joined = mixing.mix(docs)
+    places, slots, joined = mixing.mix(docs)
     slots, joined = slots.cache(), joined.cache()
     assert slots.count() == slots.select("shard", "position").distinct().count() == slots.select("source", "pass", "block").distinct().count()
     assert joined.agg(F.sum("words")).first()[0] == sum(r.taken for r in out)
-    assert mixing.draws(slots).agg(F.sum("n")).first()[0] == slots.count()
+    assert plain_taken(places.collect(), slots.collect()) == Counter((r.doc_id, r.size, r.taken) for r in out)
+
+
+def plain_taken(places, slots):
+    """Word by word: a source's documents in a row by start, and how often the block of each word is taken."""
+    times = Counter((s.source, s.block) for s in slots)
+    return Counter((p.doc_id, p.size, sum(times[p.source, w // mixing.BLOCK_WORDS] for w in range(p.start, p.start + p.size))) for p in places)
+
+
+def test_drawn_counts(spark):
+    """Every count's mean and variance, for few and many items; and always within what there is."""
+    cases = [(10, 4, 20), (4, 10, 20), (18, 15, 20), (100, 300, 1000), (900, 700, 1000), (600, 5000, 100000), (20, 0, 30), (30, 7, 30), (0, 5, 9), (700, 700, 700)]
+    rows = spark.createDataFrame([(k, *map(int, c)) for k, c in enumerate(cases)], "k int, n long, m long, t long")
+    got = rows.crossJoin(spark.range(3000)).select("k", "n", "m", "t", mixing.drawn(F.col("n"), F.col("m"), F.col("t"), F.lit(5), F.col("id")).alias("x")).groupBy("k").agg(F.avg("x"), F.var_pop("x"), F.min("x"), F.max("x")).collect()
+    for k, mean, variance, least, most in got:
+        n, m, t = cases[k]
+        true = n * m / t * (1 - m / t) * (t - n) / max(1, t - 1)
+        assert abs(mean - n * m / t) <= 5 * (true / 3000) ** 0.5 + 1e-9 and abs(variance - true) <= 0.15 * true + 0.1
+        assert max(0, n + m - t) <= least <= most <= min(n, m)
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_draws_add_up(spark, fan):
+    """Shards are full, quotas come out, and counts vary as draws without replacement do."""
+    wanted = {"a": 1000, "b": 500, None: 37, "c": 0, "é": 3}
+    quota = spark.createDataFrame([(s, 10_000, q) for s, q in wanted.items()], "source string, n_blocks long, quota long")
+    rows = mixing.draws(quota, 7, 64, fan).collect()
+    by, shard, first = Counter(), Counter(), defaultdict(list)
+    for r in rows:
+        by[r.source] += r.n
+        shard[r.shard] += r.n
+        first[r.source].append((r.shard, r.first, r.n))
+        assert r.slots == (64 if r.shard < 24 else 1540 - 24 * 64)
+    assert by == Counter({s: q for s, q in wanted.items() if q}) and sorted(shard) == list(range(25)) and set(shard.values()) == {64, 4}
+    for parts in first.values():
+        at = 0
+        for _, begin, n in sorted(parts):
+            assert begin == at
+            at += n
+    a = [n for s, _, n in sorted(first["a"]) if s < 24]
+    assert 2 < sum((x - 64 * 1000 / 1540) ** 2 for x in a) / 24 < 45 and len(set(a)) > 4  # expected: 14.6
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, mixing.draws(quota, 7, 64, fan).collect()))
 
 
 def test_odd_rows(spark):
