@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample
+from .common import bounded_sample, first_ids
 
 SAMPLE, TREES, DEPTH, BINS, RATE, THRESHOLD = 20_000, 60, 4, 64, 0.2, 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
+#: Only 13 numbers of a sampled text reach the driver, so its length has a bound of its own.
+QUALITY_LONGEST = 1 << 24
 SYMBOLS = b"#*$%&|<>"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Derived features and the direction in which the score may move with each (-1: never up, 0: free).
@@ -154,9 +156,10 @@ def fit(x: np.ndarray, y: np.ndarray, monotone: np.ndarray, trees: int = TREES,
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     """Trees for the label quality, from at most ``sample`` labelled documents; repeated labels of an id count as their least."""
-    chosen = bounded_sample(labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label")), "doc_id", sample)
-    # Bounded by `sample` rows of two numbers, hence the broadcast.
+    chosen = first_ids(labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label")), sample)
+    # Bounded by `sample` rows of two numbers, hence the broadcast; an id may have any number of rows.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = bounded_sample(rows, sample, longest=QUALITY_LONGEST, most_bytes=sample * QUALITY_LONGEST)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

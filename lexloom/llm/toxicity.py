@@ -8,7 +8,7 @@ its own share of the blame. The same sentence scores then locate the offending s
 Features of a word (lower case, outer punctuation removed): the word and its beginnings of
 PREFIXES letters. Those kept are in at least LEAST toxic sample documents (and 1 in 100 of them) and more frequent
 there; at most FEATURES of them, so that the model, which is broadcast, has a fixed bound.
-Training reads a bounded sample of labelled documents (SAMPLE rows, smallest hashes of doc_id).
+Training reads a bounded sample of labelled documents (SAMPLE rows and SAMPLE_BYTES of text, smallest hashes).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold
+from .common import bounded_sample, first_ids, fold
 
 SAMPLE, FEATURES, LEAST, STEPS, RIDGE = 8_000, 4096, 3, 200, 1e-4
 PREFIXES, THRESHOLD, OFFENDING = (3, 4, 5, 6, 8), 0.3, 0.3
@@ -159,10 +159,10 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = STEPS) -> Model:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Model of label toxic from rows outside the held-out fold; repeated labels of an id count as their greatest."""
     known = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id"), FOLDS) != HELD)
-    chosen = bounded_sample(known.groupBy("doc_id").agg(F.max("toxic").alias("label")), "doc_id", sample)
-    # Bounded by `sample` rows of two numbers, hence the broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int"))
-    got = rows.toArrow().to_pydict()
+    chosen = first_ids(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")), sample)
+    # Bounded by `sample` rows of two numbers, hence the broadcast; an id may have any number of rows.
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    got = bounded_sample(rows, sample).select("text", "label").toArrow().to_pydict()
     order = sorted(range(len(got["label"])), key=lambda k: (got["text"][k], got["label"][k]))  # the same sums in every run
     return fit([got["text"][k] for k in order], np.array([got["label"][k] for k in order], float))
 
