@@ -64,7 +64,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or template verdict of all pages' urls."""
-    return url_filter.filter_urls(table(spark, sf_dir, "pages", "page_id", "url")).drop("purity")
+    return url_filter.filter_urls(table(spark, sf_dir, "pages", "page_id", "url")).drop("purity", "labels")
 
 
 def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

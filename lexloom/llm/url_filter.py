@@ -8,11 +8,15 @@ starts with its own, and the longest wins. Urls with a rule are the labelled one
    The last part of a file name after a dot stays apart from its stem.
 2. Tree: a template is the path of generalised segments; its nodes are its beginnings, per host.
    Nodes count urls and labelled urls.
-3. Merge: sibling nodes whose labelled shares of blocks do not differ from that of all siblings of
-   the same shape (what follows them) by more than MERGE_Z standard errors share that shape's counts.
+3. Merge: of siblings with at least MERGE_URLS urls and MERGE_LABELS labels, those whose labels lean to one side
+   are compared with the one of them that has most labels. One that is alike both in its share of blocks (two
+   proportions within MERGE_Z standard errors) and in what follows it (chi-squared over the next segments within
+   MERGE_Z standard deviations of its mean) is merged with that one: all merged ones share their counts. What has
+   too few urls or labels to be tested stays apart.
 4. Verdict: from the root down, a node's purity is its blocks over its labels, smoothed with weight
    SMOOTH by the purity of the node above it; above a host's root stand the template in all hosts, and all
-   urls. A template whose purity reaches REJECT is rejected.
+   urls. A template whose purity reaches REJECT is rejected if it has LEAST_LABELS labels of its own (merged ones
+   included): nothing is rejected for what is known of other branches or hosts alone.
 
 All steps group by (host, depth, segment) or (host, template): sums are combined before the shuffle.
 """
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-KEEP_SHARE, SMOOTH, REJECT, MERGE_Z = 0.05, 4.0, 0.5, 2.0
+KEEP_SHARE, SMOOTH, REJECT, LEAST_LABELS = 0.05, 4.0, 0.5, 3
+MERGE_Z, MERGE_URLS, MERGE_LABELS = 2.0, 8, 3
 #: Rules of the query (fixed list): host, path, verdict.
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -66,10 +71,42 @@ def templates(urls: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
     return ordered.select("host", "shape", F.transform("parts", lambda x: x["part"]).alias("template"))
 
 
+def merged(tree: DataFrame, merge_z: float = MERGE_Z) -> DataFrame:
+    """tree (host, depth, above, node, part, n, blocks, labels: a row a node) with the counts that merged siblings share.
+
+    Columns: host, depth, node, blocks, labels. A host has at most 1 / KEEP_SHARE literal segments a depth, and so
+    few siblings; pools and sums are by key all the same.
+    """
+    side = F.when((F.col("n") >= MERGE_URLS) & (F.col("labels") >= MERGE_LABELS), (2 * F.col("blocks") >= F.col("labels")).cast("int"))
+    sided = tree.withColumn("side", side)
+    pool = ["host", "depth", "above", "side"]
+    tested = sided.where("side is not null")
+    first = tested.groupBy(*pool).agg(F.max(F.struct("labels", "n", "node", "blocks")).alias("r"), F.count("*").alias("members")).where("members > 1")
+    each = tested.join(first.select(*(F.col(c).alias(f"_{c}") for c in pool), "r"), [tested[c].eqNullSafe(F.col(f"_{c}")) for c in pool]).drop(*(f"_{c}" for c in pool))
+    # What follows a node beside what follows the first: m and k of each next segment.
+    after = tree.select("host", F.col("above").alias("up"), (F.col("depth") - 1).alias("depth"), F.col("part").alias("next"), F.col("n").alias("m"))
+    own = each.select("host", "depth", "node", F.col("node").alias("up")).join(after, ["host", "depth", "up"]).select("host", "depth", "node", "next", "m", F.lit(0).cast("long").alias("k"))
+    other = each.select("host", "depth", "node", F.col("r.node").alias("up")).join(after, ["host", "depth", "up"]).select("host", "depth", "node", "next", F.lit(0).cast("long").alias("m"), F.col("m").alias("k"))
+    both = own.unionByName(other).groupBy("host", "depth", "node", "next").agg(F.sum("m").alias("m"), F.sum("k").alias("k"))
+    square = lambda x: F.sum(F.col(x) * F.col(x) / (F.col("m") + F.col("k")))
+    both = both.groupBy("host", "depth", "node").agg(square("m").alias("mm"), square("k").alias("kk"), F.sum("m").alias("ms"), F.sum("k").alias("ks"), (F.count("*") - 1).alias("free"))
+    chi = (F.col("ms") + F.col("ks")) * (F.col("mm") / F.col("ms") + F.col("kk") / F.col("ks") - 1)
+    followers_alike = F.when((F.col("ms") > 0) & (F.col("ks") > 0), chi <= F.col("free") + merge_z * F.sqrt(2.0 * F.col("free")) + 1e-9).otherwise(F.coalesce(F.col("ms") + F.col("ks"), F.lit(0)) == 0)
+    share = (F.col("blocks") + F.col("r.blocks")) / (F.col("labels") + F.col("r.labels"))
+    apart = F.abs(F.col("blocks") / F.col("labels") - F.col("r.blocks") / F.col("r.labels"))
+    labels_alike = apart <= merge_z * F.sqrt(share * (1 - share) * (1 / F.col("labels") + 1 / F.col("r.labels"))) + 1e-9
+    alike = each.join(both, ["host", "depth", "node"], "left").where(labels_alike & followers_alike).select(*pool, "node", "blocks", "labels")
+    shared = alike.groupBy(*pool).agg(F.sum("blocks").alias("some_blocks"), F.sum("labels").alias("some_labels"))
+    shared = shared.select(*(F.col(c).alias(f"_{c}") for c in pool), "some_blocks", "some_labels")
+    shared = alike.join(shared, [alike[c].eqNullSafe(F.col(f"_{c}")) for c in pool]).select("host", "depth", "node", "some_blocks", "some_labels")
+    out = tree.join(shared, ["host", "depth", "node"], "left")
+    return out.select("host", "depth", "node", F.coalesce("some_blocks", "blocks").alias("blocks"), F.coalesce("some_labels", "labels").alias("labels"))
+
+
 def judge(urls: DataFrame, smooth: float = SMOOTH, reject: float = REJECT, merge_z: float = MERGE_Z, keep_share: float = KEEP_SHARE) -> DataFrame:
     """Purity and verdict of every (host, shape) of urls (host, path, verdict: block, allow or null).
 
-    Columns: host, shape, template, purity, rejected. Hosts may be empty; an empty table gives no rows.
+    Columns: host, shape, template, purity, labels, rejected. Hosts may be empty; an empty table gives no rows.
     """
     shaped = urls.select("host", segments(F.col("path")).alias("shape"), (F.col("verdict") == "block").cast("int").alias("b"), F.col("verdict").isNotNull().cast("int").alias("l"))
     counted = shaped.groupBy("host", "shape").agg(F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("blocks"), F.sum("l").alias("labels"))
@@ -77,34 +114,27 @@ def judge(urls: DataFrame, smooth: float = SMOOTH, reject: float = REJECT, merge
     named = counted.join(templates(counted, keep_share), ["host", "shape"])
     sums = [F.sum(c).alias(c) for c in ("n", "blocks", "labels")]
     leaves = cut(named.groupBy("host", "template").agg(*sums))
-    # A node is a beginning of a template; `after` tells what shape may follow it.
+    # A node is a beginning of a template.
     nodes = leaves.select("host", "n", "blocks", "labels", "template", F.explode(F.sequence(F.lit(0), F.size("template"))).alias("depth"))
     begin = lambda d: f"array_join(slice(template, 1, {d}), '/')"
-    nodes = nodes.select("host", "n", "blocks", "labels", "depth", F.expr(begin("depth")).alias("node"), F.expr(begin("greatest(depth - 1, 0)")).alias("above"), F.expr("array_join(slice(template, depth + 1, size(template)), '/')").alias("after"))
-    tree = nodes.groupBy("host", "depth", "above", "node").agg(*sums, F.min("after").alias("after"))
-    # Siblings of one shape, taken together.
-    pooled = tree.groupBy("host", "depth", "above", "after").agg(F.sum("blocks").alias("all_blocks"), F.sum("labels").alias("all_labels"))
-    tree = tree.join(pooled, ["host", "depth", "above", "after"])
-    share = F.col("all_blocks") / F.greatest("all_labels", F.lit(1))
-    error = F.sqrt(share * (1 - share) / F.greatest("labels", F.lit(1)))
-    alike = (F.col("labels") == 0) | (F.abs(F.col("blocks") / F.greatest("labels", F.lit(1)) - share) <= merge_z * error)
-    tree = tree.select("host", "depth", "node", F.when(alike, F.col("all_blocks")).otherwise(F.col("blocks")).alias("blocks"), F.when(alike, F.col("all_labels")).otherwise(F.col("labels")).alias("labels"))
-    by_node = tree.select("host", "node", F.struct("depth", "blocks", "labels").alias("at"))
-    chains = leaves.select("host", "template", F.explode(F.expr("transform(sequence(0, size(template)), d -> array_join(slice(template, 1, d), '/'))")).alias("node"))
-    chains = chains.join(by_node, ["host", "node"]).groupBy("host", "template").agg(F.array_sort(F.collect_list("at")).alias("chain"))
-    # Above the host: the template in all hosts, and all urls.
+    nodes = nodes.select("host", "n", "blocks", "labels", "depth", F.expr(begin("depth")).alias("node"), F.expr(f"if(depth = 0, null, {begin('depth - 1')})").alias("above"), F.expr("if(depth = 0, '', template[depth - 1])").alias("part"))
+    tree = cut(nodes.groupBy("host", "depth", "above", "node", "part").agg(*sums))
+    by_node = merged(tree, merge_z).select("host", "depth", "node", F.struct("depth", "blocks", "labels").alias("at"))
+    chains = leaves.select("host", "template", F.posexplode(F.expr("transform(sequence(0, size(template)), d -> array_join(slice(template, 1, d), '/'))")).alias("depth", "node"))
+    chains = chains.join(by_node, ["host", "depth", "node"]).groupBy("host", "template").agg(F.array_sort(F.collect_list("at")).alias("chain"))
+    # Above the host: the template in all hosts, and all urls, whose sums are one row.
     anywhere = leaves.groupBy("template").agg(F.sum("blocks").alias("t_blocks"), F.sum("labels").alias("t_labels"))
-    whole = leaves.agg(F.sum("blocks").alias("a_blocks"), F.sum("labels").alias("a_labels"))
+    a_blocks, a_labels = leaves.agg(F.sum("blocks"), F.sum("labels")).first()
     smoothed = lambda blocks, labels, prior: (blocks + smooth * prior) / (labels + smooth)
-    start = smoothed(F.col("t_blocks"), F.col("t_labels"), smoothed(F.col("a_blocks"), F.col("a_labels"), F.lit(0.5)))
+    start = smoothed(F.col("t_blocks"), F.col("t_labels"), F.lit(((a_blocks or 0) + smooth * 0.5) / ((a_labels or 0) + smooth)))
     purity = F.aggregate("chain", start, lambda p, x: smoothed(x["blocks"], x["labels"], p))
-    # `whole` is one row, so this is no pairing of rows.
-    scored = chains.join(anywhere, "template").crossJoin(F.broadcast(whole)).select("host", "template", purity.alias("purity"))
-    return named.select("host", "shape", "template").join(scored, ["host", "template"]).select("host", "shape", "template", "purity", (F.col("purity") >= reject).alias("rejected"))
+    scored = chains.join(anywhere, "template").select("host", "template", purity.alias("purity"), F.element_at("chain", -1)["labels"].alias("labels"))
+    rejected = (F.col("purity") >= reject) & (F.col("labels") >= LEAST_LABELS)
+    return named.select("host", "shape", "template").join(scored, ["host", "template"]).select("host", "shape", "template", "purity", "labels", rejected.alias("rejected"))
 
 
 def filter_urls(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict, template and purity of every row of pages (page_id, url).
+    """page_id, host, path, rule, verdict, template, purity and labels of every row of pages (page_id, url).
 
     Null urls and those without :// have an empty host and path, and so the template of an empty path.
     """
@@ -114,7 +144,7 @@ def filter_urls(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     judged = judge(ruled.select("host", "path", F.col("by_rule").alias("verdict"))).withColumnsRenamed({"host": "h", "shape": "s"})
     keyed = ruled.withColumn("shape", segments(F.col("path")))
     out = keyed.join(judged, (keyed.host == judged.h) & (keyed["shape"] == judged.s))
-    return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"), F.array_join("template", "/").alias("template"), "purity")
+    return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"), F.array_join("template", "/").alias("template"), "purity", "labels")
 
 
 def sql(rules: tuple = RULES, keep_share: float = KEEP_SHARE, smooth: float = SMOOTH, reject: float = REJECT, merge_z: float = MERGE_Z) -> str:
@@ -136,23 +166,32 @@ literal as (select c.host, c.depth, c.segment from counts c join totals t using
 named as (select e.host, e.shape, list(case when l.segment is not null or e.segment in ('#', '$') then e.segment else '*' end order by e.depth) as template
   from each_segment e left join literal l on e.host = l.host and e.depth = l.depth and e.segment = l.segment group by e.host, e.shape),
 leaves as (select host, template, sum(n) as n, sum(blocks) as blocks, sum(labels) as labels from counted join named using (host, shape) group by all),
-nodes as (select host, template, blocks, labels, d.depth, array_to_string(template[1:d.depth], '/') as node, array_to_string(template[1:greatest(d.depth - 1, 0)], '/') as above,
-  array_to_string(template[d.depth + 1:len(template)], '/') as after from leaves, unnest(range(0, len(template) + 1)) as d(depth)),
-tree as (select host, depth, above, node, sum(blocks)::double as blocks, sum(labels)::double as labels, min(after) as after from nodes group by all),
-pooled as (select host, depth, above, after, sum(blocks) as all_blocks, sum(labels) as all_labels from tree group by all),
-shares as (select *, all_blocks / greatest(all_labels, 1) as share from tree join pooled using (host, depth, above, after)),
-merged as (select host, node, depth, labels = 0 or abs(blocks / greatest(labels, 1) - share) <= {merge_z} * sqrt(share * (1 - share) / greatest(labels, 1)) as alike,
-  case when alike then all_blocks else blocks end as blocks, case when alike then all_labels else labels end as labels from shares),
+nodes as (select host, blocks, labels, n, d.depth, array_to_string(template[1:d.depth], '/') as node, case when d.depth > 0 then array_to_string(template[1:d.depth - 1], '/') end as above,
+  case when d.depth = 0 then '' else template[d.depth] end as part from leaves, unnest(range(0, len(template) + 1)) as d(depth)),
+tree as (select host, depth, above, node, part, sum(n) as n, sum(blocks)::double as blocks, sum(labels)::double as labels from nodes group by all),
+tested as (select *, case when 2 * blocks >= labels then 1 else 0 end as side from tree where n >= {MERGE_URLS} and labels >= {MERGE_LABELS}),
+first as (select host, depth, above, side, arg_max(node, (labels, n, node)) as r_node, arg_max(blocks, (labels, n, node)) as r_blocks, max(labels) as r_labels from tested group by all having count(*) > 1),
+each_tested as (select v.*, r_node, r_blocks, r_labels from tested v join first f on f.host = v.host and f.depth = v.depth and f.above is not distinct from v.above and f.side = v.side),
+followers as (select v.host, v.depth, v.node, c.part as next, c.n as m, 0 as k from each_tested v join tree c on c.host = v.host and c.depth = v.depth + 1 and c.above = v.node
+  union all select v.host, v.depth, v.node, c.part, 0, c.n from each_tested v join tree c on c.host = v.host and c.depth = v.depth + 1 and c.above = v.r_node),
+beside as (select host, depth, node, next, sum(m)::double as m, sum(k)::double as k from followers group by all),
+squares as (select host, depth, node, sum(m * m / (m + k)) as mm, sum(k * k / (m + k)) as kk, sum(m) as ms, sum(k) as ks, count(*) - 1 as free from beside group by all),
+alike as (select v.host, v.depth, v.above, v.side, v.node, v.blocks, v.labels from each_tested v left join squares q on q.host = v.host and q.depth = v.depth and q.node = v.node
+  where abs(blocks / labels - r_blocks / r_labels) <= {merge_z} * sqrt((blocks + r_blocks) / (labels + r_labels) * (1 - (blocks + r_blocks) / (labels + r_labels)) * (1 / labels + 1 / r_labels)) + 1e-9
+  and case when ms > 0 and ks > 0 then (ms + ks) * (mm / ms + kk / ks - 1) <= free + {merge_z} * sqrt(2.0 * free) + 1e-9 else coalesce(ms + ks, 0) = 0 end),
+pooled as (select host, depth, above, side, sum(blocks) as some_blocks, sum(labels) as some_labels from alike group by all),
+merged as (select t.host, t.depth, t.node, coalesce(some_blocks, t.blocks) as blocks, coalesce(some_labels, t.labels) as labels from tree t
+  left join alike a on a.host = t.host and a.depth = t.depth and a.node = t.node left join pooled p on p.host = a.host and p.depth = a.depth and p.above is not distinct from a.above and p.side = a.side),
 anywhere as (select template, sum(blocks)::double as t_blocks, sum(labels)::double as t_labels from leaves group by all),
 overall as (select sum(blocks)::double as a_blocks, sum(labels)::double as a_labels from leaves),
 walk as (
-  select l.host, l.template, -1 as depth, (t_blocks + {smooth} * ((a_blocks + {smooth} * 0.5) / (a_labels + {smooth}))) / (t_labels + {smooth}) as purity
+  select l.host, l.template, -1 as depth, 0::double as labels, (t_blocks + {smooth} * ((a_blocks + {smooth} * 0.5) / (a_labels + {smooth}))) / (t_labels + {smooth}) as purity
   from leaves l join anywhere using (template), overall
   union all
-  select w.host, w.template, w.depth + 1, (m.blocks + {smooth} * w.purity) / (m.labels + {smooth})
+  select w.host, w.template, w.depth + 1, m.labels, (m.blocks + {smooth} * w.purity) / (m.labels + {smooth})
   from walk w join merged m on m.host = w.host and m.depth = w.depth + 1 and m.node = array_to_string(w.template[1:w.depth + 1], '/')
   where w.depth < len(w.template)),
-judged as (select host, template, purity >= {reject} as rejected from walk where depth = len(template))
+judged as (select host, template, purity >= {reject} and labels >= {LEAST_LABELS} as rejected from walk where depth = len(template))
 select r.page_id, r.host, r.path, r.rule, coalesce(r.by_rule, case when j.rejected then 'block' else 'allow' end) as verdict, array_to_string(n.template, '/') as template
 from ruled r join named n on r.host = n.host and r.shape = n.shape join judged j on j.host = n.host and j.template = n.template
 """

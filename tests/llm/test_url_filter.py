@@ -34,7 +34,7 @@ def check(spark, pages):
     for r in got:
         assert any(plain(u) == (r.host, r.path) for u in by_url[r.page_id])
         rule, verdict = plain_rule(r.host, r.path)
-        assert r.rule == rule and (r.verdict == verdict if verdict else r.verdict == ("block" if r.purity >= url_filter.REJECT else "allow"))
+        assert r.rule == rule and (r.verdict == verdict if verdict else r.verdict == ("block" if r.purity >= url_filter.REJECT and r.labels >= url_filter.LEAST_LABELS else "allow"))
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
@@ -42,6 +42,40 @@ def test_pages(spark, sf):
     check(spark, spark.read.parquet(f"/root/testdata/{sf}/pages.parquet"))
 
 
+def test_no_evidence_no_block(spark):
+    """Hosts and branches without any labelled url are allowed, whatever the others are like."""
+    got = url_filter.filter_urls(spark.read.parquet("/root/testdata/sf0.1/pages.parquet")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.host, []).append(r)
+    bare = [rows for rows in by.values() if all(r.rule is None for r in rows)]
+    assert bare and all(r.verdict == "allow" for rows in bare for r in rows)
+    assert all(r.verdict == "allow" for r in got if r.rule is None and r.labels < url_filter.LEAST_LABELS)
+
+
+def nodes(spark, rows):
+    return spark.createDataFrame([("h", 1, "", x, x, n, b, l) for x, n, b, l, _ in rows] + [("h", 2, x, f"{x}/{y}", y, m, 0, 0) for x, _, _, _, kids in rows for y, m in kids.items()] + [("h", 0, None, "", "", 999, 0, 0)],
+                                 "host string, depth int, above string, node string, part string, n long, blocks long, labels long")
+
+
+def test_merge_is_a_test(spark):
+    """Merged are branches alike in labels and in what follows; not the unlike, the few, nor those without labels."""
+    alike = {"#": 50, "page": 50}
+    rows = [("a", 100, 40, 50, alike), ("b", 100, 42, 50, {"#": 48, "page": 52}), ("c", 100, 36, 44, {"#": 2, "x": 98}), ("d", 100, 1, 50, alike), ("e", 100, 0, 0, alike), ("f", 3, 2, 3, {"#": 3})]
+    got = {r.node: (r.blocks, r.labels) for r in url_filter.merged(nodes(spark, rows)).collect()}
+    assert got["a"] == got["b"] == (82, 100)
+    assert got["c"] == (36, 44) and got["d"] == (1, 50) and got["e"] == (0, 0) and got["f"] == (2, 3)
+
+
+def test_wildcards_of_labelled_urls_judge_others(spark):
+    """A template with blocked urls is rejected where no rule fits: the generalised segment stands for both."""
+    rules = (("site.org", "/p/1", "block"), ("site.org", "/ok/1", "allow"))
+    urls = [f"http://site.org/p/{k}" for k in range(40)] + [f"http://site.org/ok/{k}" for k in range(40)] + [f"http://site.org/new/{k}" for k in range(40)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {(r.path, r.verdict) for r in url_filter.filter_urls(pages, rules).collect()}
+    assert ("/p/7", "block") in got and ("/ok/7", "allow") in got and ("/new/7", "allow") in got
+
+
 def test_odd_rows(spark):
     urls = [None, "", "no url", "a://", "x://COM/Ab?q", "http://www.EXAMPLE.com/en/1", "http://example.com/en/", "http://notexample.com/en/", "http://a.net", "http://a.net/es/x.tar.gz#f?g",
             "p://h?x/y", "u://v#w://z/", "http://é.net/ü/\n1", "http://a.net/fr/1", "http://a.net/fr/1", "h://org//a///b.c/"]
