@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir
+from .common import cut, remove, shared_dir
 from .components import connected_components
 from .simhash import _LOWER, SEED, fingerprint
 from .simhash import links as simhash_links
@@ -203,7 +203,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     ties = firsts.join(linked.unionByName(several).distinct(), "node", "left_semi").select(F.col("fp").alias("a"), F.col("node").alias("b"))
     roots = connected_components(simhash_links(firsts.select("fp").distinct()).unionByName(ties).unionByName(likes))
     named = firsts.join(roots, firsts.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-    winners = named.select("first.*")
+    winners = cut(named.select("first.*"))
+    remove(docs.sparkSession, folder)  # all that reads it is done
     names = docs.columns
     marked = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), *key)
     kept = marked.join(winners, ["k0", "k1", "k2"], "left_semi").dropDuplicates(["k0", "k1", "k2"])
