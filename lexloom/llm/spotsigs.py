@@ -2,8 +2,10 @@
 
 A signature is the chain of the CHAIN content words that follow an anchor, an anchor being a
 common word; the start of a text is an anchor too, and a chain at the end of a text may be
-shorter. A text of common words only has one signature, made of all its words. A fingerprint
-is the ascending set of the signatures' 32-bit hashes, each as 8 hex digits; a text without
+shorter. Words are compared in lower case, without symbols around them. Where there are fewer than FEW chains, or
+fewer than one for each SPARSE words (lists, languages without listed anchors, common words only), every word is an
+anchor, and all chains of CHAIN words are signatures; a text of symbols only takes them as its words. So all of a text
+counts. A fingerprint is the ascending set of the signatures' 32-bit hashes, each as 8 hex digits; a text without
 words has the empty fingerprint. Two empty fingerprints have likeness 1, an empty and another 0.
 
 ``near_pairs`` compares sets by pruned Jaccard: sets are partitioned by length, since
@@ -19,13 +21,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import WORD, cut
 
-CHAIN, THRESHOLD = 2, 0.8
+CHAIN, THRESHOLD, FEW, SPARSE = 2, 0.8, 4, 20
 #: Rows of a bucket in ``with_next``, and how many buckets there are at most; larger tables get larger buckets.
-BUCKET_ROWS, MAX_BUCKETS, STRIDE = 1000, 8192, 64
+BUCKET_ROWS, MAX_BUCKETS, STRIDE = 1000, 65536, 256
 _LOWEST = -(1 << 63)
 
+_SPACE = r"[\x20\x09-\x0D]"
+_SYMBOL = r"[^\p{L}\p{N}\x20\x09-\x0D]"
+#: Symbols at a word's beginning or end, looked for only where such a run begins.
+_AROUND = rf"(?<!{_SYMBOL})(?:(?<={_SPACE}|^){_SYMBOL}++|{_SYMBOL}++(?={_SPACE}|\z))"
+
 #: Common words of English, German, French and Spanish (fixed list).
 ANCHORS = (
     "a an and are as at be by for from has he in is it of on that the this to was were will with "
@@ -35,21 +42,31 @@ ANCHORS = (
 ).split()
 
 
+def _bare(text: Column) -> Column:
+    """Lower-case words without the symbols around them, a space between, before and after; each run of symbols is read once."""
+    low = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _AROUND, "")
+    return F.concat(F.lit(" "), F.regexp_replace(F.concat(low, F.lit(" ")), f"{_SPACE}+", " "))
+
+
 def signatures(text: Column, chain: int = CHAIN) -> Column:
     """Ascending distinct signature hashes (longs under 2^32) of a text; an empty array for null or no words."""
-    # Punctuation at a word's end goes with the white space; a space stands before, between and after the words.
-    flat = F.concat(F.lit(" "), F.regexp_replace(F.concat(F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")), "[.,;:!?]*[\\x20\\x09-\\x0D]+", " "))
+    # Arrays of one element name what is used twice.
+    return F.transform(F.array(_bare(text)), lambda flat: _signatures(text, flat, chain))[0]
+
+
+def _signatures(text: Column, flat: Column, chain: int) -> Column:
     parts = F.split(flat, f"(?<= )(?:{'|'.join(sorted(set(ANCHORS)))})(?= )")
     filled = F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
-    # Each part has a word at least, so `chain` parts hold a chain. Arrays of one element name what is used twice.
+    # Each part has a word at least, so `chain` parts hold a chain.
     chains = F.transform(
         F.array(filled),
         lambda ps: F.array_sort(F.array_distinct(F.transform(ps, lambda _, i: _hash(F.substring_index(F.array_join(F.slice(ps, i + 1, chain), " "), " ", chain))))),
     )[0]
-    only = F.trim(flat)
-    return F.transform(
-        F.array(chains), lambda c: F.when(F.size(c) > 0, c).when(only == "", F.array().cast("array<bigint>")).otherwise(F.array(_hash(only)))
-    )[0]
+    raw = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    words = F.when(F.trim(flat) != "", F.split(F.trim(flat), " ")).otherwise(raw)
+    every = F.transform(F.array(words), lambda ws: F.array_sort(F.array_distinct(F.transform(ws, lambda _, i: _hash(F.array_join(F.slice(ws, i + 1, chain), " "))))))[0]
+    spaces = F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit("")))  # one more than words, unless there are none
+    return F.transform(F.array(chains), lambda c: F.when((F.size(c) >= FEW) & (F.size(c) * SPARSE >= spaces), c).otherwise(every))[0]
 
 
 def _hash(x: Column) -> Column:

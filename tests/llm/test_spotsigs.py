@@ -10,17 +10,25 @@ from lexloom.llm import spotsigs
 from pyspark.sql import functions as F
 
 
+def bare(word):
+    inside = [k for k, c in enumerate(word) if c.isalnum()]
+    return word[inside[0] : inside[-1] + 1] if inside else ""
+
+
 def plain_chains(text, chain=2):
-    words = [w for w in re.split(r"[.,;:!?]*[\x20\x09-\x0D]+", (text or "").lower() + " ") if w]
+    raw = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    words = [w for w in (bare(w.lower()) for w in raw) if w]
     content, starts = [], {0}
     for w in words:
         if w in spotsigs.ANCHORS:
             starts.add(len(content))
         else:
             content.append(w)
-    if not content:
-        return {" ".join(words)} if words else set()
-    return {" ".join(content[k : k + chain]) for k in starts if k < len(content)}
+    found = {" ".join(content[k : k + chain]) for k in starts if k < len(content)}
+    if len(found) >= spotsigs.FEW and len(found) * spotsigs.SPARSE >= len(words) + 1:
+        return found
+    words = words or raw
+    return {" ".join(words[k : k + chain]) for k in range(len(words))}
 
 
 def jaccard(a, b):
@@ -55,7 +63,7 @@ def test_documents(spark, sf, monkeypatch, rows):
 
 
 def test_odd_rows(spark):
-    rows = [(None, "the cat sat"), (1, None), (2, ""), (5, "of the"), (9, "Of  the."), (12, "x " * 40000)]
+    rows = [(None, "the cat sat"), (1, None), (2, ""), (5, "of the"), (9, "Of  the."), (12, "x " * 40000), (13, "of*** $$the cat, &&&and&&& dog: in-the (house) 12.5 %%% a b"), (14, "*** --- $$$"), (15, "%" * 200000 + " a"), (16, "a" + "%" * 200000 + "b"), (17, " ".join(f"w{k}x" for k in range(300)) + " the")]
     docs = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, bucket int, key string")
     assert got(spotsigs.edited_and_next(docs)) == want(rows)
     assert got(spotsigs.edited_and_next(docs.limit(1))) == want(rows[:1])
@@ -64,6 +72,14 @@ def test_odd_rows(spark):
     assert got(spotsigs.edited_and_next(twice)) == want([(4, "a b c"), (4, "a b c"), (3, "d the e")])
 
 
+def test_all_words_count(spark):
+    """Texts without anchors differ in their fingerprints wherever they differ; symbols at anchors do not matter."""
+    words = [f"w{k}x" for k in range(200)]
+    texts = [" ".join(words), " ".join([*words[:150], "new", *words[151:]]), "der Hund*** und die%%% Katze, &&&mit dem### Ball", "der Hund und die Katze mit dem Ball"]
+    got = [r.s for r in spark.createDataFrame(list(enumerate(texts)), "k int, t string").orderBy("k").select(spotsigs.signatures(F.col("t")).alias("s")).collect()]
+    assert len(got[0]) == 200 and len(set(got[0]) & set(got[1])) == 198 and got[2] == got[3]
+
+
 def test_pairs(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     members, pairs = spotsigs.near_pairs(docs)
