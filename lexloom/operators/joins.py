@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: From this length on strings meet by grams of GRAM characters instead of pieces.
+LONG, GRAM = 80, 4
+
 
 def first_wins(df: DataFrame, key: str, order: str, last: bool = False) -> DataFrame:
     """One row a key: the first by order, or the last (J1). Combined before the shuffle, so a hot key stays small."""
@@ -66,25 +69,85 @@ def nearest(left: DataFrame, right: DataFrame, key: str, most: int, every_tie: b
     return near.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("m")).select("a", F.col("m.b").alias("b"), F.col("m.distance").alias("distance"))
 
 
-def containing(terms: DataFrame, bodies: DataFrame, term: str = "term", body: str = "body", words: int = 3) -> DataFrame:
-    """Pairs of a term and the body that has it as a run of whole words (J9), by an index of word runs.
+def alike(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """Pairs of a (a) and b (b), distinct strings, that may have a ratio of ``least`` or more (J7, J8): no such pair is missing.
 
-    Terms of up to ``words`` words meet runs of equal length; longer ones meet by their first words and are then looked for.
+    The ratio is twice the matched characters over both lengths m and n, so at most (1 - least)(m + n) characters are left
+    out or put in. Of that many + 1 pieces of b one is whole in a, shifted by no more than what can be put in or left out
+    before it. Where the longer string has LONG characters or more, pairs share one of their rarest grams instead: each
+    edit spoils GRAM grams at most. Strings with too few different grams for that meet by pieces whatever their length.
+    """
+    share = 1 - least + 1e-9
+    n_max, n_min = F.floor(F.length("a") * (2 - least) / least).cast("int"), F.ceil(F.length("a") * least / (2 - least) - 1e-9).cast("int")
+
+    def by_pieces(a: DataFrame, b: DataFrame) -> DataFrame:
+        # offered: pieces of b for each number of edits that a partner can have; look: the places in a where they can be.
+        sizes = b.select("b", F.length("b").alias("n"))
+        top = F.floor(share * (F.col("n") + F.floor(F.col("n") * (2 - least) / least))).cast("int")
+        low = F.floor(share * (F.col("n") + F.ceil(F.col("n") * least / (2 - least) - 1e-9))).cast("int")
+        cut = lambda i: F.floor(F.col("n") * i / (F.col("d") + 1)).cast("int")
+        offered = sizes.select("b", "n", F.explode(F.sequence(low, top)).alias("d")).select("b", "n", "d", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("i"))
+        offered = offered.select("b", "n", "d", "i", cut(F.col("i")).alias("x"), cut(F.col("i") + 1).alias("y")).select("b", "n", "d", "i", F.expr("substring(b, x + 1, y - x)").alias("piece"))
+        m = F.length("a")
+        look = a.select("a", m.alias("m"), F.explode(F.sequence(F.greatest(n_min, F.lit(1)), F.greatest(n_max, F.lit(1)))).alias("n"))
+        look = look.withColumn("d", F.floor(share * (F.col("m") + F.col("n"))).cast("int")).where("abs(m - n) <= d")
+        look = look.select("a", "m", "n", "d", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("i"))
+        look = look.select("a", "m", "n", "d", "i", cut(F.col("i")).alias("x"), cut(F.col("i") + 1).alias("y"), F.explode(F.expr("sequence(cast(floor(-(d + n - m) / 2) as int), cast(ceil((d + m - n) / 2) as int))")).alias("s"))
+        look = look.where("x + s >= 0 and y + s <= m").select("a", "n", "d", "i", F.expr("substring(a, x + s + 1, y - x)").alias("piece")).distinct()
+        return look.join(offered, ["n", "d", "i", "piece"]).select("a", "b").distinct()
+
+    def grams(df: DataFrame, x: str) -> DataFrame:
+        all_ = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - GRAM + 1), lambda k: F.substring(x, k, F.lit(GRAM))))
+        d = F.floor(share * (F.length(x) + F.floor(F.length(x) * (2 - least) / least))).cast("int")
+        return df.where(F.length(x) >= LONG * least / (2 - least) - 1).select(F.col(x), all_.alias("g"), (GRAM * d + 1).alias("p"))
+
+    def by_grams(a: DataFrame, b: DataFrame) -> DataFrame:
+        ga, gb = grams(a, "a"), grams(b, "b")
+        often = gb.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count("*").alias("often"))
+
+        def heads(df: DataFrame, x: str) -> DataFrame:
+            each = df.select(x, "p", F.explode("g").alias("gram")).join(often, "gram", "left").groupBy(x).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "gram"))).alias("by"), F.first("p").alias("p"))
+            return each.select(x, F.explode(F.slice("by", F.lit(1), F.col("p"))).alias("s")).select(x, F.col("s.gram").alias("gram"))
+
+        met = heads(ga, "a").join(heads(gb, "b"), "gram").where(f"least(length(a), length(b)) * {(2 - least) / least} + 1e-6 >= greatest(length(a), length(b))")
+        return met.select("a", "b").distinct()
+
+    longer = F.greatest(F.length("a"), F.length("b"))
+    short = lambda df, x: df.where(F.length(x) < LONG)
+    # A pair is safe to meet by grams if both have more different grams than the edits can spoil.
+    poor = lambda df, x: grams(df, x).where(F.size("g") < 2 * F.col("p")).select(x)
+    pairs = by_pieces(short(a, "a"), short(b, "b")).where(longer < LONG)
+    pairs = pairs.unionByName(by_grams(a, b).where(longer >= LONG)).unionByName(by_pieces(poor(a, "a"), poor(b, "b")).where(longer >= LONG)).distinct()
+    most = F.floor(share * (F.length("a") + F.length("b"))).cast("int")
+    return pairs.where(F.levenshtein("a", "b") <= most)
+
+
+def containing(terms: DataFrame, bodies: DataFrame, term: str = "term", body: str = "body", words: int = 3, key: str = "index") -> DataFrame:
+    """Pairs (term, key) of a term and the bodies that have it as a run of whole words (J9), by an index of word runs.
+
+    Terms of up to ``words`` words meet equal runs, so only keys and runs that some term begins with are shuffled; longer
+    ones meet by their first words, and their bodies are fetched for the pairs found.
     """
     clean = lambda c: F.filter(F.split(F.upper(F.col(c)), "[^A-Z0-9]+"), lambda w: w != "")
-    t = terms.withColumn("tw", clean(term)).where(F.size("tw") > 0).withColumn("k", F.array_join(F.slice("tw", 1, words), " ")).withColumn("all", F.array_join("tw", " "))
-    b = bodies.withColumn("bw", clean(body)).withColumn("flat", F.concat(F.lit(" "), F.array_join("bw", " "), F.lit(" ")))
+    t = terms.select(term, clean(term).alias("tw")).where(F.size("tw") > 0)
+    t = t.select(term, F.array_join(F.slice("tw", 1, words), " ").alias("k"), F.when(F.size("tw") > words, F.array_join("tw", " ")).alias("all"))
     runs = [F.expr(f"transform(bw, (w, i) -> if(i + {n} <= size(bw), array_join(slice(bw, i + 1, {n}), ' '), null))") for n in range(1, words + 1)]
-    b = b.withColumn("k", F.explode(F.array_distinct(F.array_compact(F.concat(*runs)))))
-    return t.join(b, "k").where(F.contains("flat", F.concat(F.lit(" "), F.col("all"), F.lit(" ")))).drop("tw", "bw", "k", "all", "flat")
+    each = bodies.select(key, clean(body).alias("bw")).select(key, F.explode(F.array_distinct(F.array_compact(F.concat(*runs)))).alias("k"))
+    met = each.join(t.select("k").distinct(), "k", "left_semi").join(t, "k")
+    short = met.where(F.col("all").isNull()).select(term, key)
+    long = met.where(F.col("all").isNotNull()).join(bodies.select(key, F.col(body).alias("_body")), key)
+    flat = F.concat(F.lit(" "), F.array_join(clean("_body"), " "), F.lit(" "))
+    return short.unionByName(long.where(F.contains(flat, F.concat(F.lit(" "), F.col("all"), F.lit(" ")))).select(term, key))
 
 
 def neighbours(df: DataFrame, order: list[str], value: str, *by: str) -> DataFrame:
-    """The nearest known value before and after each row, in order within each group."""
-    w = W.partitionBy(*by).orderBy(*order)
-    before = F.last(value, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
-    after = F.first(value, ignorenulls=True).over(w.rowsBetween(1, W.unboundedFollowing))
-    return df.withColumn("before", before).withColumn("after", after)
+    """The nearest known value before and after each row, in order within each group.
+
+    Both frames begin at an end of the group and grow by a row, so a group is read twice whatever its size.
+    """
+    forth, back = W.partitionBy(*by).orderBy(*order), W.partitionBy(*by).orderBy(*(F.col(c).desc() for c in order))
+    last = lambda w: F.last(value, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+    return df.withColumn("before", last(forth)).withColumn("after", last(back))
 
 
 def band(left: DataFrame, right: DataFrame, a: str, b: str, width: int) -> DataFrame:
@@ -96,10 +159,12 @@ def band(left: DataFrame, right: DataFrame, a: str, b: str, width: int) -> DataF
 def line_start(terms: DataFrame, lines: DataFrame, most_pages: int = 3) -> DataFrame:
     """Pages on which a line begins with a term and '.', ',' or its end; terms on more than ``most_pages`` pages go.
 
-    The first word of term and line is the key of the join; the whole term is then compared.
+    The first two words are the key of the join, of a term of one word that word; the whole term is then compared.
     """
-    first = lambda c: F.regexp_extract(F.upper(F.col(c)), r"^\s*([A-Z0-9]+)", 1)
-    t, x = terms.withColumn("_k", first("term")).where("_k <> ''"), lines.withColumn("_k", first("line"))
+    begin = lambda c, n: F.regexp_extract(F.upper(F.col(c)), r"^\s*([A-Z0-9]+" + r"[^A-Z0-9]+[A-Z0-9]+" * (n - 1) + ")", 1)
+    t = terms.withColumn("_k", F.when(begin("term", 2) != "", begin("term", 2)).otherwise(begin("term", 1))).where("_k <> ''")
+    keys = F.array_distinct(F.filter(F.array(begin("line", 1), begin("line", 2)), lambda k: k != ""))
+    x = lines.withColumn("_k", F.explode(keys))
     rest = F.expr("substring(upper(ltrim(line)), length(term) + 1, 1)")
     met = t.join(x, "_k").where(F.startswith(F.upper(F.ltrim("line")), F.col("term")) & rest.isin(".", ",", ""))
     pages = met.groupBy("term").agg(F.array_sort(F.collect_set("page")).alias("pages"))

@@ -160,7 +160,7 @@ def route_corrections(corrections: DataFrame, entries: DataFrame) -> DataFrame:
     fixed, cut = replace_first("body", "old", "new"), trim_at("body", "trim_at")
     kind, missing = F.col("type"), F.col("body").isNull()
     outcome = (
-        F.when(missing, "failed").when(kind == "ocr_fix", F.when(archaic("old"), "rejected").when(~F.contains("body", "old"), "failed").otherwise("accepted"))
+        F.when(missing, "failed").when(kind == "ocr_fix", F.when(archaic("old", "new"), "rejected").when(~F.contains("body", "old"), "failed").otherwise("accepted"))
         .when(kind == "trim", F.when(cut != F.col("body"), "accepted").otherwise("failed")).when(kind.isin("headword", "flag"), "flagged").otherwise("failed")
     )
     out = j.withColumn("outcome", outcome)

@@ -10,7 +10,11 @@ from .aggregate import rate
 
 #: What a forward reference may begin with, and words that are no target (fixed values).
 PREFIX = "See also|See|see|Vide|Same as"
-STOP = ("THE", "AND", "OR", "OF", "IN", "TO", "A", "AN", "THAT", "THIS", "SUPRA", "INFRA", "ANTE", "POST")
+STOP = (
+    "A", "AN", "AS", "AT", "BE", "BY", "DO", "GO", "HE", "IF", "IN", "IS", "IT", "ME", "MY", "NO", "OF", "ON", "OR", "SO", "TO", "UP", "WE", "THE", "AND",
+    "BUT", "FOR", "NOR", "NOT", "YET", "ALL", "ANY", "ARE", "HIS", "HER", "HAS", "HAD", "WAS", "DID", "CAN", "MAY", "ITS", "OUR", "OWN", "USE", "WAY", "OUT",
+    "SUPRA", "INFRA", "ANTE", "POST", "ALSO", "THOSE", "TITLES", "THAT",
+)
 FORWARD = rf"\b({PREFIX})\s+([A-Z][A-Z '&.;,-]{{0,80}})"
 BACK = r"((?:[A-Za-z'-]+\s+){0,3}[A-Za-z'-]+)\s*\(q\. v\.\)"
 WHICH = r"((?:[A-Za-z'-]+\s+){0,4}[A-Za-z'-]+),\s*which see"
@@ -79,19 +83,27 @@ def truncated(term: Column) -> Column:
     return (F.length(term) <= 3) | ((F.length(last) == 1) & (last != "A"))
 
 
-def triage(missing: DataFrame, heads: DataFrame, suppressed: DataFrame, most: int = 2) -> DataFrame:
-    """A reason for each missing target; the first that fits: garbled, truncated, suppressed, compact, fuzzy, absent."""
-    compact = heads.select(F.regexp_replace("term", "[^A-Z0-9]", "").alias("ck"), "term").groupBy("ck").agg(F.min("term").alias("compact"))
-    out = missing.withColumn("ck", F.regexp_replace("term", "[^A-Z0-9]", "")).join(compact, "ck", "left").drop("ck")
+def triage(missing: DataFrame, heads: DataFrame, suppressed: DataFrame, most: int = 2, entries: DataFrame | None = None) -> DataFrame:
+    """A reason for each missing target; the first that fits: garbled, truncated, suppressed, compact, subentry, fuzzy, absent.
+
+    entries (index, term, body), where given: a target that stands as whole words in the body of another entry is its subentry.
+    """
+    compact = heads.select(F.regexp_replace("term", r"[\s-]", "").alias("ck"), "term").groupBy("ck").agg(F.min("term").alias("compact"))
+    out = missing.withColumn("ck", F.regexp_replace("term", r"[\s-]", "")).join(compact, "ck", "left").drop("ck")
     out = out.join(suppressed.select("term").distinct().withColumn("hidden", F.lit(True)), "term", "left")
     near = J.nearest(missing.where("length(term) >= 8"), heads, "term", most)
     near = near.where((F.length("a") >= 12) | (F.col("distance") <= 1)).select(F.col("a").alias("term"), F.col("b").alias("near"))
     out = out.join(near, "term", "left")
+    if entries is None:
+        out = out.withColumn("inside", F.lit(None).cast("boolean"))
+    else:
+        found = J.containing(missing.select("term").distinct(), entries).join(entries.select("index", F.upper("term").alias("owner")), "index").where("term <> owner")
+        out = out.join(found.groupBy("term").agg(F.lit(True).alias("inside")), "term", "left")
     reason = (
         F.when(F.col("term").rlike("[0-9]"), "ocr_garbled").when(truncated(F.col("term")), "truncated").when(F.col("hidden"), "suppressed")
-        .when(F.col("compact").isNotNull(), "compact_match").when(F.col("near").isNotNull(), "fuzzy").otherwise("absent")
+        .when(F.col("compact").isNotNull(), "compact_match").when(F.col("inside"), "subentry").when(F.col("near").isNotNull(), "fuzzy").otherwise("absent")
     )
-    return out.select("term", reason.alias("reason"), F.coalesce("compact", "near").alias("suggestion"))
+    return out.select("term", reason.alias("reason"), F.when(F.col("compact").isNotNull() | F.col("inside").isNull(), F.coalesce("compact", "near")).alias("suggestion"))
 
 
 def see_target(body: Column) -> Column:

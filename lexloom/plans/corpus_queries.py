@@ -147,16 +147,16 @@ def neighbor_asof(spark, sf):
     return J.neighbours(p, ["head", "k"], "page", "letter").select("k", "before", "after")
 
 
-@query(f"with {PAGES} select a.k, b.p_partkey as part, b.p_partkey - a.page as gap from paged a join part b on abs(a.page - b.p_partkey) <= 2 where a.k % 50 = 1")
+@query(f"with {PAGES} select a.k, b.p_partkey as part, b.p_partkey - a.page as gap from paged a join part b on abs(a.page - b.p_partkey) <= 2")
 def page_band_join(spark, sf):
-    a = _paged(spark, sf).where("k % 50 = 1")
+    a = _paged(spark, sf)
     b = table(spark, sf, "part").select(F.col("p_partkey").alias("part"))
     return J.band(a, b, "page", "part", 2).select("k", "part", (F.col("part") - F.col("page")).alias("gap"))
 
 
-@query(f"with {PAGES} select k, part, gap from (select a.k, b.p_partkey as part, abs(b.p_partkey - a.page) as gap, row_number() over (partition by a.k order by abs(b.p_partkey - a.page), b.p_partkey) as r from paged a join part b on abs(a.page - b.p_partkey) <= 5 and b.p_size > 25 where a.k % 50 = 1) where r = 1")
+@query(f"with {PAGES} select k, part, gap from (select a.k, b.p_partkey as part, abs(b.p_partkey - a.page) as gap, row_number() over (partition by a.k order by abs(b.p_partkey - a.page), b.p_partkey) as r from paged a join part b on abs(a.page - b.p_partkey) <= 5 and b.p_size > 25) where r = 1")
 def closest_candidate(spark, sf):
-    a = _paged(spark, sf).where("k % 50 = 1")
+    a = _paged(spark, sf)
     b = table(spark, sf, "part").where("p_size > 25").select(F.col("p_partkey").alias("part"))
     pairs = J.band(a, b, "page", "part", 5).select("k", "part", F.abs(F.col("part") - F.col("page")).alias("gap"))
     return J.closest(pairs, "k", F.col("gap"), "part").select("k", "part", "gap")
@@ -180,11 +180,11 @@ def line_start_pages(spark, sf):
     return J.line_start(lex.select("term").where(F.col("term").rlike("^[A-Z]")).distinct(), lines)
 
 
-@query(LEX + """, t as (select distinct term from lex where regexp_matches(term, '^[A-Z]+ [A-Z]+$')), b as (select index, concat(' ', array_to_string(list_filter(string_split_regex(upper(body), '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as flat from lex where index % 4 = 0)
+@query(LEX + """, t as (select distinct term from lex where regexp_matches(term, '^[A-Z]+ [A-Z]+$')), b as (select index, concat(' ', array_to_string(list_filter(string_split_regex(upper(body), '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as flat from lex)
 select term, index from t join b on contains(flat, concat(' ', term, ' '))""")
 def term_in_body(spark, sf):
     lex = lexicon(spark, sf)
-    return J.containing(lex.select("term").where(F.col("term").rlike("^[A-Z]+ [A-Z]+$")).distinct(), lex.where("index % 4 = 0").select("index", "body")).select("term", "index")
+    return J.containing(lex.select("term").where(F.col("term").rlike("^[A-Z]+ [A-Z]+$")).distinct(), lex.select("index", "body")).select("term", "index")
 
 
 @query(LEX + """, w as (select index, term as k1, upper(split_part(term, ' ', 1)) as k2 from lex where index % 2 = 0), h as (select term, min(index) as v from lex where index % 2 = 1 group by term)
@@ -208,7 +208,7 @@ def scan_in_order(spark, sf):
 # Cross-references: planted at the end of bodies, as the tables have none ----------------------------
 REFS = LEX + r""", heads as (select distinct term from lex where regexp_matches(term, '^[A-Z]+( [A-Z]+)?$')),
 xb as (select index, concat('See also ', term, ' EXTRA WORD; ', split_part(term, ' ', 1), '. Then ', lower(split_part(term, ' ', 2)), ' ', term, ' (q. v.) or the ', term, ', which see') as body from lex where regexp_matches(term, '^[A-Z]+ [A-Z]+$')),
-stop as (select unnest(['THE','AND','OR','OF','IN','TO','A','AN','THAT','THIS','SUPRA','INFRA','ANTE','POST']) as w),
+stop as (select unnest([STOPWORDS]) as w),
 fw as (select index, n - 1 as nth, unnest(string_split(raw, ';')) as raw, generate_subscripts(string_split(raw, ';'), 1) - 1 as part from (select index, unnest(regexp_extract_all(body, '\b(See also|See|see|Vide|Same as)\s+([A-Z][A-Z ''&.;,-]{0,80})', 2)) as raw, generate_subscripts(regexp_extract_all(body, '\b(See also|See|see|Vide|Same as)\s+([A-Z][A-Z ''&.;,-]{0,80})', 2), 1) as n from xb)),
 forward as (select index, nth * 100 + part as nth, regexp_replace(regexp_replace(raw, '^\s+', ''), '[,;:.\s]+$', '') as raw from fw where regexp_replace(regexp_replace(raw, '^\s+', ''), '[,;:.\s]+$', '') <> ''),
 qv as (select index, unnest(regexp_extract_all(body, '((?:[A-Za-z''-]+\s+){0,3}[A-Za-z''-]+)\s*\(q\. v\.\)', 1)) as raw from xb),
@@ -217,7 +217,7 @@ pre as (select raw, n, upper(array_to_string(w[1:n], ' ')) as term, array_to_str
 best_pre as (select raw, max(n) as n, arg_max(term, n) as target, arg_max(rest, n) as rest from pre where length(term) >= 2 and term not in (select w from stop) and term in (select term from heads) group by raw),
 sub as (select raw, n, pos, upper(array_to_string(w[pos:pos + n - 1], ' ')) as term from (select distinct raw, string_split_regex(raw, '\s+') as w from (select raw from qv union select raw from ws)), range(1, 10) t(n), range(1, 10) u(pos) where pos + n - 1 <= len(w)),
 best_sub as (select raw, arg_max(term, (n, pos)) as target from sub where length(term) >= 2 and term not in (select w from stop) and term in (select term from heads) group by raw)
-"""
+""".replace("STOPWORDS", ",".join(f"'{w}'" for w in X.STOP))
 
 
 def _refs(spark, sf):
@@ -270,13 +270,16 @@ def xref_unresolved(spark, sf):
     return _sees(spark, sf)[0]
 
 
-@query(SEES + """, compact as (select regexp_replace(term, '[^A-Z0-9]', '', 'g') as ck, min(term) as compact from heads group by 1), hidden as (select distinct term from lex where entry_type = 'fragment_artifact'),
+@query(SEES + """, compact as (select regexp_replace(term, '[\\s-]', '', 'g') as ck, min(term) as compact from heads group by 1), hidden as (select distinct term from lex where entry_type = 'fragment_artifact'),
 near as (select m.term, arg_min(h.term, (levenshtein(m.term, h.term), h.term)) as near, min(levenshtein(m.term, h.term)) as d from missing m, heads h where length(m.term) >= 8 and abs(length(m.term) - length(h.term)) <= 2 and levenshtein(m.term, h.term) <= 2 group by m.term),
-j as (select m.term, c.compact, h.term is not null as hid, case when length(m.term) >= 12 or d <= 1 then near end as near from missing m left join compact c on c.ck = regexp_replace(m.term, '[^A-Z0-9]', '', 'g') left join hidden h on h.term = m.term left join near on near.term = m.term)
-select term, case when regexp_matches(term, '[0-9]') then 'ocr_garbled' when length(term) <= 3 or (length(regexp_extract(term, '(\\S+)$', 1)) = 1 and regexp_extract(term, '(\\S+)$', 1) <> 'A') then 'truncated' when hid then 'suppressed' when compact is not null then 'compact_match' when near is not null then 'fuzzy' else 'absent' end as reason, coalesce(compact, near) as suggestion from j""")
+flat as (select upper(term) as owner, concat(' ', array_to_string(list_filter(string_split_regex(upper(body), '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as flat from lex),
+wanted as (select term, concat(' ', array_to_string(list_filter(string_split_regex(term, '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as run from missing),
+inside as (select distinct w.term from wanted w join flat f on w.run <> '  ' and w.run <> ' ' and contains(f.flat, w.run) and f.owner <> w.term),
+j as (select m.term, c.compact, i.term is not null as inside, h.term is not null as hid, case when length(m.term) >= 12 or d <= 1 then near end as near from missing m left join compact c on c.ck = regexp_replace(m.term, '[\\s-]', '', 'g') left join hidden h on h.term = m.term left join near on near.term = m.term left join inside i on i.term = m.term)
+select term, case when regexp_matches(term, '[0-9]') then 'ocr_garbled' when length(term) <= 3 or (length(regexp_extract(term, '(\\S+)$', 1)) = 1 and regexp_extract(term, '(\\S+)$', 1) <> 'A') then 'truncated' when hid then 'suppressed' when compact is not null then 'compact_match' when inside then 'subentry' when near is not null then 'fuzzy' else 'absent' end as reason, case when compact is not null or not inside then coalesce(compact, near) end as suggestion from j""")
 def xref_triage(spark, sf):
     missing, lex = _sees(spark, sf)
-    return X.triage(missing.select("term"), lex.select("term").distinct(), lex.where("entry_type = 'fragment_artifact'"))
+    return X.triage(missing.select("term"), lex.select("term").distinct(), lex.where("entry_type = 'fragment_artifact'"), entries=lex)
 
 
 @query(LEX + r"""select index, upper(regexp_extract(concat('See ', term, '.'), '^\s*[Ss]ee\s+([A-Z][A-Za-z ''&-]{1,80}?)\s*[.,;]?\s*$', 1)) as target from lex where regexp_matches(concat('See ', term, '.'), '^\s*[Ss]ee\s+([A-Z][A-Za-z ''&-]{1,80}?)\s*[.,;]?\s*$')""")

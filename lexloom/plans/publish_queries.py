@@ -13,16 +13,16 @@ from .registry import query
 
 LEX = f"with {SQL}"
 # Headwords of every doubtful kind, made from the index.
-ODD_SQL = """case when index % 9 = 0 then 'B' when index % 9 = 1 then concat(term, ' (X)') when index % 9 = 2 then concat(term, '.X') when index % 9 = 3 then concat('12 ', term, ' ') when index % 9 = 4 then 'A. B. C.' else term end"""
+ODD_SQL = """case when index % 9 = 0 then 'B' when index % 9 = 1 then concat(term, ' (X)') when index % 9 = 2 then concat(term, '.X') when index % 9 = 3 then concat('12 ', term, ' ') when index % 9 = 4 then 'A. B. C.' when index % 9 = 5 then 'A' else term end"""
 
 
 def _odd():
     i, t = F.col("index") % 9, F.col("term")
-    return F.when(i == 0, "B").when(i == 1, F.concat(t, F.lit(" (X)"))).when(i == 2, F.concat(t, F.lit(".X"))).when(i == 3, F.concat(F.lit("12 "), t, F.lit(" "))).when(i == 4, "A. B. C.").otherwise(t)
+    return F.when(i == 0, "B").when(i == 1, F.concat(t, F.lit(" (X)"))).when(i == 2, F.concat(t, F.lit(".X"))).when(i == 3, F.concat(F.lit("12 "), t, F.lit(" "))).when(i == 4, "A. B. C.").when(i == 5, "A").otherwise(t)
 
 
 @query(LEX + rf""", o as (select index, {ODD_SQL} as term from lex), r as (select index, term, list_sort(list_filter([
-case when length(term) = 1 and term <> 'A' then 'single_letter' end, case when length(term) < 2 then 'too_short' end, case when regexp_matches(term, '[();]') then 'embedded_punctuation' end,
+case when length(term) = 1 and term <> 'A' then 'single_letter' end, case when length(term) < 2 and term <> 'A' then 'too_short' end, case when regexp_matches(term, '[();]') then 'embedded_punctuation' end,
 case when contains(term, '.') and not regexp_matches(term, '^[A-Z]{{1,4}}\.\s*$|^[A-Z]\.[A-Z]') and not regexp_matches(term, '^[A-Z]\.\s*[A-Z]\.') then 'suspicious_period' end,
 case when regexp_matches(term, '^\d+\s+([A-Z]|[A-Za-z]+\.)\s') then 'citation_fragment' end], lambda x: x is not null)) as reasons from o)
 select index, term, array_to_string(reasons, ',') as reasons from r where len(reasons) > 0""")
@@ -40,9 +40,9 @@ def audit_boundary(spark, sf):
     return b.select("index", V.boundary(F.col("term"), F.col("body")).alias("caps")).where("caps is not null").unionByName(none)
 
 
-@query(LEX + "select index, length(trim(substr(body, 1, index % 40))) as n from lex where length(trim(substr(body, 1, index % 40))) < 20")
+@query(LEX + "select index, length(trim(b)) as n from (select index, case when index % 3 = 0 then concat(repeat('x', cast(index % 40 as int)), '  ') else body end as b from lex) where length(trim(b)) < 20")
 def audit_near_empty(spark, sf):
-    b = lexicon(spark, sf).select("index", F.substring("body", F.lit(1), (F.col("index") % 40).cast("int")).alias("b"))
+    b = lexicon(spark, sf).select("index", F.expr("case when index % 3 = 0 then concat(repeat('x', cast(index % 40 as int)), '  ') else body end").alias("b"))
     return b.where(V.near_empty(F.col("b"))).select("index", F.length(F.trim("b")).cast("long").alias("n"))
 
 
@@ -60,12 +60,12 @@ def audit_reflow(spark, sf):
     return b.where("pairs > 0")
 
 
-@query(LEX + r""", b as (select index, concat(substr(body, 1, 80), case when index % 2 = 0 then ' the 4th 4nd, 7x; @' else ' 12th ' end) as body from lex),
-d as (select index, list_filter(regexp_extract_all(body, '(?:^|[^0-9§–,./#:a-zA-Z-])(\d[a-z]{1,3})(?:[\s,;.)])', 1), lambda x: not regexp_matches(x, '^\d+(st|nd|rd|th|d|s)$')) as odd, contains(body, '@') as at_sign from b)
+@query(LEX + r""", b as (select index, concat(body, case when index % 2 = 0 then ' the 4th 4nd 4ll, 7x; (5s) a4t, x-4n @' else ' 12th ' end) as body from lex),
+d as (select index, list_filter(regexp_extract_all(regexp_replace(body, '([\s,;.)])', '\1\1', 'g'), '(?:^|[^0-9§–,./#:-])(\d[a-z]{1,3})(?:[\s,;.)])', 1), lambda x: not regexp_matches(x, '^\d+(st|nd|rd|th|d|s)$')) as odd, contains(body, '@') as at_sign from b)
 select index, array_to_string(case when at_sign then list_append(odd, '@') else odd end, ' ') as found from d where len(odd) > 0 or at_sign""")
 def audit_ocr(spark, sf):
-    extra = F.when(F.col("index") % 2 == 0, " the 4th 4nd, 7x; @").otherwise(" 12th ")
-    b = lexicon(spark, sf).select("index", V.ocr_artifacts(F.concat(F.substring("body", 1, 80), extra)).alias("odd"))
+    extra = F.when(F.col("index") % 2 == 0, " the 4th 4nd 4ll, 7x; (5s) a4t, x-4n @").otherwise(" 12th ")
+    b = lexicon(spark, sf).select("index", V.ocr_artifacts(F.concat("body", extra)).alias("odd"))
     return b.where(F.size("odd") > 0).select("index", F.array_join("odd", " ").alias("found"))
 
 
@@ -129,12 +129,14 @@ def build_flags(spark, sf):
     return lexicon(spark, sf).select("index", F.array_join(V.build_flags(F.col("term"), body, src, (i % 5 - 2).cast("double")), ",").alias("flags"))
 
 
-@query(LEX + r""", b as (select index, case when index % 4 = 0 then concat('See ', term, '.') when index % 4 = 1 then concat('Smith v. Jones. ', substr(body, 1, 100)) when index % 4 = 2 then concat('A tax is Smith v. Jones ', substr(body, 1, 50)) else body end as b from lex)
-select index, case when length(b) < 80 and regexp_matches(b, '^(See|Cf\.) ') and regexp_matches(b, '^(See|Cf\.) [A-Z][A-Za-z ,''-]*[.;]?\s*$') then 'short_see' when len(regexp_extract_all(b, '\b[A-Z][a-z]+ v\. [A-Z][a-z]+')) >= 1 and not regexp_matches(b, '\b(is|means|denotes|signifies)\b|\b[Aa] \w+ who\b') and (length(b) < 400 or len(regexp_extract_all(b, '\b[A-Z][a-z]+ v\. [A-Z][a-z]+')) >= 2) then 'court_cites_no_def' end as phantom from b""")
+CITING = r"""case when index % 5 = 0 then concat('See ', term, '.') when index % 5 = 1 then concat('Smith v. Jones. ', body) when index % 5 = 2 then concat('A tax is Smith v. Jones ', body) when index % 5 = 3 then 'Doe' || chr(10) || 'v. Roe v. Poe. 1 v. X' else body end"""
+
+
+@query(LEX + rf""", b as (select index, {CITING} as b from lex), c as (select index, b, len(regexp_extract_all(b, '(?i)([A-Z][a-z]+(?:.+?)?)\s+v\.\s+[A-Z]')) as cites from b)
+select index, case when length(b) < 80 and regexp_matches(b, '^(See|Cf\.) ') then case when trim(regexp_replace(b, '(?i)^(See|Cf\.)\s+[A-Z\s,]+[.;]\s*', '')) = '' then 'short_see' end
+when cites > 0 and not regexp_matches(b, '(?i)\b(is|means|denotes|signifies|a\s+.*?\s+who)\b') and (length(b) < 400 or cites >= 2) then 'court_cites_no_def' end as phantom from c""")
 def phantom_candidates(spark, sf):
-    i = F.col("index") % 4
-    b = F.when(i == 0, F.concat(F.lit("See "), "term", F.lit("."))).when(i == 1, F.concat(F.lit("Smith v. Jones. "), F.substring("body", 1, 100))).when(i == 2, F.concat(F.lit("A tax is Smith v. Jones "), F.substring("body", 1, 50))).otherwise(F.col("body"))
-    return lexicon(spark, sf).select("index", V.phantom(b).alias("phantom"))
+    return lexicon(spark, sf).select("index", V.phantom(F.expr(CITING.replace("chr(10)", "'\\n'"))).alias("phantom"))
 
 
 @query(LEX + rf""", o as (select index, {ODD_SQL} as term, body from lex) select index, regexp_matches(term, '^(?:[A-Z]\.){{1,6}}(?:\s*[&]\s*(?:[A-Z]\.){{1,4}})?$|^[A-Z]\.\s*[A-Z]\.$|^[A-Z]\.[A-Z&]\.|^[A-Z]\.[&)(\]]|^[A-Z]\.[A-Z]$') as abbreviation,
@@ -147,22 +149,23 @@ def headword_kinds(spark, sf):
 
 @query()
 def near_dup_pairs(spark, sf):
-    """Pairs of ratio 0.95 or more (difflib; tested by brute force)."""
-    heads = lexicon(spark, sf).select(F.upper(F.substring("body", 1, 30)).alias("term")).where("length(term) = 30")
-    spoiled = heads.select(F.concat(F.substring("term", 1, 20), F.lit("#"), F.expr("substring(term, 22)")).alias("term"))
-    return V.near_duplicates(heads.unionByName(spoiled))
+    """Pairs of ratio 0.95 or more among all headwords, spoiled ones and long ones (difflib; tested by brute force)."""
+    heads = lexicon(spark, sf).select("term")
+    spoiled = heads.select(F.concat("term", F.lit("S")).alias("term"))
+    long = table(spark, sf, "benchmark").select(F.upper("text").alias("term"))
+    return V.near_duplicates(heads.unionByName(spoiled).unionByName(long).unionByName(long.select(F.concat("term", F.lit(" X")).alias("term"))))
 
 
-@query(LEX + """, h as (select distinct substr(term, 1, 12) as w from lex where length(term) >= 4) select a.w as a, b.w as b, cast(levenshtein(a.w, b.w) as int) as distance from h a join h b on a.w < b.w and abs(length(a.w) - length(b.w)) <= 1 and levenshtein(a.w, b.w) <= 1""")
+@query(LEX + """, h as (select distinct term as w from lex where length(term) >= 4) select a.w as a, b.w as b, cast(levenshtein(a.w, b.w) as int) as distance from h a join h b on a.w < b.w and abs(length(a.w) - length(b.w)) <= 1 and levenshtein(a.w, b.w) <= 1""")
 def near_dup_lev(spark, sf):
     from ..operators import joins as J
 
-    return J.within(lexicon(spark, sf).where("length(term) >= 4").select(F.substring("term", 1, 12).alias("w")), "w", 1)
+    return J.within(lexicon(spark, sf).where("length(term) >= 4").select(F.col("term").alias("w")), "w", 1)
 
 
 # Overlay ------------------------------------------------------------------------------------------
 BUILD = """o as (select index, term, entry_type, case when index % 6 = 0 then concat('old ', term) end as original_term, case when index % 10 = 0 then 'manual body' end as manual, case when index % 3 = 0 then null else term end as source_headword,
- index % 7 = 0 as flagged, case when index % 4 = 0 then '' else substr(body, 1, 60) end as rebuilt, case when index % 5 = 0 then null else substr(body, 1, index % 90) end as legacy from lex),
+ index % 7 = 0 as flagged, case when index % 4 = 0 then '' when index % 4 = 1 then concat('n. , ', body) else body end as rebuilt, case when index % 5 = 0 then null when index % 5 < 3 then repeat('l', cast(index % 90 as int)) else body end as legacy from lex),
 p as (select *, trim(coalesce(rebuilt, '')) as rb, trim(coalesce(legacy, '')) as lb from o),
 q as (select *, not flagged and rb <> '' and not (length(regexp_replace(rb, '^\\s+|\\s+$', '', 'g')) < 10 or regexp_matches(regexp_replace(rb, '\\s+', ' ', 'g'), '^\\s*[a-z]{1,3}\\. from\\.|^\\s*[a-z]{1,3}\\.\\s*[.,;]') or regexp_matches(regexp_replace(rb, '^\\s+', ''), '^[,;]|^\\.[ \\n]')) as usable from p),
 picked as (select *, case when manual is not null then 'manual_correction' when source_headword is not null and usable then 'rebuilt' when lb <> '' then 'legacy' when rb <> '' then 'rebuilt_garbled' else 'empty' end as body_source from q)
@@ -173,7 +176,7 @@ def _overlay(spark, sf):
     i = F.col("index")
     return lexicon(spark, sf).select(
         "index", "term", "entry_type", F.when(i % 6 == 0, F.concat(F.lit("old "), "term")).alias("original_term"), F.when(i % 10 == 0, "manual body").alias("manual"), F.when(i % 3 != 0, F.col("term")).alias("source_headword"),
-        (i % 7 == 0).alias("flagged"), F.when(i % 4 == 0, "").otherwise(F.substring("body", 1, 60)).alias("rebuilt"), F.when(i % 5 != 0, F.substring("body", F.lit(1), (i % 90).cast("int"))).alias("legacy"),
+        (i % 7 == 0).alias("flagged"), F.when(i % 4 == 0, "").when(i % 4 == 1, F.concat(F.lit("n. , "), "body")).otherwise(F.col("body")).alias("rebuilt"), F.expr("case when index % 5 = 0 then null when index % 5 < 3 then repeat('l', cast(index % 90 as int)) else body end").alias("legacy"),
     )
 
 
@@ -197,7 +200,7 @@ def split_live_diff(spark, sf):
     return J.changed(a, b, "index", ["body"]).select("index", F.length("old_body").cast("long").alias("old_n"), F.length("new_body").cast("long").alias("new_n"))
 
 
-CORR = """c as (select index, case index % 4 when 0 then 'ocr_fix' when 1 then 'trim' when 2 then 'headword' else 'ocr_fix' end as type, case when index % 9 = 0 then 'NO SUCH' else cast(index as varchar) end as term, case when index % 8 = 3 then 'hath the' else 'the' end as old, 'THE' as new, '. ' as trim_at from lex where index % 3 = 0),
+CORR = """c as (select index, case index % 4 when 0 then 'ocr_fix' when 1 then 'trim' when 2 then 'headword' else 'ocr_fix' end as type, case when index % 9 = 0 then 'NO SUCH' else cast(index as varchar) end as term, case when index % 8 = 3 then 'shew the' when index % 16 = 7 then 'Nisi  Prius' else 'the' end as old, 'THE' as new, '. ' as trim_at from lex where index % 3 = 0),
 e as (select cast(index as varchar) as term, body from lex)"""
 
 
@@ -205,11 +208,11 @@ def _corrections(spark, sf):
     i = F.col("index")
     lex = lexicon(spark, sf)
     kind = F.when(i % 4 == 0, "ocr_fix").when(i % 4 == 1, "trim").when(i % 4 == 2, "headword").otherwise("ocr_fix")
-    c = lex.where("index % 3 = 0").select("index", kind.alias("type"), F.when(i % 9 == 0, "NO SUCH").otherwise(i.cast("string")).alias("term"), F.when(i % 8 == 3, "hath the").otherwise("the").alias("old"), F.lit("THE").alias("new"), F.lit(". ").alias("trim_at"))
+    c = lex.where("index % 3 = 0").select("index", kind.alias("type"), F.when(i % 9 == 0, "NO SUCH").otherwise(i.cast("string")).alias("term"), F.when(i % 8 == 3, "shew the").when(i % 16 == 7, "Nisi  Prius").otherwise("the").alias("old"), F.lit("THE").alias("new"), F.lit(". ").alias("trim_at"))
     return O.route_corrections(c, lex.select(i.cast("string").alias("term"), "body"))
 
 
-@query(LEX + f""", {CORR} select type, outcome, count(*) as n from (select c.type, case when e.body is null then 'failed' when type = 'ocr_fix' then case when contains(old, 'hath') then 'rejected' when not contains(body, old) then 'failed' else 'accepted' end
+@query(LEX + f""", {CORR} select type, outcome, count(*) as n from (select c.type, case when e.body is null then 'failed' when type = 'ocr_fix' then case when contains(old, 'shew') or contains(old, 'Nisi') then 'rejected' when not contains(body, old) then 'failed' else 'accepted' end
 when type = 'trim' then case when strpos(body, trim_at) > 1 and length(rtrim(substr(body, 1, strpos(body, trim_at) - 1))) > 20 then 'accepted' else 'failed' end when type in ('headword', 'flag') then 'flagged' else 'failed' end as outcome from c left join e using (term)) group by all""")
 def correction_router(spark, sf):
     return _corrections(spark, sf).groupBy("type", "outcome").agg(F.count("*").alias("n"))
@@ -255,31 +258,31 @@ def body_oracle(spark, sf):
     return O.body_oracle(lex.select("index", "term", F.concat("term", F.lit(". "), "body").alias("body"))).groupBy("verdict").agg(F.count("*").alias("n"))
 
 
-@query(LEX + """, m as (select distinct substr(regexp_extract(lower(body), '[a-z]+', 0), 1, 14) as term from lex where index % 3 = 0), a as (select distinct substr(regexp_extract(lower(body), '[a-z]+', 0), 1, 14) as term from lex where index % 3 = 1), b as (select distinct substr(regexp_extract(lower(body), '[a-z]+', 0), 1, 14) as term from lex where index % 3 = 2),
+@query(LEX + """, m as (select distinct regexp_extract(lower(body), '[a-z]+', 0) as term from lex where index % 3 = 0), a as (select distinct regexp_extract(lower(body), '[a-z]+', 0) as term from lex where index % 3 = 1), b as (select distinct regexp_extract(lower(body), '[a-z]+', 0) as term from lex where index % 3 = 2),
 n as (select m.term, b.term as match, cast(levenshtein(m.term, b.term) as int) as d, row_number() over (partition by m.term order by levenshtein(m.term, b.term), b.term) as r from m, b where levenshtein(m.term, b.term) <= 2)
 select m.term, case when a.term is not null then 'overlay' when n.term is not null then 'candidates' end as found_in, coalesce(a.term, n.match) as match, case when a.term is not null then 0 else n.d end as distance from m left join a on a.term = m.term left join n on n.term = m.term and n.r = 1""")
 def recovery_cascade(spark, sf):
-    lex = lexicon(spark, sf).select("index", F.substring(F.regexp_extract(F.lower("body"), "[a-z]+", 0), 1, 14).alias("term"))
+    lex = lexicon(spark, sf).select("index", F.regexp_extract(F.lower("body"), "[a-z]+", 0).alias("term"))
     return O.cascade(lex.where("index % 3 = 0"), [("overlay", lex.where("index % 3 = 1")), ("candidates", lex.where("index % 3 = 2"))], 2, ("candidates",))
 
 
-@query(LEX + """, t as (select index, term, case when index % 6 = 0 then '' else substr(body, 1, 40) end as b, case when index % 3 = 0 then body when index % 3 = 1 then concat(upper(body), ' x') end as pb from lex),
+@query(LEX + """, t as (select index, term, case when index % 6 = 0 then '' else body end as b, case when index % 3 = 0 then concat(body, ' and more') when index % 3 = 1 then concat(upper(body), ' x') end as pb from lex),
 s as (select *, case when contains(pb, b) then 1.0::double when len(list_distinct(list_filter(string_split_regex(b, '\\s+'), lambda w: w <> ''))) = 0 then 0.0 else len(list_filter(list_distinct(list_filter(string_split_regex(b, '\\s+'), lambda w: w <> '')), lambda w: list_contains(string_split_regex(pb, '\\s+'), w))) / len(list_distinct(list_filter(string_split_regex(b, '\\s+'), lambda w: w <> '')))::double end as share from t)
 select index, case when trim(b) = '' then 'no_body' when pb is not null and share > 0.95 then 'duplicate' when pb is not null and share > 0.85 then 'subentry' else 'standalone' end as triage from s""")
 def prefix_triage(spark, sf):
     i = F.col("index")
-    t = lexicon(spark, sf).select("index", "term", F.when(i % 6 == 0, "").otherwise(F.substring("body", 1, 40)).alias("body"), F.when(i % 3 == 0, F.col("body")).when(i % 3 == 1, F.concat(F.upper("body"), F.lit(" x"))).alias("parent_body"))
+    t = lexicon(spark, sf).select("index", "term", F.when(i % 6 == 0, "").otherwise(F.col("body")).alias("body"), F.when(i % 3 == 0, F.concat("body", F.lit(" and more"))).when(i % 3 == 1, F.concat(F.upper("body"), F.lit(" x"))).alias("parent_body"))
     return O.prefix_triage(t).select("index", "triage")
 
 
-@query(LEX + r""", t as (select index, case index % 6 when 0 then concat('See ', term, '.') when 1 then 'The rule' when 2 then 'x' when 3 then 'half-' else substr(body, 1, 15) end as body, substr(body, 1, index % 40) as other, index % 4 = 0 as known from lex),
+@query(LEX + r""", t as (select index, case index % 6 when 0 then concat('See ', term, '.') when 1 then 'The rule' when 2 then 'x' when 3 then 'half-' else body end as body, case when index % 2 = 0 then concat(body, ' and more') else 'x' end as other, index % 4 = 0 as known from lex),
 s as (select *, upper(regexp_extract(body, '^\s*[Ss]ee\s+([A-Z][A-Za-z ''&-]{1,80}?)\s*[.,;]?\s*$', 1)) as target, length(other) > length(body) + 10 as gain from t)
 select index, case when target <> '' and (length(target) <= 3 or (length(regexp_extract(target, '(\S+)$', 1)) = 1 and regexp_extract(target, '(\S+)$', 1) <> 'A')) then case when gain then 'recovered' else 'truncated' end when target <> '' then case when known then 'valid_see_ref' else 'unresolved_see_ref' end
 when regexp_matches(body, '^(An?|The|To|One)\s+\w+') then 'ok' when gain then 'recovered' when regexp_matches(body, '\w-$') then 'truncated' when length(body) < 5 then 'stub' else 'ok' end as outcome from s""")
 def near_empty_triage(spark, sf):
     i = F.col("index")
-    body = F.when(i % 6 == 0, F.concat(F.lit("See "), "term", F.lit("."))).when(i % 6 == 1, "The rule").when(i % 6 == 2, "x").when(i % 6 == 3, "half-").otherwise(F.substring("body", 1, 15))
-    t = lexicon(spark, sf).select("index", "term", body.alias("b"), F.substring("body", F.lit(1), (i % 40).cast("int")).alias("other_body"), (i % 4 == 0).alias("see_known")).withColumnRenamed("b", "body")
+    body = F.when(i % 6 == 0, F.concat(F.lit("See "), "term", F.lit("."))).when(i % 6 == 1, "The rule").when(i % 6 == 2, "x").when(i % 6 == 3, "half-").otherwise(F.col("body"))
+    t = lexicon(spark, sf).select("index", "term", body.alias("b"), F.when(i % 2 == 0, F.concat("body", F.lit(" and more"))).otherwise("x").alias("other_body"), (i % 4 == 0).alias("see_known")).withColumnRenamed("b", "body")
     return O.near_empty_triage(t).select("index", "outcome")
 
 
@@ -293,11 +296,11 @@ def duplicate_tiers(spark, sf):
 
 
 # Layout and segmentation: lineitem stands for boxes on a page, documents for pages ------------------
-BOX = """b as (select l_orderkey as page, l_linenumber as n, case when l_linenumber = 7 then '12' else 'word' end as text, cast(l_suppkey * 37 % 5100 as int) as x0, cast(l_partkey * 13 % 6601 as int) as y0, cast(l_partkey * 13 % 6601 + 40 as int) as y1 from lineitem where l_orderkey % 10 = 1)"""
+BOX = """b as (select l_orderkey as page, l_linenumber as n, case when l_linenumber = 7 then '12' else 'word' end as text, cast(l_suppkey * 37 % 5100 as int) as x0, cast(l_partkey * 13 % 6601 as int) as y0, cast(l_partkey * 13 % 6601 + 40 as int) as y1 from lineitem)"""
 
 
 def _boxes(spark, sf):
-    b = table(spark, sf, "lineitem").where("l_orderkey % 10 = 1")
+    b = table(spark, sf, "lineitem")
     y = F.col("l_partkey") * 13 % 6601
     return b.select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("n"), F.when(F.col("l_linenumber") == 7, "12").otherwise("word").alias("text"), (F.col("l_suppkey") * 37 % 5100).cast("int").alias("x0"), y.cast("int").alias("y0"), (y + 40).cast("int").alias("y1"), F.lit(5100).alias("width"), F.lit(6601).alias("height"))
 
@@ -339,14 +342,14 @@ def segment_entries(spark, sf):
     return G.segment(l, "volume", "index", "i", "line").groupBy("volume").agg(F.count("*").alias("entries"), F.sum(F.size("pages")).alias("pages"), F.sum(F.length("body")).alias("chars"))
 
 
-@query(LEX + r""", b as (select index, term, concat(substr(body, 1, 40), chr(10), chr(10), 'BAIL BOND, A bond', chr(10), chr(10), 'more text', chr(10), chr(10), 'XIV. The king', chr(10), chr(10), 'CASE. The thing') as body from lex where not regexp_matches(substr(body, 1, 40), '\n\n')),
+@query(LEX + r""", b as (select index, term, concat(body, chr(10), chr(10), 'BAIL BOND, A bond', chr(10), chr(10), 'more text', chr(10), chr(10), 'XIV. The king', chr(10), chr(10), 'CASE. The thing') as body from lex),
 p as (select index, term, unnest(string_split_regex(body, '\n\n+')) as part, generate_subscripts(string_split_regex(body, '\n\n+'), 1) - 1 as p from b),
 h as (select *, regexp_extract(part, '^([A-Z][A-Z''&-]+(?: [A-Z][A-Z''&-]+){0,4})[.,] +[A-Z]', 1) as hd from p), m as (select *, p > 0 and hd <> '' and length(hd) >= 3 and not regexp_matches(hd, '^[IVXLCDM]+$') and hd <> term as good from h),
 n as (select *, sum(cast(good as int)) over (partition by index order by p) as nth from m)
 select index, cast(nth as bigint) as nth, max(case when good then hd end) as head, string_agg(part, chr(10) || chr(10) order by p) as text from n group by index, nth""")
 def embedded_entries(spark, sf):
     tail = "\n\nBAIL BOND, A bond\n\nmore text\n\nXIV. The king\n\nCASE. The thing"
-    b = lexicon(spark, sf).where(~F.substring("body", 1, 40).rlike(r"\n\n")).select("index", "term", F.concat(F.substring("body", 1, 40), F.lit(tail)).alias("body"))
+    b = lexicon(spark, sf).select("index", "term", F.concat("body", F.lit(tail)).alias("body"))
     return G.embedded(b)
 
 
@@ -429,7 +432,7 @@ def gap_classify(spark, sf):
 def boundary_decisions(spark, sf):
     """Decisions on entries hidden in bodies (tested by hand-made cases)."""
     lex = lexicon(spark, sf)
-    e = lex.select("index", "term", F.concat(F.substring("body", 1, 60), F.lit("\n\n"), F.upper(F.regexp_extract("body", "[A-Za-z]{4,}", 0)), F.lit(". A thing that is long enough to stand")).alias("body"))
+    e = lex.select("index", "term", F.concat("body", F.lit("\n\n"), F.upper(F.regexp_extract("body", "[A-Za-z]{4,}", 0)), F.lit(". A thing that is long enough to stand")).alias("body"))
     return O.boundary_decisions(e, lex.where("index % 2 = 0")).groupBy("action").agg(F.count("*").alias("n"))
 
 
@@ -437,8 +440,8 @@ def boundary_decisions(spark, sf):
 def header_gaps(spark, sf):
     """Kinds of running-header terms (parts have SQL twins; tested by hand-made cases)."""
     lex = lexicon(spark, sf)
-    h = lex.where("index % 5 = 0").select(F.split_part("term", F.lit(" "), F.lit(1)).alias("first_term"), F.concat("term", F.lit("X")).alias("last_term"))
-    return O.header_gaps(h, lex.where("index % 2 = 0").select("term"), lex.where("index % 2 = 1").select("term"), lex.where("index % 10 = 0").select("index", "body")).groupBy("kind").agg(F.count("*").alias("n"))
+    h = lex.select(F.split_part("term", F.lit(" "), F.lit(1)).alias("first_term"), F.concat("term", F.lit("X")).alias("last_term"))
+    return O.header_gaps(h, lex.where("index % 2 = 0").select("term"), lex.where("index % 2 = 1").select("term"), lex.select("index", "body")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query()

@@ -52,41 +52,41 @@ def longest_bodies(spark, sf):
 
 STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
 WS = "regexp_replace({}, '\\s+', ' ', 'g')"
-WORDY = "substr(text, 1, 200)"
+WORDY = "text"
 FOLDED_LOW = f"translate({WORDY}, '{FOLD_FROM}', '{FOLD_TO}')"  # a sharp s is no letter of search keys
-FOLDED200 = f"translate(replace({WORDY}, 'ß', 'ss'), '{FOLD_FROM}', '{FOLD_TO}')"
+FOLDED_UP = f"translate(replace({WORDY}, 'ß', 'ss'), '{FOLD_FROM}', '{FOLD_TO}')"
 
 
 def _heads(spark, sf):
-    return table(spark, sf, "documents").where("lang <> 'de'").select("doc_id", F.substring("text", 1, 200).alias("t"))
+    return table(spark, sf, "documents").select("doc_id", F.col("text").alias("t"))
 
 
-@query(f"""select doc_id, regexp_replace({STRIP.format(WS.format(f"upper({FOLDED200})"))}, '[.,;:]+$', '') as term from documents where lang <> 'de'""")
+@query(f"""select doc_id, regexp_replace({STRIP.format(WS.format(f"upper({FOLDED_UP})"))}, '[.,;:]+$', '') as term from documents""")
 def norm_term(spark, sf):
     return _heads(spark, sf).select("doc_id", N.term("t").alias("term"))
 
 
-@query(f"""select doc_id, {STRIP.format(WS.format(f"regexp_replace(upper({FOLDED200}), '[.,;:]+$', '')"))} as norm from documents where lang <> 'de'""")
+@query(f"""select doc_id, {STRIP.format(WS.format(f"regexp_replace(upper({FOLDED_UP}), '[.,;:]+$', '')"))} as norm from documents""")
 def norm_plain(spark, sf):
     return _heads(spark, sf).select("doc_id", N.norm("t").alias("norm"))
 
 
-@query(f"""select doc_id, {STRIP.format(f"regexp_replace(lower({FOLDED_LOW}), '[^a-z0-9]+', ' ', 'g')")} as key from documents where lang <> 'de'""")
+@query(f"""select doc_id, {STRIP.format(f"regexp_replace(lower({FOLDED_LOW}), '[^a-z0-9]+', ' ', 'g')")} as key from documents""")
 def norm_search(spark, sf):
     return _heads(spark, sf).select("doc_id", N.search_key("t").alias("key"))
 
 
-@query(f"""select doc_id, regexp_replace(regexp_replace(lower({FOLDED_LOW}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from documents where lang <> 'de'""")
+@query(f"""select doc_id, regexp_replace(regexp_replace(lower({FOLDED_LOW}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from documents""")
 def slugify(spark, sf):
     return _heads(spark, sf).select("doc_id", N.slug("t").alias("slug"))
 
 
-@query(LEX + f""", s as (select index, substr(body, 1, 120) as t from lex)
+@query(LEX + f""", s as (select index, body as t from lex)
 select index, {STRIP.format(WS.format(f"regexp_replace({STRIP.format('upper(t)')}, '[.,;:—-]+$', '')"))} as headword, {STRIP.format("regexp_replace(upper(t), '[^A-Z ]', '', 'g')")} as letters,
 {STRIP.format("regexp_replace(upper(t), '[^A-Z0-9 ]', '', 'g')")} as alnum, translate(upper(t), '!1|0Z', 'IIIOE') as ocr, regexp_replace(upper(t), '[^A-Z0-9]', '', 'g') as match_key,
 upper({STRIP.format(WS.format('t'))}) as body_key, replace(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') as html from s""")
 def other_norms(spark, sf):
-    t = lexicon(spark, sf).select("index", F.substring("body", 1, 120).alias("t"))
+    t = lexicon(spark, sf).select("index", F.col("body").alias("t"))
     return t.select("index", N.headword("t").alias("headword"), N.letters_only("t").alias("letters"), N.alnum_only("t").alias("alnum"), N.ocr_key("t").alias("ocr"), N.match_key("t").alias("match_key"), N.body_key("t").alias("body_key"), N.escape_html("t").alias("html"))
 
 
@@ -113,14 +113,14 @@ def stable_id(spark, sf):
     return lexicon(spark, sf).select("index", N.stable_id("index").alias("id"), N.preview("body").alias("preview"), N.severity(F.col("index") % 60).alias("severity"))
 
 
-# Bodies with planted errors: every rule of the first set has something to do. SQL has no look-behind, so its rules are the same without.
-DIRTY = "concat('a@ big ', substr(body, 1, 100), ' @bout &@ man @& two @ three (@ four the 4nd 4ll 4n 4s 4t tbe Wbich aud U. 8. x | y g. v.)  end')"
+# Bodies with planted errors: every rule has something to do. SQL has no look-around, so its rules capture what stands around.
+ERRORS = "' @bout &@ man @& two @ three (@ four @nd the 4nd 4ll 4n 4s 4t tbe  end', chr(10), 'a', chr(10), 'x'"
+DIRTY = f"concat('@ big a@ ', body, {ERRORS})"
 SQL_RULES = [
-    (r"a@\s", "a "), (r"@b\b", "ab"), (r"&@\s", "a "), (r"\s@&\s", " a "), (r"\s@\s", " a "), (r"\(@\s", "(a "), (r"(^|[^0-9§])4nd\b", r"\1and"), (r"(^|[^0-9§])4ll\b", r"\1all"),
-    (r"(^|[^0-9§])4n\s", r"\1an "), (r"(^|[^0-9§])4s\s", r"\1as "), (r"(^|[^0-9§])4t\s", r"\1at "), (r"\btbe\b", "the"), (r"\bWbich\b", "Which"), (r"([A-Z])\.\s*8\.", r"\1. S."),
-    (r"\baud\b", "and"), (r"\s\|\s", " "), (r"g\.\s*v\.\)", "q. v.)"), ("  +", " "),
+    (r"a@\s", "a "), (r"@b\b", "ab"), (r"&@\s", "a "), (r"\s@&\s", " a "), (r"\s@\s", " a "), (r"\(@\s", "(a "), (r"(\s)@([a-z])", r"\1a \2"), (r"^@([a-z])", r"a \1"),
+    (r"(^|[^0-9§])4nd\b", r"\1and"), (r"(^|[^0-9§])4ll\b", r"\1all"), (r"(^|[^0-9§])4n\s", r"\1an "), (r"(^|[^0-9§])4s\s", r"\1as "), (r"(^|[^0-9§])4t\s", r"\1at "),
+    (r"\n\s*a\s*\n", " a "), ("  +", " "),
 ]
-SPARK_RULES = [(p, r.replace("\\1", "$1"), f"rule{k:02d}") for k, (p, r) in enumerate(SQL_RULES)]
 
 
 def _sql_fold(x: str) -> str:
@@ -130,27 +130,27 @@ def _sql_fold(x: str) -> str:
 
 
 def _dirty(spark, sf):
-    b = lexicon(spark, sf)
-    return b.select("index", F.concat(F.lit("a@ big "), F.substring("body", 1, 100), F.lit(" @bout &@ man @& two @ three (@ four the 4nd 4ll 4n 4s 4t tbe Wbich aud U. 8. x | y g. v.)  end")).alias("body"))
+    return lexicon(spark, sf).select("index", F.expr(DIRTY.replace("chr(10)", "'\\n'")).alias("body"))
 
 
 @query(LEX + f"select index, {_sql_fold(DIRTY)} as cleaned from lex")
 def clean_body(spark, sf):
-    return C.with_rules(_dirty(spark, sf), "body", SPARK_RULES).select("index", "cleaned")
+    """The shipped rules, over whole bodies."""
+    return C.with_rules(_dirty(spark, sf), "body", C.CLEAN_RULES).select("index", "cleaned")
 
 
 def _count_sql() -> str:
     steps, x = [], "t0"
     out = f"{LEX}, t0 as (select index, {DIRTY} as t from lex)"
-    for k, (p, r) in enumerate(SQL_RULES):
+    for k, ((p, r), (_, _, label)) in enumerate(zip(SQL_RULES, C.CLEAN_RULES)):
         out += f", t{k + 1} as (select index, regexp_replace(t, '{p}', '{r}', 'g') as t from t{k})"
-        steps.append(f"select 'rule{k:02d}' as label, sum(n) as hits, count(*) as rows from (select len(regexp_extract_all(t, '{p}')) as n from t{k}) where n > 0")
+        steps.append(f"select '{label}' as label, sum(n) as hits, count(*) as rows from (select len(regexp_extract_all(t, '{p}')) as n from t{k}) where n > 0")
     return out + " select label, cast(hits as bigint) as hits, rows from (" + " union all ".join(steps) + ") where rows > 0"
 
 
 @query(_count_sql())
 def clean_rule_counts(spark, sf):
-    return C.rule_totals(C.with_rules(_dirty(spark, sf), "body", SPARK_RULES))
+    return C.rule_totals(C.with_rules(_dirty(spark, sf), "body", C.CLEAN_RULES))
 
 
 @query()
@@ -159,27 +159,30 @@ def clean_body_extended(spark, sf):
     return C.with_rules(_dirty(spark, sf), "body", C.EXTENDED_RULES).select("index", "cleaned", F.size("rule_hits").alias("rules"))
 
 
-@query(LEX + r""", b as (select index, replace(concat(substr(body, 1, 150), chr(10), 'judg-', chr(10), 'ment is', chr(10), chr(10), 'next  one'), '. ', chr(10)) as t from lex)
-select index, array_to_string(list_transform(string_split(t, chr(10) || chr(10)), lambda p: regexp_replace(regexp_replace(regexp_replace(regexp_replace(p, '([A-Za-z]{2,})-\n([a-z])', '\1\2', 'g'), '\n', ' ', 'g'), '  +', ' ', 'g'), '^\s+|\s+$', '', 'g')), chr(10) || chr(10)) as flowed from b where not regexp_matches(t, '\n\s*(--\s*[A-Z]|\d+[.)]\s)|\b(self|non|ex|co|re|well|quasi)-\n|\n\n\n')""")
+FLOW = r"""regexp_replace(regexp_replace(p, '\b(self|non|ex|co|re|well|quasi)-\n([a-z])', '\1-\2', 'g'), '([A-Za-z]{2,})-\n([a-z])', '\1\2', 'g')"""
+KEPT = r"""regexp_replace(regexp_replace({}, '\n(\s*(—|--)\s*[A-Z]|\s*\d+[.)]\s)', chr(1) || '\1', 'g'), '\n(\s*(—|--)\s*[A-Z]|\s*\d+[.)]\s)', chr(1) || '\1', 'g')"""
+
+
+@query(LEX + rf""", b as (select index, replace(concat(body, chr(10), 'judg-', chr(10), 'ment is', chr(10), '1. one', chr(10), '2) two by self-', chr(10), 'help', chr(10), chr(10), 'next  one'), '. ', chr(10)) as t from lex)
+select index, array_to_string(list_transform(string_split_regex(t, '\n\n+'), lambda p: regexp_replace(regexp_replace(replace(replace({KEPT.format(FLOW)}, chr(10), ' '), chr(1), chr(10)), '  +', ' ', 'g'), '^\s+|\s+$', '', 'g')), chr(10) || chr(10)) as flowed from b""")
 def reflow_paragraph(spark, sf):
-    b = lexicon(spark, sf).select("index", F.replace(F.concat(F.substring("body", 1, 150), F.lit("\njudg-\nment is\n\nnext  one")), F.lit(". "), F.lit("\n")).alias("t"))
-    b = b.where(~F.col("t").rlike(r"\n\s*(--\s*[A-Z]|\d+[.)]\s)|\b(self|non|ex|co|re|well|quasi)-\n|\n\n\n"))
+    b = lexicon(spark, sf).select("index", F.replace(F.concat("body", F.lit("\njudg-\nment is\n1. one\n2) two by self-\nhelp\n\nnext  one")), F.lit(". "), F.lit("\n")).alias("t"))
     return b.select("index", C.reflow("t").alias("flowed"))
 
 
-@query(LEX + r""", b as (select index, concat(substr(body, 1, 60), chr(10), '12', chr(10), 'mid', chr(10), 'XIV', chr(10), substr(body, 61, 60), chr(10), cast(index as varchar)) as t from lex),
+@query(LEX + r""", b as (select index, regexp_replace(concat(body, chr(10), '12', chr(10), 'mid', chr(10), 'XIV', chr(10), body, chr(10), cast(index as varchar)), '\n\s*\d{1,4}\s*\n\s*[A-Z][A-Z .''-]{1,40}\s*\n', chr(10), 'g') as t from lex),
 x as (select index, i, l, min(case when regexp_matches(l, '\S') then i end) over (partition by index) as f from (select index, unnest(string_split(t, chr(10))) as l, generate_subscripts(string_split(t, chr(10)), 1) as i from b))
 select index, regexp_replace(regexp_replace(string_agg(l, chr(10) order by i), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') as kept from x where i = f or not regexp_matches(l, '^\s*(\d{1,4}|[A-Z]{1,4})\s*$') group by index""")
 def orphan_numerics(spark, sf):
-    b = lexicon(spark, sf).select("index", F.concat(F.substring("body", 1, 60), F.lit("\n12\nmid\nXIV\n"), F.substring("body", 61, 60), F.lit("\n"), F.col("index").cast("string")).alias("t"))
+    b = lexicon(spark, sf).select("index", F.concat("body", F.lit("\n12\nmid\nXIV\n"), "body", F.lit("\n"), F.col("index").cast("string")).alias("t"))
     return b.select("index", C.drop_orphans("t").alias("kept"))
 
 
-@query(LEX + r"""select index, case when index % 3 = 0 then concat('n. ', substr(body, 1, 50)) when index % 3 = 1 then substr(body, 1, 50) else concat('(', substr(body, 1, 50)) end as body from lex where term <> '' and not regexp_matches(body, '^\s')""")
+@query(LEX + r"""select index, case when index % 3 = 0 then concat('n. ', regexp_replace(body, '^\s+', '')) when index % 3 = 1 then regexp_replace(body, '^\s+', '') when length(body) > 3 then concat('(', body) else concat(term, ' (', body) end as body from lex""")
 def strip_headword(spark, sf):
     i = F.col("index") % 3
     mid = F.when(i == 0, ", n. ").when(i == 1, ". ").otherwise(" (")
-    b = lexicon(spark, sf).where((F.col("term") != "") & ~F.col("body").rlike(r"^\s")).select("index", "term", F.concat(F.col("term"), mid, F.substring("body", 1, 50)).alias("body"))
+    b = lexicon(spark, sf).select("index", "term", F.concat(F.col("term"), mid, F.col("body")).alias("body"))
     return b.select("index", C.strip_leading("term", "body").alias("body"))
 
 
@@ -196,12 +199,11 @@ def ocr_damage(spark, sf):
     return lexicon(spark, sf).select("index", C.damaged("body").alias("damaged"))
 
 
-@query(LEX + r""", b as (select index, substr(body, 1, 100) as a, concat(repeat('#', cast(index % 25 as int)), substr(body, 1 + index % 25, 100 - index % 25)) as b from lex)
-select index, case when length(a) = 0 then a = b else abs(length(a) - length(b)) <= length(a) * 0.15::double + 10 and levenshtein(a, b) <= length(a) * 0.15::double end as accepted from b""")
+@query(r"""with b as (select p_partkey as k, p_name as a, concat(repeat('#', cast(p_partkey % 9 as int)), substr(p_name, 1 + p_partkey % 9)) as b from part)
+select k, case when length(a) = 0 then a = b else abs(length(a) - length(b)) <= length(a) * 0.15::double + 10 and levenshtein(a, b) <= length(a) * 0.15::double end as accepted from b""")
 def edit_ratio_gate(spark, sf):
-    k = (F.col("index") % 25).cast("int")
-    b = lexicon(spark, sf).select("index", F.substring("body", 1, 100).alias("a"), F.concat(F.expr("repeat('#', cast(index % 25 as int))"), F.substring("body", k + 1, 100 - k)).alias("b"))
-    return b.select("index", C.edit_gate("a", "b").alias("accepted"))
+    b = table(spark, sf, "part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("a"), F.expr("concat(repeat('#', cast(p_partkey % 9 as int)), substring(p_name, cast(1 + p_partkey % 9 as int)))").alias("b"))
+    return b.select("k", C.edit_gate("a", "b").alias("accepted"))
 
 
 @query(LEX + r"""select index, case when strpos(body, 'the') > 0 then concat(substr(body, 1, strpos(body, 'the') - 1), 'THE', substr(body, strpos(body, 'the') + 3)) else body end as fixed,
@@ -256,13 +258,13 @@ def body_containment(spark, sf):
     return b.select("k", S.containment("small", "large").alias("inside"), S.containment("other", "large").alias("shared"))
 
 
-WORDS = LEX + """, words as (select distinct lower(substr(regexp_extract(body, '[A-Za-z]+', 0), 1, 14)) as w, index % 2 as side from lex), a as (select distinct w from words where side = 0 and w <> ''), b as (select distinct w from words where side = 1 and w <> ''),
+WORDS = LEX + """, words as (select distinct lower(regexp_extract(body, '[A-Za-z]+', 0)) as w, index % 2 as side from lex), a as (select distinct w from words where side = 0 and w <> ''), b as (select distinct w from words where side = 1 and w <> ''),
 near as (select a.w as a, b.w as b, cast(levenshtein(a.w, b.w) as int) as distance from a, b where abs(length(a.w) - length(b.w)) <= 2 and levenshtein(a.w, b.w) <= 2)
 """
 
 
 def _sides(spark, sf):
-    w = lexicon(spark, sf).select(F.lower(F.substring(F.regexp_extract("body", "[A-Za-z]+", 0), 1, 14)).alias("w"), (F.col("index") % 2).alias("side")).where("w <> ''")
+    w = lexicon(spark, sf).select(F.lower(F.regexp_extract("body", "[A-Za-z]+", 0)).alias("w"), (F.col("index") % 2).alias("side")).where("w <> ''")
     return w.where("side = 0"), w.where("side = 1")
 
 
@@ -278,8 +280,9 @@ def fuzzy_all_ties(spark, sf):
 
 @query()
 def near_dup_ratio(spark, sf):
-    """Headword pairs of ratio 0.95 or more within a first letter; SQL has no such ratio (tested by brute force)."""
-    return V.near_duplicates(table(spark, sf, "part").select(F.upper("p_name").alias("term")))
+    """Pairs of ratio 0.95 or more within a first letter, of names and their plurals; SQL has no such ratio (tested by brute force)."""
+    names = table(spark, sf, "part").select(F.upper("p_name").alias("term"))
+    return V.near_duplicates(names.unionByName(names.select(F.concat("term", F.lit("S")).alias("term"))))
 
 
 @query()

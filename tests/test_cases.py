@@ -2,6 +2,8 @@
 
 import itertools
 import json
+import random
+import re
 from difflib import SequenceMatcher
 
 import pytest
@@ -91,6 +93,70 @@ def test_near_duplicates(spark):
     assert {(r.a, r.b) for r in V.near_duplicates(df).collect()} == want and len(want) >= 2
 
 
+def test_alike_misses_nothing(spark):
+    """All pairs of a ratio are among the candidates, for short, long, repetitive and edited strings."""
+    rng, words = random.Random(3), []
+    for n in (1, 3, 9, 10, 11, 19, 20, 21, 39, 60, 76, 79, 80, 81, 84, 120, 200):
+        for letters in ("AB", "ABCDEFGHIJKLMNOPQRSTUVWXYZ "):
+            base = "".join(rng.choice(letters) for _ in range(n))
+            words.append(base)
+            for edits in (1, 2, n // 20, n // 12):
+                x = list(base)
+                for _ in range(edits):
+                    at = rng.randrange(len(x) + 1)
+                    x[at : at + rng.choice((0, 1))] = rng.choice(("", rng.choice(letters)))
+                words.append("".join(x))
+    words = sorted({w for w in words if w})
+    one, two = (spark.createDataFrame([(w,) for w in words], f"{x} string") for x in "ab")
+    for least in (0.95, 0.92):
+        want = {(a, b) for a in words for b in words if SequenceMatcher(None, a, b).real_quick_ratio() >= least and SequenceMatcher(None, a, b).ratio() >= least}
+        got = {(r.a, r.b) for r in J.alike(one, two, least).collect()}
+        assert not want - got and len(want) > 2 * len(words) - 20
+
+
+def test_neighbours(spark):
+    rows = [("x" if k % 5 else "y", k * 37 % 101, k if k % 3 == 0 else None) for k in range(100)] + [("z", 1, None)]
+    got = {(r.g, r.o): (r.before, r.after) for r in J.neighbours(spark.createDataFrame(rows, "g string, o long, v long"), ["o"], "v", "g").collect()}
+    for g, o, _ in rows:
+        known = sorted((p, v) for h, p, v in rows if h == g and v is not None)
+        assert got[g, o] == (next((v for p, v in known[::-1] if p < o), None), next((v for p, v in known if p > o), None))
+
+
+def test_containing(spark):
+    terms = ["A", "A B", "A B C", "A B C D", "B C D E F", "Z", "A-B", "  "]
+    bodies = [(1, "x a b c d e"), (2, "b c d e f"), (3, "za b"), (4, ""), (5, "a b! c, d"), (6, "a b c e")]
+    flat = lambda t: " " + " ".join(re.findall("[A-Z0-9]+", t.upper())) + " "
+    want = {(t, k) for t in terms for k, b in bodies if flat(t).strip() and flat(t) in flat(b)}
+    got = J.containing(spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame(bodies, "index long, body string")).collect()
+    assert {(r.term, r["index"]) for r in got} == want and len(got) == len(want) > 8
+
+
+def test_line_start(spark):
+    terms = ["THE", "THE CAT", "THE CAT SAT", "A-B", "DOG"]
+    lines = [(1, "The cat. x"), (2, "the. y"), (3, "  THE CAT SAT, on"), (4, "a-b. z"), (5, "dogs. no"), (6, "the cat sat. on"), (7, "The cats. no")]
+    got = {r.term: r.pages for r in J.line_start(spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame(lines, "page int, line string")).collect()}
+    assert got == {"THE": [2], "THE CAT": [1], "THE CAT SAT": [3, 6], "A-B": [4]}
+
+
+@pytest.mark.parametrize("old, new, want", [("the shew of", "the show of", True), ("shew it", "shew them", False), ("Nisi  Prius", "x", True), ("tbe", "the", False), (None, None, False), ("gaol", "GAOL", False)])
+def test_archaic(spark, old, new, want):
+    assert one(spark, C.archaic(F.lit(old).cast("string"), F.lit(new).cast("string"))) is want
+
+
+def test_swapped_words_and_garbled(spark):
+    assert len(C.MISREAD) == 43 and dict(C.MISREAD)["busband"] == "husband" and len({a for a, _ in C.MISREAD}) == 43
+    rows = {"n.\nfrom. x y z": True, "n. from. x y z": True, ". a body here": True, ", a body here": True, "short": True, "a whole body here": False, None: True}
+    got = spark.createDataFrame([(b,) for b in rows], "b string").select("b", C.garbled_rebuilt("b").alias("g")).collect()
+    assert {r.b: r.g for r in got} == rows
+
+
+def test_court_cites(spark):
+    pattern = re.compile(r"([A-Z][a-z]+(?:.+?)?)\s+v\.\s+[A-Z]", re.IGNORECASE)
+    texts = ["Smith v. Jones", "Doe and others v. Roe and others v. Poe", "1 v. Jones", "Smith\nv. Jones", "ab\n1 v. Jones", "x v. y", "He v. V. v. W", "", "Smith v Jones", "A. B. v. C", "long " * 2000 + "v. x", "the v.  Q and v. r\nbut v. s"]
+    got = spark.createDataFrame(list(enumerate(texts)), "k int, t string").orderBy("k").select(V.court_cites(F.col("t")).alias("n")).collect()
+    assert [r.n for r in got] == [len(pattern.findall(t)) for t in texts]
+
+
 def plain_alignment(a, b):
     best = {}
 
