@@ -1,7 +1,9 @@
 """From raw documents to token ids: each stage calls one operator of lexloom.llm and works on all that is left.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is
-written as Parquet and read again as the docs of the next. All but the last return the columns of documents.
+written as Parquet and read again as the docs of the next. All but the last return the columns of documents (COLUMNS);
+further columns that a table may have are left out from the first stage on. A stage's output is deleted once the next
+one is written, the last one's stays.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ import uuid
 
 import public_tokenizers
 from lexloom.llm import bpe, mixing, near_copies, quality, toxicity
-from lexloom.llm.common import shared_dir, table
+from lexloom.llm.common import remove, shared_dir, table
 from pyspark.sql import DataFrame, SparkSession
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -58,5 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
     return docs
