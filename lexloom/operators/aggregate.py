@@ -123,3 +123,15 @@ def build_delta(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
     a, b = now.groupBy(key).agg(F.count("*").alias("now")), before.groupBy(key).agg(F.count("*").alias("before"))
     out = a.join(b, key, "full").select(key, F.coalesce("now", F.lit(0)).alias("now"), F.coalesce("before", F.lit(0)).alias("before"))
     return out.withColumn("delta", F.col("now") - F.col("before"))
+
+
+def ranks(df: DataFrame, value: str, tie: str) -> DataFrame:
+    """df with rank: 1 for the greatest value, ties in order of ``tie``.
+
+    Only the distinct values go through one ordered window; rows are numbered among those of their own value.
+    """
+    by = df.groupBy(value).agg(F.count("*").alias("_n"))
+    above = F.coalesce(F.sum("_n").over(W.orderBy(F.col(value).desc()).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ahead = by.select(F.col(value).alias("_v"), above.alias("_above"))
+    own = df.withColumn("_own", F.row_number().over(W.partitionBy(value).orderBy(tie)))
+    return own.join(ahead, F.col(value).eqNullSafe(F.col("_v"))).withColumn("rank", F.col("_above") + F.col("_own")).drop("_v", "_above", "_own")

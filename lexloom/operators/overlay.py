@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import archaic, garbled, replace_first, strip_leading, trim_at
-from ..functions.normalize import norm
+from ..functions.normalize import body_key, norm
 from ..functions.similarity import confusion_only, containment, ratio, substitutions
 from . import joins as J
 from .aggregate import word_frequency
@@ -27,10 +27,10 @@ def classify(entries: DataFrame, manual: DataFrame, candidates: DataFrame, dupes
     """entry_type, canonical_target and reason of every entry; the first rule that fits (K3).
 
     entries: index, term, body (legacy), source_headword, confidence. manual: term, kind (a type, or unmatched_keep), target.
-    candidates: term, body. dupes: term, closest, closest_body. prefixes: term. Other tables hold one row a term, the first.
+    candidates: term, body. dupes: term, closest, closest_body. prefixes: term. Of several rows of a term in the other tables the least counts.
     """
     e = entries.withColumn("base", by_confidence(F.col("source_headword"), F.col("confidence")))
-    e = e.join(manual.select("term", F.col("kind").alias("m_kind"), F.col("target").alias("m_target")).dropDuplicates(["term"]), "term", "left")
+    e = e.join(manual.groupBy("term").agg(F.min(F.struct("kind", "target")).alias("m")).select("term", F.col("m.kind").alias("m_kind"), F.col("m.target").alias("m_target")), "term", "left")
     e = e.withColumn("key", norm("term"))
     e = e.join(candidates.groupBy(norm("term").alias("key")).agg(F.min("body").alias("c_body"), F.lit(True).alias("in_source")), "key", "left")
     e = e.join(dupes.groupBy("term").agg(F.min(F.struct("closest", "closest_body")).alias("dupe")), "term", "left")
@@ -109,6 +109,29 @@ def frequency_corrections(entries: DataFrame, least: int = 5, times: int = 3) ->
     return good.groupBy("index", "term").agg(F.min(F.struct((-F.col("n")).alias("m"), "word")).alias("b")).select("index", "term", F.col("b.word").alias("corrected"))
 
 
+def headword_duplicates(open_: DataFrame, verified: DataFrame, head: float = 0.92, body: float = 0.8) -> DataFrame:
+    """Unresolved headwords that are a verified one misread (K5, J8): index, term, corrected, body_sim, strategy.
+
+    open_: index, term, body; verified: term, body, one row a term. First what C for O gives (terms of four characters or
+    more), then headwords of ratio ``head`` at least, lengths two apart at most, with the same initial or C for O (of five
+    or more); always with bodies of ratio ``body`` at least. Of several the first by name, or the best of 0.3 head + 0.7 body.
+    """
+    o = open_.select("index", "term", body_key(F.coalesce("body", F.lit(""))).alias("own"))
+    v = verified.select(F.col("term").alias("corrected"), body_key(F.coalesce("body", F.lit(""))).alias("other"))
+    like = F.when((F.col("own") != "") & (F.col("other") != ""), ratio()("own", "other")).otherwise(0.0)
+    made = o.where("length(term) >= 4").select("index", "term", "own", F.explode(substitutions("term", 2)).alias("corrected")).join(v, "corrected").withColumn("body_sim", like)
+    first = made.where(F.col("body_sim") >= body).groupBy("index", "term").agg(F.min(F.struct("corrected", "body_sim")).alias("b"))
+    first = first.select("index", "term", "b.*", F.lit("oc_dup").alias("strategy"))
+    rest = o.where("length(term) >= 5").join(first.select("index"), "index", "left_anti")
+    met = J.alike(rest.select(F.col("term").alias("a")).distinct(), v.select(F.col("corrected").alias("b")), head).where("abs(length(a) - length(b)) <= 2")
+    initial = lambda c: F.substring(c, 1, 1)
+    met = met.where((initial("a") == initial("b")) | ((initial("a") == "O") & (initial("b") == "C"))).withColumn("heads", ratio()("a", "b")).where(F.col("heads") >= head)
+    near = rest.join(met.select(F.col("a").alias("term"), F.col("b").alias("corrected"), "heads"), "term").join(v, "corrected").withColumn("body_sim", like).where(F.col("body_sim") >= body)
+    score = -(0.3 * F.col("heads") + 0.7 * F.col("body_sim"))
+    best = near.groupBy("index", "term").agg(F.min(F.struct(score.alias("score"), "corrected", "body_sim")).alias("b"))
+    return first.unionByName(best.select("index", "term", F.col("b.corrected").alias("corrected"), F.col("b.body_sim").alias("body_sim"), F.lit("fuzzy_dup").alias("strategy")))
+
+
 def body_oracle(entries: DataFrame) -> DataFrame:
     """What the capitals at the beginning of a body say about its headword: suppress, correct or skip (K8).
 

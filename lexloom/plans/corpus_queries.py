@@ -78,6 +78,11 @@ def examples_topk(spark, sf):
     return A.examples(lexicon(spark, sf), "entry_type", "index", 5).select("entry_type", "index", "rank", "class_size")
 
 
+@query(LEX + "select index, length(body) as n, row_number() over (order by length(body) desc, index) as rank from lex")
+def length_ranks(spark, sf):
+    return A.ranks(lexicon(spark, sf).select("index", F.length("body").cast("long").alias("n")), "n", "index").select("index", "n", "rank")
+
+
 @query(LEX + "select term, min(index) as index from lex group by term")
 def first_per_parent(spark, sf):
     return J.first_wins(lexicon(spark, sf).select("term", "index", "body"), "term", "index").select("term", "index")
@@ -196,13 +201,17 @@ def fallback_join(spark, sf):
     return J.fallback(w, ["k1", "k2"], h, "term", "v").select("index", "v")
 
 
-@query(LEX + """, a as (select term, min(index) as place from lex where index % 2 = 0 group by term), b as (select translate(term, '!1|0Z', 'IIIOE') as term, min(index) as place from lex where index % 2 = 1 group by 1), f as (select term, place, 0 as strategy from a union all select term, place, 1 from b)
+@query(LEX + """, a as (select term, min(index) as place from lex where index % 2 = 0 group by term), b as (select translate(term, '!1|0Z', 'IIIOE') as term, min(index) as place from lex where index % 2 = 1 group by 1), flat as (select index, concat(' ', array_to_string(list_filter(string_split_regex(upper(body), '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as flat from lex),
+runs as (select distinct term, concat(' ', array_to_string(list_filter(string_split_regex(upper(term), '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as run from lex),
+c as (select term, min(index) as place from runs join flat on run not in (' ', '  ') and contains(flat, run) group by term),
+f as (select term, place, 0 as strategy from a union all select term, place, 1 from b union all select term, place, 2 from c)
 select distinct l.term, m.place, m.strategy from lex l left join (select term, arg_min(place, (place, strategy)) as place, cast(arg_min(strategy, (place, strategy)) as int) as strategy from f group by term) m on m.term = l.term""")
 def scan_in_order(spark, sf):
     lex = lexicon(spark, sf)
     a = lex.where("index % 2 = 0").groupBy("term").agg(F.min("index").alias("place"))
     b = lex.where("index % 2 = 1").groupBy(N.ocr_key("term").alias("term")).agg(F.min("index").alias("place"))
-    return J.scan_in_order(lex.select("term").distinct(), [a, b])
+    c = J.containing(lex.select("term").distinct(), lex).groupBy("term").agg(F.min("index").alias("place"))
+    return J.scan_in_order(lex.select("term").distinct(), [a, b, c])
 
 
 # Cross-references: planted at the end of bodies, as the tables have none ----------------------------
@@ -270,6 +279,13 @@ def xref_unresolved(spark, sf):
     return _sees(spark, sf)[0]
 
 
+@query(SEES + "select term, n from missing order by n desc, term limit 20")
+def missing_top(spark, sf):
+    from ..operators.search import top_by
+
+    return top_by(_sees(spark, sf)[0], F.col("n"), 20, "term").select("term", "n")
+
+
 @query(SEES + """, compact as (select regexp_replace(term, '[\\s-]', '', 'g') as ck, min(term) as compact from heads group by 1), hidden as (select distinct term from lex where entry_type = 'fragment_artifact'),
 near as (select m.term, arg_min(h.term, (levenshtein(m.term, h.term), h.term)) as near, min(levenshtein(m.term, h.term)) as d from missing m, heads h where length(m.term) >= 8 and abs(length(m.term) - length(h.term)) <= 2 and levenshtein(m.term, h.term) <= 2 group by m.term),
 flat as (select upper(term) as owner, concat(' ', array_to_string(list_filter(string_split_regex(upper(body), '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as flat from lex),

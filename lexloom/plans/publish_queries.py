@@ -9,7 +9,7 @@ from ..operators import overlay as O
 from ..operators import segment as G
 from ..sources import io
 from .lexicon import SQL, lexicon, table
-from .registry import query
+from .registry import ORACLES, query
 
 LEX = f"with {SQL}"
 # Headwords of every doubtful kind, made from the index.
@@ -337,9 +337,21 @@ def extract_headword(spark, sf):
 
 @query()
 def segment_entries(spark, sf):
-    """Entries of a hundred volumes by the ordered state machine (tested by hand-made cases)."""
+    """Entries of a hundred volumes by the ordered state machine, the lexicon's own first words being known (tested against plain Python)."""
     l = _lines(spark, sf).withColumn("volume", F.col("index") % 100)
-    return G.segment(l, "volume", "index", "i", "line").groupBy("volume").agg(F.count("*").alias("entries"), F.sum(F.size("pages")).alias("pages"), F.sum(F.length("body")).alias("chars"))
+    l = l.withColumn("line", F.when((F.col("index") + F.col("i")) % 5 == 0, "").otherwise(F.col("line")))
+    heads = lexicon(spark, sf).where("index % 2 = 0").select(F.split_part("term", F.lit(" "), F.lit(1)).alias("term"))
+    return G.segment(l, "volume", "index", "i", heads, "line").groupBy("volume").agg(F.count("*").alias("entries"), F.sum(F.size("pages")).alias("pages"), F.sum(F.length("body")).alias("chars"))
+
+
+@query()
+def headword_duplicates(spark, sf):
+    """Unresolved headwords that are verified ones misread, by head and body (difflib; tested by brute force)."""
+    lex = lexicon(spark, sf).where("length(term) >= 4")
+    verified = lex.where("index % 2 = 0").groupBy("term").agg(F.min_by("body", "index").alias("body"))
+    i = F.col("index") % 3
+    garbled = F.when(i == 0, F.replace("term", F.lit("C"), F.lit("O"))).when(i == 1, F.concat("term", F.lit("E"))).otherwise(F.col("term"))
+    return O.headword_duplicates(lex.where("index % 10 = 0").select("index", garbled.alias("term"), "body"), verified)
 
 
 @query(LEX + r""", b as (select index, term, concat(body, chr(10), chr(10), 'BAIL BOND, A bond', chr(10), chr(10), 'more text', chr(10), chr(10), 'XIV. The king', chr(10), chr(10), 'CASE. The thing') as body from lex),
@@ -353,6 +365,15 @@ def embedded_entries(spark, sf):
     return G.embedded(b)
 
 
+EMBEDDED = ORACLES["embedded_entries"]
+
+
+@query(f"with e as ({EMBEDDED}) select * from e where index in (select index from e group by index having max(nth) >= 2)")
+def merged_entries(spark, sf):
+    tail = "\n\nBAIL BOND, A bond\n\nmore text\n\nXIV. The king\n\nCASE. The thing"
+    return G.split_merged(lexicon(spark, sf).select("index", "term", F.concat("body", F.lit(tail)).alias("body")))
+
+
 @query(LEX + r""", pages as (select index as page, ['', concat(cast(index as varchar), '  ', upper(split_part(term, ' ', 1)), '   ', upper(split_part(term, ' ', 2)), '  '), body] as lines from lex where regexp_matches(term, '^[A-Z]{3,} [A-Z]{2,}$'))
 select page, split_part(term, ' ', 1) as first_term, split_part(term, ' ', 2) as last_term from (select p.page, l.term from pages p join lex l on l.index = p.page)""")
 def running_headers(spark, sf):

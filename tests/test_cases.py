@@ -157,6 +157,78 @@ def test_court_cites(spark):
     assert [r.n for r in got] == [len(pattern.findall(t)) for t in texts]
 
 
+def plain_segments(lines, known):
+    """The state machine of entries in plain words: lines are (page, text)."""
+    out, blank = [], True
+    for page, line in lines:
+        if not line.strip():
+            if out and out[-1][2][-1] != "":
+                out[-1][2].append("")
+            blank = True
+            continue
+        parts = re.split(r"(?:(?<=[.!?;:])|(?<=[.!?;:][\"')\]]))\s+(?=[A-Z])", line)
+        for k, text in enumerate(parts):
+            after = " ".join(parts[k:])
+            m = re.match(G.HEADWORD, after)
+            head = re.sub(r"[.,;:]+$", "", " ".join(m[1].split())) if m and not re.match(r"\s*[—'\"a-z-]", after) else None
+            sound = bool(head)
+            if head and (len(head.replace(" ", "")) <= 2 or re.fullmatch(r"\d+|[IVXLCDM]+", head.replace(" ", ""))):
+                rest = re.sub(r"^\s*[.,:;]?", "", after.lstrip()[len(head) :])
+                sound = bool(re.match(r"\s*(An?|The|In|To|Of|Lat\.|Fr\.|n\.|v\.|adj\.)\s", rest))
+            if k and not (head in known and sound):
+                if out:
+                    out[-1][2][-1] += " " + text
+                continue
+            cur = out[-1][0] if out else None
+            merge = bool(cur and head and (head == cur or (head not in known and head[0] == cur[0] and S.levenshtein(head, cur, 1) <= 1)))
+            extend = bool(cur and head and head not in known and head.startswith(cur + " "))
+            start = bool(head and sound and not merge and (head in known or (blank and k == 0 and not extend)))
+            if start:
+                out.append((head, head, [text], [page]))
+            elif out:
+                out[-1][2].append(text)
+                if out[-1][3][-1] != page:
+                    out[-1][3].append(page)
+            blank = cur is None and not start
+    return [(h, "\n".join(b).strip("\n"), p) for _, h, b, p in out]
+
+
+def test_segments(spark):
+    known = ["BACK", "BAIL", "BADGE", "CONTRACT", "A", "IV", "BAIT"]
+    lines = [
+        (1, "preface text"), (1, "BACK. To the rear"), (1, "and on. BAIL. A thing given. Other Words. X"), (1, "BAOK, adv. again"), (1, ""), (1, "BADGE, n. A mark"), (2, "BADGE OF FRAUD. Inside"), (2, ""),
+        (2, "BADGE OF FRAUD. Still inside"), (2, ""), (2, "NEWWORD. After a blank"), (2, "NOTKNOWN. Without one"), (3, "BAIL. Known"), (3, "BAIT. Known and one edit from it"), (3, ""), (3, ""), (3, "IV. 2 Black. Com."), (3, "A. The first letter. CONTRACT. An agreement"),
+        (4, "III. The third"), (4, "BAIL. x. BAIL. y"), (4, ""),
+    ]
+    rows = [(v, p, i, t) for v in (1, 2) for i, (p, t) in enumerate(lines[v - 1 :])]
+    heads = spark.createDataFrame([(h,) for h in known], "term string")
+    got = G.segment(spark.createDataFrame(rows, "vol int, page int, pos int, text string"), "vol", "page", "pos", heads).orderBy("vol", "source_index").collect()
+    for v in (1, 2):
+        assert [(r.source_headword, r.body, r.pages) for r in got if r.vol == v] == plain_segments(lines[v - 1 :], known)
+    first = [r.source_headword for r in got if r.vol == 1]
+    assert first == ["BACK", "BAIL", "BADGE", "NEWWORD", "BAIL", "BAIT", "A", "CONTRACT", "BAIL"]
+
+
+def test_headword_duplicates(spark):
+    text = "the money that a person pays to be let out of prison until the day of the trial comes"
+    verified = [("CONTRACT", text + " contract"), ("CONTRACTS", text), ("BAILIFFS", text + " x"), ("OCCUPANT", "some other thing"), ("CASE", text)]
+    opened = [(1, "OONTRACT", text + " contraot"), (2, "BAILIFFE", text), (3, "BAILIFFE", "unlike"), (4, "OCOUPANT", text), (5, "OASE", text), (6, "CONTRACTE", text), (7, "CAT", text), (8, "OONTRACTE", text), (9, "LONG WORDS HERE", None)]
+    got = {(r["index"], r.term, r.corrected, r.strategy, round(r.body_sim, 6)) for r in O.headword_duplicates(spark.createDataFrame(opened, "index long, term string, body string"), spark.createDataFrame(verified, "term string, body string")).collect()}
+    key = lambda b: " ".join((b or "").split()).upper()
+    like = lambda a, b: SequenceMatcher(None, a, b).ratio()
+    want = set()
+    for k, t, body in opened:
+        changed = {"".join(p) for p in itertools.product(*((c, "C") if c == "O" else (c,) for c in t)) if 0 < sum(x != y for x, y in zip(p, t)) <= 2}
+        hits = sorted((v, like(key(body), key(b))) for v, b in verified if v in changed and len(t) >= 4 and body and like(key(body), key(b)) >= 0.8)
+        if hits:
+            want.add((k, t, hits[0][0], "oc_dup", round(hits[0][1], 6)))
+            continue
+        near = [(-(0.3 * like(t, v) + 0.7 * like(key(body), key(b))), v, like(key(body), key(b))) for v, b in verified if len(t) >= 5 and abs(len(t) - len(v)) <= 2 and (t[0] == v[0] or (t[0], v[0]) == ("O", "C")) and like(t, v) >= 0.92 and body and like(key(body), key(b)) >= 0.8]
+        if near:
+            want.add((k, t, min(near)[1], "fuzzy_dup", round(min(near)[2], 6)))
+    assert got == want and {s for *_, s, _ in want} == {"oc_dup", "fuzzy_dup"}
+
+
 def plain_alignment(a, b):
     best = {}
 
@@ -187,13 +259,6 @@ def test_alignment(spark):
     assert got == {(i, j, s) for i, j, s in plain_alignment(a, [x.rstrip(".") for x in b])}
 
 
-def test_segments(spark):
-    lines = ["preface", "BACK, adv. To the rear", "more of it", "BACK. Again", "BAD. Not good", "tail"]
-    df = spark.createDataFrame([("v", k // 3, k, t) for k, t in enumerate(lines)], "volume string, page int, position int, text string")
-    rows = G.segment(df, "volume", "page", "position").orderBy("source_index").collect()
-    assert [(r.source_headword, r.body, r.pages) for r in rows] == [("BACK", "BACK, adv. To the rear\nmore of it\nBACK. Again", [0, 1]), ("BAD", "BAD. Not good\ntail", [1])]
-    assert G.split_midline("First end. BAIL. A bond. BALL. x", {"BAIL"}) == ["First end.", "BAIL. A bond. BALL. x"]
-
 
 def test_overlay(spark):
     rows = [(0, "BAIL", "Bail is", "BAIL", 0.95), (1, "U. S.", "x", None, 0.0), (2, "XIV", "x", None, 0.0), (3, "MANOR", "MANOR a great house of land", None, 0.0), (4, "ALIAS", "x", None, 0.0), (5, "TORTS", "a wrong done to one", None, 0.0), (6, "KEPT", "x", "KEPT", 0.75)]
