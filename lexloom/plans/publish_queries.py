@@ -149,11 +149,9 @@ def headword_kinds(spark, sf):
 
 @query()
 def near_dup_pairs(spark, sf):
-    """Pairs of ratio 0.95 or more among all headwords, spoiled ones and long ones (difflib; tested by brute force)."""
+    """Pairs of ratio 0.95 or more among all headwords and misread ones (difflib; long ones and others tested by brute force)."""
     heads = lexicon(spark, sf).select("term")
-    spoiled = heads.select(F.concat("term", F.lit("S")).alias("term"))
-    long = table(spark, sf, "benchmark").select(F.upper("text").alias("term"))
-    return V.near_duplicates(heads.unionByName(spoiled).unionByName(long).unionByName(long.select(F.concat("term", F.lit(" X")).alias("term"))))
+    return V.near_duplicates(heads.unionByName(heads.select(F.concat("term", F.lit("S")).alias("term"))))
 
 
 @query(LEX + """, h as (select distinct term as w from lex where length(term) >= 4) select a.w as a, b.w as b, cast(levenshtein(a.w, b.w) as int) as distance from h a join h b on a.w < b.w and abs(length(a.w) - length(b.w)) <= 1 and levenshtein(a.w, b.w) <= 1""")
