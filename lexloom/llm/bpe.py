@@ -12,8 +12,8 @@ still be open, what has been written up to there and the open bytes. What all pa
 emitted at once, and the rest waits; a token has a greatest length, so the lookahead is bounded. States
 and transitions are made when first met and are dropped together when there are more than STATES.
 
-Decoding joins the tokens' bytes, and an incremental UTF-8 state machine gives characters out as soon
-as they are whole, whatever the chunks.
+Decoding runs an incremental UTF-8 state machine over the tokens' bytes, which gives characters out as soon
+as they are whole, whatever the chunks; its moves over a whole token are kept.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 from struct import pack
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -236,42 +237,54 @@ class Transducer:
         return out
 
 
+#: Between characters: no byte needed, nothing read, any next byte (bytes needed, code point so far, least and greatest next byte).
+START = (0, 0, 0x80, 0xBF)
+
+
+def _lead(byte: int) -> tuple[int, int, int, int] | None:
+    """The state after a byte that begins a longer character; None for bytes that begin none."""
+    if 0xC2 <= byte <= 0xDF:
+        return 1, byte & 0x1F, 0x80, 0xBF
+    if 0xE0 <= byte <= 0xEF:  # no overlong forms, no surrogates
+        return 2, byte & 0x0F, 0xA0 if byte == 0xE0 else 0x80, 0x9F if byte == 0xED else 0xBF
+    if 0xF0 <= byte <= 0xF4:  # no overlong forms, nothing above U+10FFFF
+        return 3, byte & 0x07, 0x90 if byte == 0xF0 else 0x80, 0x8F if byte == 0xF4 else 0xBF
+    return None
+
+
 class Utf8Stream:
-    """Incremental UTF-8 decoder: bytes in any chunks, whole characters out; wrong bytes become U+FFFD.
+    """Incremental UTF-8 state machine: bytes in any chunks, whole characters out, a state of four numbers between them.
 
-    Between chunks it keeps the one unfinished character, at most 3 bytes.
+    A character that goes wrong becomes U+FFFD where it does, and the byte that broke it is read anew.
     """
 
-    def __init__(self) -> None:
-        self.held = b""
+    def __init__(self, state: tuple[int, int, int, int] = START) -> None:
+        self.state = state
 
     def feed(self, chunk: bytes, last: bool = False) -> str:
         """Characters that this chunk completes."""
-        data = self.held + chunk
-        keep = 0 if last else self._unfinished(data)
-        self.held = data[len(data) - keep :]
-        return data[: len(data) - keep].decode("utf-8", "replace")
-
-    @staticmethod
-    def _unfinished(data: bytes) -> int:
-        for back in range(1, min(3, len(data)) + 1):
-            b = data[-back]
-            if b >= 0xC0:  # a lead byte: does its character need more than what follows?
-                need = 2 if b < 0xE0 else 3 if b < 0xF0 else 4
-                return back if need > back and Utf8Stream._may_go_on(data[len(data) - back :]) else 0
-            if b < 0x80:
-                return 0
-        return 0
-
-    @staticmethod
-    def _may_go_on(head: bytes) -> bool:
-        lead, second = head[0], head[1] if len(head) > 1 else None
-        if lead < 0xC2 or lead > 0xF4:
-            return False
-        if second is None:
-            return True
-        low, high = {0xE0: (0xA0, 0xBF), 0xED: (0x80, 0x9F), 0xF0: (0x90, 0xBF), 0xF4: (0x80, 0x8F)}.get(lead, (0x80, 0xBF))
-        return low <= second <= high
+        out = []
+        need, value, low, high = self.state
+        for byte in chunk:
+            if need:
+                if low <= byte <= high:
+                    need, value, low, high = need - 1, value << 6 | byte & 0x3F, 0x80, 0xBF
+                    if not need:
+                        out.append(chr(value))
+                    continue
+                out.append("\ufffd")
+                need = 0
+            if byte < 0x80:
+                out.append(chr(byte))
+            elif (state := _lead(byte)) is None:
+                out.append("\ufffd")
+            else:
+                need, value, low, high = state
+        if need and last:
+            out.append("\ufffd")
+            need = 0
+        self.state = (need, value, low, high) if need else START
+        return "".join(out)
 
 
 #: What keeps a text from being looked up by parts: white space side by side, ASCII and other white space (fixed values).
@@ -285,10 +298,11 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, states: int | None = None, pieces: int | None = None):
         self.fst, self.most = Transducer(ranks, states), pieces or PIECES
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.by_parts = regex.compile(pattern), pattern == public_tokenizers.PATTERN
         self.spaced, self.first, self.pieces = _Known(self, b" "), _Known(self, b""), {}
         self.newline, self.marks = self.ids_of("\n"), {m: self.ids_of(m) for m in ".,"}
-        self.bytes = [self.fst.tokens.get(k, b"") for k in range(max(self.fst.tokens, default=-1) + 1)]
+        self.steps: dict[tuple, dict[int, tuple]] = {}
+        self.learned = 0
 
     def ids_of(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers, each match of the pattern encoded separately."""
@@ -308,9 +322,10 @@ class Codec:
         """Ids of a whole text.
 
         Where all white space is single blanks and line feeds, no match crosses the place before a blank or
-        around a line feed, so parts between these are looked up by themselves; other texts are matched whole.
+        around a line feed, so parts between these are looked up by themselves; other texts are matched whole,
+        and so are all texts where the pattern is another than the one this holds for.
         """
-        if any(map(text.__contains__, _TIGHT)) or text[:1] in _ENDS or text[-1:] in _ENDS or (not text.isascii() and any(map(text.__contains__, _BLANKS))):
+        if not self.by_parts or any(map(text.__contains__, _TIGHT)) or text[:1] in _ENDS or text[-1:] in _ENDS or (not text.isascii() and any(map(text.__contains__, _BLANKS))):
             return self.ids_of(text)
         lines = []
         for line in text.split("\n"):
@@ -319,10 +334,33 @@ class Codec:
         return self.newline.join(lines)
 
     def decode(self, ids: bytes, chunk: int = 4096) -> Iterator[str]:
-        """The text of ids, a chunk of tokens at a time."""
-        stream, numbers = Utf8Stream(), np.frombuffer(ids, "<u4").tolist()
+        """The text of ids, a chunk of tokens at a time.
+
+        The state machine's moves over the bytes of a token are kept by (state, token), so that a token met again is one look-up.
+        """
+        numbers, state = np.frombuffer(ids, "<u4").tolist(), START
+        moves = self.steps.setdefault(START, {})
         for k in range(0, len(numbers), chunk):
-            yield stream.feed(b"".join(map(self.bytes.__getitem__, numbers[k : k + chunk])), k + chunk >= len(numbers))
+            out = []
+            for token in numbers[k : k + chunk]:
+                text, after = moves.get(token) or self._move(state, token)
+                out.append(text)
+                if after != state:
+                    state, moves = after, self.steps.setdefault(after, {})
+            yield "".join(out)
+        if state != START:
+            yield Utf8Stream(state).feed(b"", True)
+
+    def _move(self, state: tuple, token: int) -> tuple[str, tuple]:
+        """The characters that a token completes in a state, and the state after it."""
+        if self.learned > 4 * len(self.fst.tokens):
+            self.steps.clear()
+            self.learned = 0
+        stream = Utf8Stream(state)
+        move = stream.feed(self.fst.tokens[token]), stream.state
+        self.steps.setdefault(state, {})[token] = move
+        self.learned += 1
+        return move
 
 
 class _Known(dict):

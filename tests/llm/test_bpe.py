@@ -57,6 +57,19 @@ def test_stream(data, cuts):
     assert got == data.decode("utf-8", "replace")
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.binary(max_size=12))
+def test_split_characters(data):
+    ids = np.array([RANKS[bytes([b])] for b in data], "<u4").tobytes()
+    assert "".join(OURS.decode(ids, 2)) == data.decode("utf-8", "replace")
+
+
+def test_other_pattern():
+    other = bpe.Codec(RANKS, r"\S|\s+")
+    for text in ("one two", "a b\nc"):
+        assert np.frombuffer(other.encode(text), "<u4").tolist() == tiktoken.Encoding("own", pat_str=r"\S|\s+", mergeable_ranks=RANKS, special_tokens={}).encode_ordinary(text)
+
+
 def test_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = {r.doc_id: r for r in bpe.encode(docs, PATH, P.PATTERN).collect()}
