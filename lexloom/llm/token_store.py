@@ -6,17 +6,18 @@ Files, all in one folder that driver and executors share:
                      if the vocabulary has at most 65,536 entries, else 32 bits.
 ``meta``             the number of index files and of shards, and the bytes of an id.
 ``index-00000.mph``  a header, bit levels, then one record a key in the order of the hash:
-                     fingerprint u32, shard u32, offset u64 and length u64 (in ids).
+                     fingerprint u32, shard u32, offset u64 and length u64 (in ids). A level is blocks of 512
+                     bits, each after the number of bits set before it in the file.
 
 A key is (doc_id, copy): copy counts the rows with that id, from 0. Keys are dealt to index files
 by hash. Inside one, level after level, each key is hashed to a bit of the level; keys alone on
 their bit are settled, the others go to the next level. A key's number is the count of set bits
 before its own: minimal and perfect, by about 3 bits a key and two hashes. The record's fingerprint
-tells foreign keys from known ones (one in 2^32 passes by chance). A lookup reads one record and
-one slice of a shard, whatever the size of the store.
+tells foreign keys from known ones (one in 2^32 passes by chance). ``read`` reads the header, a block of
+each level it tries (fewer than three as a rule), one record and one slice of a shard, whatever the size of the store.
 
-Shards are written from a range partitioning by doc_id, null first, then by ids, so that shards and
-the documents in them ascend. A task writes to a name of its own and then renames, so a task that is
+Shards are written from a range partitioning by doc_id, null first, then by length and hash of the text, so that
+shards and the documents in them ascend, and the rows of one doc_id may go to many shards. A task writes to a name of its own and then renames, so a task that is
 run again leaves the same files.
 """
 
@@ -39,7 +40,8 @@ END = 1
 #: Keys of an index file, and words a worker remembers.
 INDEX_KEYS, WORDS = 1 << 16, 400_000
 RECORD = np.dtype([("print", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("length", "<u8")])
-_MAGIC = b"MPHIDX01"
+BLOCK = np.dtype([("before", "<u4"), ("words", "<u8", (8,))])
+_MAGIC = b"MPHIDX02"
 _NULL = -(1 << 63)
 
 
@@ -61,20 +63,37 @@ class Index:
 
     PRINT_SEED = 0xF1
 
-    def __init__(self, levels: list[np.ndarray], records: np.ndarray):
-        self.levels, self.records = levels, records
-        self.before = np.cumsum([0, *(int(x.sum()) for x in levels)])
-        self.ranks = [np.concatenate([[0], np.cumsum(x)])[:-1] for x in levels]
+    def __init__(self, sizes: list[int], blocks: list[np.ndarray], records: np.ndarray):
+        """sizes: bits of each level; blocks: its bits (BLOCK). All may be views of a file's bytes."""
+        self.sizes, self.blocks, self.records = sizes, blocks, records
+
+    @staticmethod
+    def block_counts(sizes: list[int]) -> list[int]:
+        return [-(-size // 512) for size in sizes]
+
+    @staticmethod
+    def bits_before(blocks: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each slot of 512 in its block: whether its bit is set, and the number of bits set before it in the file."""
+        words, nth, bit = blocks["words"], slots >> 6, (slots & 63).astype(np.uint64)
+        own = np.take_along_axis(words, nth[:, None], 1)[:, 0]
+        earlier = (np.bitwise_count(words) * (np.arange(8) < nth[:, None])).sum(1, dtype=np.int64)
+        inside = np.bitwise_count(own & ((np.uint64(1) << bit) - np.uint64(1)))
+        return (own >> bit & np.uint64(1)).astype(bool), blocks["before"].astype(np.int64) + earlier + inside
 
     @classmethod
     def build(cls, keys: np.ndarray, copies: np.ndarray, records: np.ndarray) -> Index:
         """Index of records (shard, offset, length) by distinct (key, copy); fingerprints are filled in."""
-        levels, left, number, settled = [], np.arange(len(keys)), np.zeros(len(keys), np.int64), 0
+        sizes, levels, left, number, settled = [], [], np.arange(len(keys)), np.zeros(len(keys), np.int64), 0
         while len(left):
             size = max(64, len(left))
             at = (mix(keys[left], copies[left], len(levels)) % np.uint64(size)).astype(np.int64)
             alone = np.bincount(at, minlength=size) == 1
-            levels.append(alone)
+            blocks = np.zeros(-(-size // 512), BLOCK)
+            blocks["words"] = np.packbits(np.pad(alone, (0, 512 * len(blocks) - size)), bitorder="little").view("<u8").reshape(-1, 8)
+            ones = np.bitwise_count(blocks["words"]).sum(1, dtype=np.int64)
+            blocks["before"] = settled + np.cumsum(ones) - ones
+            sizes.append(size)
+            levels.append(blocks)
             mine = alone[at]
             number[left[mine]] = settled + np.cumsum(alone)[at[mine]] - 1
             settled += int(alone.sum())
@@ -84,7 +103,7 @@ class Index:
         out = np.zeros(len(keys), RECORD)
         out[number] = records
         out["print"][number] = cls.prints(keys, copies)
-        return cls(levels, out)
+        return cls(sizes, levels, out)
 
     @classmethod
     def prints(cls, keys: np.ndarray, copies: np.ndarray) -> np.ndarray:
@@ -93,33 +112,55 @@ class Index:
     def find(self, keys: np.ndarray, copies: np.ndarray) -> np.ndarray:
         """The record number of each key, -1 for those that are not in the index."""
         number, left = np.full(len(keys), -1, np.int64), np.arange(len(keys))
-        for k, (bits, rank) in enumerate(zip(self.levels, self.ranks)):
+        for k, (size, blocks) in enumerate(zip(self.sizes, self.blocks)):
             if not len(left):
                 break
-            at = (mix(keys[left], copies[left], k) % np.uint64(len(bits))).astype(np.int64)
-            hit = bits[at]
-            number[left[hit]] = self.before[k] + rank[at[hit]]
+            at = (mix(keys[left], copies[left], k) % np.uint64(size)).astype(np.int64)
+            hit, before = self.bits_before(blocks[at >> 9], at & 511)
+            number[left[hit]] = before[hit]
             left = left[~hit]
         known = number >= 0
         known[known] = self.records["print"][number[known]] == self.prints(keys[known], copies[known])
         return np.where(known, number, -1)
 
     def dump(self) -> bytes:
-        head = struct.pack("<8sII", _MAGIC, len(self.levels), len(self.records))
-        sizes = struct.pack(f"<{len(self.levels)}Q", *map(len, self.levels))
-        return head + sizes + b"".join(np.packbits(x).tobytes() for x in self.levels) + self.records.tobytes()
+        head = struct.pack("<8sII", _MAGIC, len(self.sizes), len(self.records)) + struct.pack(f"<{len(self.sizes)}Q", *self.sizes)
+        return head + b"".join(x.tobytes() for x in self.blocks) + self.records.tobytes()
 
-    @classmethod
-    def load(cls, raw: bytes) -> Index:
-        magic, n_levels, n = struct.unpack_from("<8sII", raw)
+    @staticmethod
+    def head(raw: bytes) -> tuple[int, int]:
+        """Levels and records of a file that begins with these 16 bytes."""
+        magic, levels, n = struct.unpack_from("<8sII", raw)
         if magic != _MAGIC:
             raise ValueError("not an index file")
-        at, levels = 16 + 8 * n_levels, []
-        for size in struct.unpack_from(f"<{n_levels}Q", raw, 16):
-            width = (size + 7) // 8
-            levels.append(np.unpackbits(np.frombuffer(raw, np.uint8, width, at), count=size).astype(bool))
-            at += width
-        return cls(levels, np.frombuffer(raw, RECORD, n, at))
+        return levels, n
+
+    @classmethod
+    def load(cls, raw: bytes) -> Index:
+        """The index of a whole file, as views of its bytes."""
+        n_levels, n = cls.head(raw)
+        sizes, at, blocks = list(struct.unpack_from(f"<{n_levels}Q", raw, 16)), 16 + 8 * n_levels, []
+        for count in cls.block_counts(sizes):
+            blocks.append(np.frombuffer(raw, BLOCK, count, at))
+            at += count * BLOCK.itemsize
+        return cls(sizes, blocks, np.frombuffer(raw, RECORD, n, at))
+
+    @classmethod
+    def record(cls, read_at, key: int, copy: int) -> np.void | None:
+        """The record of one key by parts of the file, given as read_at(bytes, offset); None if the key is not there."""
+        n_levels, _ = cls.head(read_at(16, 0))
+        sizes = struct.unpack(f"<{n_levels}Q", read_at(8 * n_levels, 16)) if n_levels else ()
+        counts, at = cls.block_counts(sizes), 16 + 8 * n_levels
+        records, keys, copies = at + BLOCK.itemsize * sum(counts), np.array([key]), np.array([copy])
+        for k, (size, count) in enumerate(zip(sizes, counts)):
+            slot = int(mix(keys, copies, k)[0] % np.uint64(size))
+            block = np.frombuffer(read_at(BLOCK.itemsize, at + BLOCK.itemsize * (slot >> 9)), BLOCK)
+            hit, before = cls.bits_before(block, np.array([slot & 511]))
+            if hit[0]:
+                found = np.frombuffer(read_at(RECORD.itemsize, records + RECORD.itemsize * int(before[0])), RECORD)[0]
+                return found if found["print"] == cls.prints(keys, copies)[0] else None
+            at += BLOCK.itemsize * count
+        return None
 
 
 # --- encoding ------------------------------------------------------------------------------------
@@ -244,10 +285,11 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.asc_nulls_first("doc_id")
     width = encoder(path).width
-    # All rows of one doc_id fall into one range, as copies must; a given number of ranges is not merged again.
+    # The rows of one doc_id may fall into many ranges; a given number of ranges is not merged again.
     # Texts are dealt out rather than ids: ids are larger, and finding the ranges would encode everything twice.
-    placed = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(parts, order)
-    ranged = encode(placed.sortWithinPartitions(order, F.length("text"), F.xxhash64("text")), path)
+    within = (order, F.length("text"), F.xxhash64("text"))
+    placed = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(parts, *within)
+    ranged = encode(placed.sortWithinPartitions(*within), path)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, rows = TaskContext.get().partitionId(), []
@@ -269,13 +311,28 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
             columns = [pa.array(ids, pa.int64()), pa.array(copies, pa.int32()), pa.array([shard] * len(ids), pa.int32()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "shard", "offset", "length"])
 
-    entries = cut(ranged.mapInArrow(each, "doc_id long, copy int, shard int, offset long, length long"))
+    entries = _numbered(cut(ranged.mapInArrow(each, "doc_id long, copy int, shard int, offset long, length long")))
     files = max(1, -(-entries.count() // INDEX_KEYS))
     build_index(entries, folder, files)
     _write(folder, "meta", iter([struct.pack("<III", files, parts, width)]))
     return entries
 
 
+def _numbered(entries: DataFrame) -> DataFrame:
+    """entries with copies counted through all shards that a doc_id goes on in, instead of in each.
+
+    Such a doc_id begins all these shards but the first, so there are fewer of them than shards.
+    """
+    from pyspark.sql import Window as W
+
+    first = entries.where("offset = 0 and copy = 0").select(F.col("doc_id").alias("key")).distinct()
+    here = entries.join(F.broadcast(first), F.col("doc_id").eqNullSafe(F.col("key"))).groupBy("key", F.col("shard").alias("at")).agg(F.count("*").alias("n"))
+    earlier = F.sum("n").over(W.partitionBy("key").orderBy("at").rowsBetween(W.unboundedPreceding, -1))
+    carry = here.select("key", "at", earlier.alias("carry")).where("carry > 0")  # at most a row a shard
+    out = entries.join(F.broadcast(carry), F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("shard") == F.col("at")), "left")
+    return out.select("doc_id", (F.col("copy") + F.coalesce("carry", F.lit(0))).cast("int").alias("copy"), "shard", "offset", "length")
+
+
 def _meta(folder: str) -> tuple[int, int, int]:
     fs, base = _filesystem(folder)
     with fs.open_input_stream(f"{base}/meta") as f:
@@ -347,19 +404,17 @@ def fetch(places: DataFrame, folder: str) -> DataFrame:
 
 
 def read(spark: SparkSession, folder: str, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
-    """The ids of one document by its key: one index file, one record, one slice; None if it is not there."""
+    """The ids of one document by its key: a few blocks and one record of an index file, one slice of a shard; None if it is not there."""
     fs, base = _filesystem(folder)
     files, _, width = _meta(folder)
     row = spark.createDataFrame([(doc_id, copy)], "doc_id long, copy int").select(_bucket(files)).first()
     path = f"{base}/index-{row[0]:05d}.mph"
     if fs.get_file_info(path).type == pafs.FileType.NotFound:
         return None
-    with fs.open_input_stream(path) as f:
-        index = Index.load(f.read())
-    at = int(index.find(np.array([_NULL if doc_id is None else doc_id]), np.array([copy]))[0])
-    if at < 0:
+    with fs.open_input_file(path) as f:
+        record = Index.record(f.read_at, _NULL if doc_id is None else doc_id, copy)
+    if record is None:
         return None
-    record = index.records[at]
     with fs.open_input_file(f"{base}/shard-{record['shard']:05d}.ids") as f:
         return _wide(f.read_at(width * int(record["length"]), width * int(record["offset"])), width)
 
@@ -378,6 +433,8 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
     starts = totals.select(F.col("shard").alias("s"), F.coalesce(F.sum("ids").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     # The keys come from the documents, not from what was written.
     counts = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("n"))
-    keys = counts.select("doc_id", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("copy"))
+    thousands = counts.select("doc_id", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / 1000).cast("int"))).alias("k"))
+    last = F.least(F.col("n") - 1, F.col("k") * 1000 + 999).cast("int")
+    keys = thousands.select("doc_id", F.explode(F.sequence(F.col("k") * 1000, last)).alias("copy"))
     got = fetch(lookup(keys, folder), folder)
     return got.join(F.broadcast(starts), got.shard == starts.s).select("doc_id", (F.col("base") + F.col("offset")).alias("start"), F.col("length").alias("n_tokens"), "ids_crc32")

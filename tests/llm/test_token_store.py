@@ -42,7 +42,11 @@ def test_index(n):
     at = index.find(keys, copies)
     assert sorted(at) == list(range(n)) and (index.records["offset"][at] == np.arange(n)).all()
     assert (index.find(rng.integers(-(2**63), 2**63 - 1, 1000), np.zeros(1000, int)) == -1).all()
-    assert sum(map(len, index.levels)) <= 3.5 * n + 64 * len(index.levels)
+    assert sum(index.sizes) <= 3.5 * n + 64 * len(index.sizes)
+    raw = index.dump()
+    part = lambda size, at: raw[at : at + size]
+    assert [ts.Index.record(part, k, c)["offset"] for k, c in zip(keys[:200].tolist(), copies[:200].tolist())] == list(range(min(n, 200)))
+    assert ts.Index.record(part, 12345, 7) is None
 
 
 def check(docs, rows):
@@ -65,6 +69,15 @@ def test_documents(spark, sf, monkeypatch):
     check(docs, [(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_one_id_in_many_shards(spark, tmp_path):
+    rows = [(None if k % 3 else k, f"word {k} " * (k % 5)) for k in range(600)] + [(9, "same")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(docs, rows)
+    entries = ts.write(docs, PATH, f"file://{tmp_path}/many")
+    nulls = entries.where("doc_id is null").collect()
+    assert sorted(r.copy for r in nulls) == list(range(400)) and len({r.shard for r in nulls}) > 1
+
+
 def test_odd_rows(spark, tmp_path):
     rows = [(None, "x"), (None, None), (7, ""), (7, "b c"), (7, "b c"), (-3, "z " * 30000)]
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, shard int, copy int")
