@@ -186,6 +186,7 @@ class WordEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}{self.code}", *e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -211,10 +212,12 @@ class WordEncoder:
         for t in texts:
             raw = (t or "").encode()
             split.append(None if b"<|" in raw else raw.lower().replace(b"\n", b" ").split(b" "))
-        known = self.known
-        if len(known) > WORDS:
-            known.clear()
-        new = {w for ws in split if ws for w in ws if w not in known}
+        if 2 * len(self.known) > WORDS:  # the older half gives back what is met again
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        met: set[bytes] = set()
+        met.update(*filter(None, split))
+        new = met.difference(known)
         marks = {b".": b".", b",": b","}
         bare, later = set(), []
         for w in new:
@@ -224,7 +227,9 @@ class WordEncoder:
                 bare.update(x for x in (w[:-1], mark) if x not in known)
             else:
                 bare.add(w)
-        words = sorted(bare)
+        again = bare.intersection(older)
+        known.update((w, older[w]) for w in again)
+        words = list(bare - again)
         for k in range(0, len(words), 4096):
             self._learn(words[k : k + 4096])
         for w, stem, mark in later:
