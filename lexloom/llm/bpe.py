@@ -303,6 +303,13 @@ class Codec:
         self.newline, self.marks = self.ids_of("\n"), {m: self.ids_of(m) for m in ".,"}
         self.steps: dict[tuple, dict[int, tuple]] = {}
         self.learned = 0
+        #: Characters of tokens that are whole characters by themselves; None for others.
+        self.whole: list[str | None] = [None] * (max(self.fst.tokens, default=-1) + 1)
+        for token, raw in self.fst.tokens.items():
+            stream = Utf8Stream()
+            text = stream.feed(raw)
+            if stream.state == START:
+                self.whole[token] = text
 
     def ids_of(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers, each match of the pattern encoded separately."""
@@ -336,13 +343,20 @@ class Codec:
     def decode(self, ids: bytes, chunk: int = 4096) -> Iterator[str]:
         """The text of ids, a chunk of tokens at a time.
 
-        The state machine's moves over the bytes of a token are kept by (state, token), so that a token met again is one look-up.
+        The state machine's moves over the bytes of a token are kept by (state, token), so that a token met again is one look-up;
+        a chunk of tokens that all are whole characters leaves the state as it is.
         """
         numbers, state = np.frombuffer(ids, "<u4").tolist(), START
         moves = self.steps.setdefault(START, {})
         for k in range(0, len(numbers), chunk):
-            out = []
-            for token in numbers[k : k + chunk]:
+            out, part = [], numbers[k : k + chunk]
+            if state == START:  # most chunks stay between characters
+                out = list(map(self.whole.__getitem__, part))
+                if None not in out:
+                    yield "".join(out)
+                    continue
+                out = []
+            for token in part:
                 text, after = moves.get(token) or self._move(state, token)
                 out.append(text)
                 if after != state:
