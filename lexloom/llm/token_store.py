@@ -23,10 +23,13 @@ run again leaves the same files.
 
 from __future__ import annotations
 
+import string
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,7 @@ from .common import cut, shared_dir
 
 END = 1
 #: Keys of an index file, and words a worker remembers.
-INDEX_KEYS, WORDS = 1 << 16, 400_000
+INDEX_KEYS, WORDS = 1 << 16, 1_000_000
 RECORD = np.dtype([("print", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("length", "<u8")])
 BLOCK = np.dtype([("before", "<u4"), ("words", "<u8", (8,))])
 _MAGIC = b"MPHIDX02"
@@ -166,14 +169,15 @@ class Index:
 # --- encoding ------------------------------------------------------------------------------------
 #: Characters that byte-level files write for bytes: printable Latin-1 as it is, the others from U+0100 on.
 _AS_IS = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SYMBOLS = string.punctuation.encode()
 _BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _AS_IS)}
 
 
 class WordEncoder:
     """Encodes with a tokenizers file whose normaliser and pattern keep no token across a blank or line feed.
 
-    Lower-casing ASCII, splitting at blanks and line feeds, and splitting full stops and commas off an
-    ASCII letter change nothing in the ids of such a file, so unseen words only go through the library.
+    Lower-casing ASCII, splitting at blanks and line feeds, and splitting ASCII symbols off a letter or
+    ASCII digit before them change nothing in the ids of such a file, so unseen words only go through the library.
     A word that is letters only after the library's normaliser is one match of the pattern, and goes to
     the library's BPE model at once; other words go through the whole library, many at a time, and so
     does a text with the opening of a special token.
@@ -206,6 +210,22 @@ class WordEncoder:
         rest = [k for k, s in enumerate(single) if not s]
         self.known.update(zip((words[k] for k in rest), self._ids([plain[k] for k in rest])))
 
+    @staticmethod
+    @lru_cache(4096)
+    def _letter(char: str) -> bool:
+        """Whether the library's normaliser leaves letters only of a letter below U+2000: no mark that would join what follows."""
+        return char < "\u2000" and normalize("NFC", char).lower().isalpha()
+
+    def _halves(self, word: bytes) -> tuple[bytes, bytes] | None:
+        """A word's beginning and its ASCII symbols at the end, if a match of the pattern ends between them."""
+        stem = word.rstrip(_SYMBOLS)
+        if not stem or len(stem) == len(word):
+            return None
+        last = stem[-1]
+        if 97 <= last <= 122 or 48 <= last <= 57 or last > 127 and self._letter(stem.decode()[-1]):
+            return stem, word[len(stem) :]
+        return None
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``width`` bytes."""
         split: list[list[bytes] | None] = []
@@ -217,23 +237,24 @@ class WordEncoder:
         known, older = self.known, self.older
         met: set[bytes] = set()
         met.update(*filter(None, split))
-        new = met.difference(known)
-        marks = {b".": b".", b",": b","}
-        bare, later = set(), []
-        for w in new:
-            mark = marks.get(w[-1:])
-            if mark and len(w) > 1 and 97 <= w[-2] <= 122:
-                later.append((w, w[:-1], mark))
-                bare.update(x for x in (w[:-1], mark) if x not in known)
+        new, bare, later = [], set(), []
+        for w in met.difference(known):
+            if (ids := older.get(w)) is not None:
+                known[w] = ids
+            elif halves := self._halves(w):
+                later.append((w, *halves))
+                bare.update(halves)
             else:
                 bare.add(w)
-        again = bare.intersection(older)
-        known.update((w, older[w]) for w in again)
-        words = list(bare - again)
-        for k in range(0, len(words), 4096):
-            self._learn(words[k : k + 4096])
-        for w, stem, mark in later:
-            known[w] = known[stem] + known[mark]
+        for w in bare.difference(known):
+            if (ids := older.get(w)) is not None:
+                known[w] = ids
+            else:
+                new.append(w)
+        for k in range(0, len(new), 4096):
+            self._learn(new[k : k + 4096])
+        for w, stem, tail in later:
+            known[w] = known[stem] + known[tail]
         return [self._ids([t])[0] if ws is None else b"".join(map(known.__getitem__, ws)) for t, ws in zip(texts, split)]
 
 

@@ -32,6 +32,20 @@ def test_hard_text(text):
     assert np.frombuffer(OURS.encode([text])[0], "<u2").tolist() == ids_of(text)
 
 
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="abzéñßİıſǰΐ\u0958\u0301\u1100\u1161中9٣²_", max_size=6), st.text(alphabet="&$%.,'_=>~\"s", max_size=4)), max_size=6))
+def test_symbols_at_the_end(parts):
+    text = " ".join(a + b for a, b in parts)
+    assert np.frombuffer(OURS.encode([text])[0], "<u2").tolist() == ids_of(text)
+
+
+def test_few_words_remembered(monkeypatch):
+    monkeypatch.setattr(ts, "WORDS", 8)
+    code, texts = ts.WordEncoder(PATH), [f"word{k % 7} né&&& x{k % 5}%% the, a{k}." for k in range(60)]
+    for t in texts:
+        assert np.frombuffer(code.encode([t])[0], "<u2").tolist() == ids_of(t)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 5000])
 def test_index(n):
     rng = np.random.default_rng(n)
