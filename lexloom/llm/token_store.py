@@ -41,7 +41,7 @@ from .common import cut, shared_dir
 
 END = 1
 #: Keys of an index file, and words a worker remembers.
-INDEX_KEYS, WORDS = 1 << 16, 1_000_000
+INDEX_KEYS, WORDS = 1 << 16, 700_000
 RECORD = np.dtype([("print", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("length", "<u8")])
 BLOCK = np.dtype([("before", "<u4"), ("words", "<u8", (8,))])
 _MAGIC = b"MPHIDX02"
