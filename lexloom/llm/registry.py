@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, langid, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
+from . import bpe, feature_join, html_text, langid, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
 from .common import table
 
 
@@ -72,11 +72,17 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_and_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usable version of its document's source for every label."""
+    return feature_join.label_features(table(spark, sf_dir, "labels", "doc_id"), table(spark, sf_dir, "documents", "doc_id", "source", "n_chars", "lang"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    return {"op1_token_store": op1_token_store, "op2_html_text": op2_html_text, "op3_toxicity": op3_toxicity, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_url_filter": op8_url_filter, "op9_spotsigs": op9_spotsigs, "op10_simhash": op10_simhash}
+    known = [op1_token_store, op2_html_text, op3_toxicity, op4_langid, op5_mixing, op6_bpe, op7_quality, op8_url_filter, op9_spotsigs, op10_simhash, op12_feature_join]
+    return {f.__name__: f for f in known}
 
 
 def oracle_sql() -> dict[str, str]:
     """Name: DuckDB SQL of the same rows."""
-    return {"op8_url_filter": url_filter.sql()}
+    return {"op8_url_filter": url_filter.sql(), "op12_feature_join": feature_join.sql()}
