@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, feature_join, html_text, langid, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
+from . import bpe, centroids, feature_join, html_text, langid, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
 from .common import table
 
 
@@ -72,6 +72,11 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_and_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all whole embeddings after ten rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op12_feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The usable version of its document's source for every label."""
     return feature_join.label_features(table(spark, sf_dir, "labels", "doc_id"), table(spark, sf_dir, "documents", "doc_id", "source", "n_chars", "lang"))
@@ -79,7 +84,7 @@ def op12_feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    known = [op1_token_store, op2_html_text, op3_toxicity, op4_langid, op5_mixing, op6_bpe, op7_quality, op8_url_filter, op9_spotsigs, op10_simhash, op12_feature_join]
+    known = [op1_token_store, op2_html_text, op3_toxicity, op4_langid, op5_mixing, op6_bpe, op7_quality, op8_url_filter, op9_spotsigs, op10_simhash, op11_centroids, op12_feature_join]
     return {f.__name__: f for f in known}
 
 
