@@ -35,6 +35,8 @@ WIDTH, THRESHOLD = 5, 0.8
 SAMPLE, OFTEN, REMEMBERED = 4_000, 4, 200_000
 #: How many members of those that share a shingle all others are compared with first.
 STARS = 2
+#: Members of a group that one task compares with the others at a time.
+BLOCK = 1024
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -60,24 +62,31 @@ def parity(sigs: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def _common(docs: DataFrame) -> np.ndarray:
-    """Shingles of many documents, ascending."""
+def common_shingles(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
+    """Shingles of many documents of docs (doc_id, text), ascending; a sample, which decides costs only."""
     n = docs.select(F.count("*")).first()[0]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in (b.slice(k, 128) for k in range(0, b.num_rows, 128)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingles(t) for t in part.column(0).to_pylist()] or [np.zeros(0, np.int64)]))], names=["sig"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingles(t, width) for t in part.column(0).to_pylist()] or [np.zeros(0, np.int64)]))], names=["sig"])
 
     some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, n // SAMPLE))) == 0).select("text")
     often = some.mapInArrow(each, "sig long").groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > OFTEN)
     return np.sort(np.array([r.sig for r in often.orderBy(F.desc("n"), "sig").limit(REMEMBERED).collect()], np.int64))
 
 
-def _lists(values: list[np.ndarray]) -> pa.ListArray:
+def lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), pa.array(np.concatenate(values or [np.zeros(0, np.int64)]), pa.int64()))
 
 
+def head(sigs: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The first n - ceil(0.8 n) + 1 of a set's n shingles, common ones last."""
+    n = len(sigs)
+    known = common[np.minimum(np.searchsorted(common, sigs), len(common) - 1)] == sigs if len(common) else np.zeros(n, bool)
+    return np.concatenate([sigs[~known], sigs[known]])[: n + (-4 * n // 5) + 1] if n else sigs
+
+
 def _rows(docs: DataFrame, key: list[Column], common: np.ndarray) -> DataFrame:
     """row, fp, node (a hash of the shingle set), n (its size), head (the shingles by which it meets others) and parity."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
@@ -88,27 +97,22 @@ def _rows(docs: DataFrame, key: list[Column], common: np.ndarray) -> DataFrame:
             for part in (b.slice(k, 128) for k in range(0, b.num_rows, 128)):
                 texts = part.column(1).to_pylist()
                 sets = [shingles(t) for t in texts]
-                heads = []
-                for s in sets:
-                    n = len(s)
-                    known = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s if len(common) else np.zeros(n, bool)
-                    ordered = np.concatenate([s[~known], s[known]])
-                    heads.append(ordered[: n + (-4 * n // 5) + 1] if n else s)  # n - ceil(0.8 n) + 1, in whole numbers
+                heads = [head(s, common) for s in sets]
                 nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64).view(np.int64)
                 fps = pa.array([fingerprint(t) for t in texts], pa.int64())
                 sizes = pa.array([len(s) for s in sets], pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0), fps, pa.array(nodes, pa.int64()), sizes, _lists(heads), _lists([parity(s) for s in sets])], names=["row", "fp", "node", "n", "head", "parity"])
+                yield pa.RecordBatch.from_arrays([part.column(0), fps, pa.array(nodes, pa.int64()), sizes, lists(heads), lists([parity(s) for s in sets])], names=["row", "fp", "node", "n", "head", "parity"])
 
     return docs.select(F.struct(*key).alias("row"), "text").mapInArrow(each, "row struct<k0:boolean,k1:long,k2:long>, fp long, node long, n int, head array<long>, parity array<long>")
 
 
-def _sets(texts: DataFrame) -> DataFrame:
+def sets_of(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     """(node, sigs) of texts (node, text)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in (b.slice(k, 128) for k in range(0, b.num_rows, 128)):
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists([shingles(t) for t in part.column(1).to_pylist()])], names=["node", "sigs"])
+                yield pa.RecordBatch.from_arrays([part.column(0), lists([shingles(t, width) for t in part.column(1).to_pylist()])], names=["node", "sigs"])
 
     return texts.select("node", "text").mapInArrow(each, "node long, sigs array<long>").dropDuplicates(["node"])
 
@@ -131,10 +135,10 @@ def _parities_allow() -> Column:
     return F.expr("5 * least(na, nb) >= 4 * greatest(na, nb)") & (9 * apart <= F.col("na") + F.col("nb"))
 
 
-def _alike(pairs: DataFrame, texts) -> DataFrame:
+def _alike(pairs: DataFrame, texts, width: int) -> DataFrame:
     """pairs (a, b) with likeness of THRESHOLD or more; texts gives (node, text) of what is asked for."""
     pairs = cut(pairs)
-    sets = cut(_sets(texts(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
+    sets = cut(sets_of(texts(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), width))
     one, two = sets.select(F.col("node").alias("a"), F.col("sigs").alias("sa")), sets.select(F.col("node").alias("b"), F.col("sigs").alias("sb"))
     both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
     return both.where(5 * F.col("common") >= 4 * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
@@ -146,36 +150,47 @@ def _close(a: str, b: str) -> Column:
     return 9 * left >= 4 * (F.col(f"n{a}") + F.col(f"n{b}"))
 
 
-def set_links(whole: DataFrame, texts) -> DataFrame:
-    """Edges (a, b) that connect exactly what the pairs of likeness THRESHOLD or more connect.
+def star_links(each: DataFrame, whole: DataFrame, texts, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of the members of groups with the first STARS of their group, and what these leave open.
 
-    whole: distinct node, with n (its size), head and parity. The pair's first common shingle is in both heads, and there
-    the test by place holds; so whatever is alike passes it in one of the groups that share a shingle.
+    each: sig (a group), node, n and at (the place in the node's order of what the group shares; 0 where there is no
+    order). Left open are groups with a member that is not connected with the group's first star: sig, node, n, at, root
+    (its component), outside (not connected with the star), m (members of the group left open).
     """
-    each = whole.select("node", "n", F.posexplode("head").alias("at", "sig"))
-    # A group that shares a shingle is one of few columns; common shingles come last, so few heads hold them.
-    group = W.partitionBy("sig")
-    stars = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "at")).over(group).alias(f"s{k}") for k in range(STARS)]
-    met = each.withColumn("often", F.count("*").over(group)).where("often > 1").select("sig", "node", "n", "at", *stars)
-    met = cut(met)
+    # A group may hold a large part of all nodes: it is counted and its stars are found before the shuffle, and joins on it can be split.
+    shared = each.groupBy("sig").agg(F.count("*").alias("often")).where("often > 1").select("sig")
+    met = cut(each.join(shared, "sig", "left_semi").select("sig", "node", "n", "at"))
+    stars = met.groupBy("sig").agg(*(F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "at")).alias(f"s{k}") for k in range(STARS)))
     ends = F.explode(F.array(*(F.struct(F.col(f"s{k}.node").alias("a"), F.col(f"s{k}.n").alias("na"), F.col(f"s{k}.at").alias("pa")) for k in range(STARS)))).alias("s")
-    pairs = met.select("s0", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), ends).select("s.*", "b", "nb", "pb")
+    pairs = met.join(stars, "sig").select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), ends).select("s.*", "b", "nb", "pb")
     pairs = pairs.where((F.col("a") != F.col("b")) & _close("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = cut(_alike(_may_be_alike(pairs, whole), texts))
+    first = cut(_alike(_may_be_alike(pairs, whole), texts, width))
     roots = cut(connected_components(first))
-    # The stars of a shingle are done with; of the others those are left that are not connected with its first star.
-    star = F.array(*(F.col(f"s{k}.node") for k in range(STARS)))
-    rest = met.where(~F.array_contains(star, F.col("node"))).select("sig", "node", "n", "at", F.col("s0.node").alias("star"))
-    named = rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    tops = roots.select(F.col("node").alias("star"), F.col("root").alias("top"))
-    named = cut(named.join(tops, "star", "left").select("sig", "node", "n", "at", "root", (F.col("root") != F.coalesce("top", "star")).alias("outside")))
-    unsettled = named.groupBy("sig").agg(F.max("outside").alias("some"), F.count("*").alias("m")).where("some and m > 1").select("sig")
-    marked = cut(named.join(unsettled, "sig", "left_semi").join(whole.select("node", F.col("parity").alias("q")), "node"))
+    # The stars of a group are done with; of the others those are left that are not connected with its first star.
+    tops = stars.select("sig", F.col("s0.node").alias("star"), F.array(*(F.col(f"s{k}.node") for k in range(STARS))).alias("stars"))
+    tops = tops.join(roots, F.col("star") == F.col("node"), "left").select("sig", "stars", F.coalesce("root", "star").alias("top"))
+    named = met.join(tops, "sig").where(~F.array_contains("stars", F.col("node"))).drop("stars").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = cut(named.select("sig", "node", "n", "at", "root", (F.col("root") != F.col("top")).alias("outside")))
+    unsettled = named.groupBy("sig").agg(F.max("outside").alias("some"), F.count("*").alias("m")).where("some and m > 1").select("sig", "m")
+    return first, cut(named.join(unsettled, "sig"))
+
+
+def set_links(each: DataFrame, whole: DataFrame, texts, width: int = WIDTH) -> DataFrame:
+    """Edges (a, b) that connect exactly what the pairs of likeness THRESHOLD or more within the groups of each connect.
+
+    whole: distinct node, with n (its size) and parity. Where groups are shingles of heads, the pair's first common
+    shingle is in both heads, and there the test by place holds; so whatever is alike passes it in one of them.
+    """
+    first, left = star_links(each, whole, texts, width)
+    marked = left.join(whole.select("node", F.col("parity").alias("q")), "node")
+    # A large group is compared in blocks: its outsiders are dealt to lanes of BLOCK members, and each lane sees the group.
+    lanes = F.ceil(F.col("m") / BLOCK).cast("long")
     side = lambda x: [F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"p{x}"), F.col("root").alias(f"r{x}"), F.col("q").alias(f"q{x}")]
-    one, two = marked.where("outside").select("sig", *side("a")), marked.select("sig", *side("b"))
-    more = one.join(two, (one.sig == two.sig) & (F.col("ra") != F.col("rb")) & _close("a", "b") & _parities_allow())
+    one = marked.where("outside").select("sig", F.pmod(F.xxhash64("node"), lanes).alias("lane"), *side("a"))
+    two = marked.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), lanes - 1))).select("sig", "lane", *side("b"))
+    more = one.join(two, (one.sig == two.sig) & (one.lane == two.lane) & (F.col("ra") != F.col("rb")) & _close("a", "b") & _parities_allow())
     more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return first.unionByName(_alike(more, texts))
+    return first.unionByName(_alike(more, texts, width))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -187,7 +202,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """
     key = [F.col("doc_id").isNull().alias("k0"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k1"), F.xxhash64("text").alias("k2")]
     folder = f"{shared_dir(docs.sparkSession)}/shingles-{uuid.uuid4().hex}"
-    _rows(docs, key, _common(docs)).write.parquet(folder)
+    _rows(docs, key, common_shingles(docs)).write.parquet(folder)
     rows = docs.sparkSession.read.parquet(folder)
     firsts = cut(rows.groupBy("fp", "node").agg(F.min("row").alias("first")))
     # Head and parity follow from the set, so any row of a node gives them.
@@ -197,7 +212,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
         owners = firsts.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("first").alias("first")).select("node", "first.*")
         return docs.select("text", *key).join(owners, ["k0", "k1", "k2"]).select("node", "text")
 
-    likes = cut(set_links(whole, texts))
+    likes = cut(set_links(whole.select("node", "n", F.posexplode("head").alias("at", "sig")), whole, texts))
     linked = likes.select(F.col("a").alias("node")).unionByName(likes.select(F.col("b").alias("node")))
     several = firsts.groupBy("node").agg(F.count("*").alias("m")).where("m > 1").select("node")
     ties = firsts.join(linked.unionByName(several).distinct(), "node", "left_semi").select(F.col("fp").alias("a"), F.col("node").alias("b"))

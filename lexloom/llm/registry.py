@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, feature_join, html_text, langid, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
+from . import bpe, centroids, feature_join, html_text, langid, minhash, mixing, quality, simhash, spotsigs, token_store, toxicity, url_filter
 from .common import table
 
 
@@ -82,9 +82,14 @@ def op12_feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_join.label_features(table(spark, sf_dir, "labels", "doc_id"), table(spark, sf_dir, "documents", "doc_id", "source", "n_chars", "lang"))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by circulant MinHash."""
+    return minhash.near_dups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name: query."""
-    known = [op1_token_store, op2_html_text, op3_toxicity, op4_langid, op5_mixing, op6_bpe, op7_quality, op8_url_filter, op9_spotsigs, op10_simhash, op11_centroids, op12_feature_join]
+    known = [op1_token_store, op2_html_text, op3_toxicity, op4_langid, op5_mixing, op6_bpe, op7_quality, op8_url_filter, op9_spotsigs, op10_simhash, op11_centroids, op12_feature_join, op13_minhash]
     return {f.__name__: f for f in known}
 
 
