@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .scan import numbered
+
 
 def counts(df: DataFrame, key: str, order: str) -> DataFrame:
     """Rows by key with the first position of each, by which equal counts are ordered (A1)."""
@@ -102,13 +104,9 @@ def without(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def append_new(old: DataFrame, new: DataFrame, key: str, order: str, prefix: str = "BLD2-") -> DataFrame:
-    """old and those rows of new whose key it lacks, numbered on from the last id (SET3).
-
-    The ids of new rows need one order over all of them; they are few against old.
-    """
-    fresh = without(new, old, key)
-    numbered = fresh.withColumn("_n", F.row_number().over(W.orderBy(order))).crossJoin(F.broadcast(last_number(old, "id")))
-    fresh = numbered.withColumn("id", F.format_string(prefix + "%05d", F.coalesce("last", F.lit(-1)) + F.col("_n"))).drop("_n", "last")
+    """old and those rows of new whose key it lacks, numbered on from the last id in order, then by key (SET3)."""
+    fresh = numbered(without(new, old, key), "_n", [order, key]).crossJoin(F.broadcast(last_number(old, "id")))  # one row
+    fresh = fresh.withColumn("id", F.format_string(prefix + "%05d", F.coalesce("last", F.lit(-1)) + F.col("_n"))).drop("_n", "last")
     return old.unionByName(fresh, allowMissingColumns=True)
 
 

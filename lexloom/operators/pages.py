@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .aggregate import index_quantiles, iqr_fences, jump_bucket
 from .joins import closest
+from .scan import in_order, scanned
 
 BREAK, FAR = 12, 200
 
@@ -23,14 +23,12 @@ def letter_ranges(df: DataFrame, letter: str = "letter", page: str = "page") ->
 def breaks(df: DataFrame, letter: str, order: str, page: str, tie: str, most: int = BREAK) -> DataFrame:
     """Entries whose page lies more than ``most`` before the greatest so far, with the entry that last raised it.
 
-    A letter is one ordered group, and a corpus files a bounded share of its entries under each; many volumes add
-    their number to the letter.
+    The running maximum is a prefix scan, so a letter is spread over as many tasks as its rows need.
     """
-    w = W.partitionBy(letter).orderBy(order, tie).rowsBetween(W.unboundedPreceding, -1)
-    position = F.row_number().over(W.partitionBy(letter).orderBy(order, tie))
-    top = F.max(F.struct(F.col(page).alias("p"), (-F.col("_pos")).alias("o"), F.col(order).alias("head"))).over(w)
-    out = df.where(F.col(page).isNotNull()).withColumn("_pos", position).withColumn("_top", top)
-    return out.where(F.col(page) < F.col("_top.p") - most).withColumn("running_max", F.col("_top.p")).withColumn("previous", F.col("_top.head")).withColumn("jump", F.col("_top.p") - F.col(page)).drop("_pos", "_top")
+    rows = in_order(df.where(F.col(page).isNotNull()), letter, order, tie)
+    out = scanned(rows, [letter], _top=("max", F.struct(F.col(page).alias("p"), (-F.col("_i")).alias("o"), F.col(order).alias("head"))))
+    out = out.where(F.col(page) < F.col("_top.p") - most)
+    return out.withColumn("running_max", F.col("_top.p")).withColumn("previous", F.col("_top.head")).withColumn("jump", F.col("_top.p") - F.col(page)).drop("_i", "_top")
 
 
 def histogram(broken: DataFrame) -> DataFrame:

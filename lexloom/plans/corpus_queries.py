@@ -301,3 +301,12 @@ def xref_triage(spark, sf):
 @query(LEX + r"""select index, upper(regexp_extract(concat('See ', term, '.'), '^\s*[Ss]ee\s+([A-Z][A-Za-z ''&-]{1,80}?)\s*[.,;]?\s*$', 1)) as target from lex where regexp_matches(concat('See ', term, '.'), '^\s*[Ss]ee\s+([A-Z][A-Za-z ''&-]{1,80}?)\s*[.,;]?\s*$')""")
 def see_targets(spark, sf):
     return lexicon(spark, sf).select("index", X.see_target(F.concat(F.lit("See "), "term", F.lit("."))).alias("target")).where("target is not null")
+
+
+@query(LEX + "select index, row_number() over (order by term, index) - 1 as source_index, page from lex where page between 12 and 1249")
+def leaf_candidates(spark, sf):
+    """Candidates on leaves of the dictionary, numbered in order of term by a prefix scan."""
+    from ..operators import segment as G
+
+    lex = lexicon(spark, sf).select("index", "page", F.array("page").alias("leaves"), F.struct("term", "index").alias("source_index"))
+    return G.in_leaves(lex).select("index", F.col("source_index").cast("long").alias("source_index"), "page")
