@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Letters from rare to frequent in English text (a fixed order, which decides costs only).
+RARE = "QXZJKVWYFBHGMPUDCLOTNRSAIE "
 #: From this length on strings meet by grams of GRAM characters instead of pieces.
 LONG, GRAM = 80, 4
 
@@ -34,7 +36,7 @@ def changed(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> Dat
     return a.join(b, key).where(reduce(Column.__or__, (~F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in columns)))
 
 
-def _met(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
+def edits_apart(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
     """Pairs of a and b (distinct strings) within ``most`` edits, with their distance.
 
     A string of length n is cut into most + 1 pieces, of which one must occur unchanged in any other that is so near,
@@ -57,12 +59,12 @@ def _met(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
 def within(df: DataFrame, key: str, most: int) -> DataFrame:
     """Pairs a < b of distinct keys within ``most`` edits."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return _met(keys.select(F.col(key).alias("a")), keys.select(F.col(key).alias("b")), most).where("a < b")
+    return edits_apart(keys.select(F.col(key).alias("a")), keys.select(F.col(key).alias("b")), most).where("a < b")
 
 
 def nearest(left: DataFrame, right: DataFrame, key: str, most: int, every_tie: bool = False) -> DataFrame:
     """For each distinct key of left the key of right at least edit distance, up to ``most`` (J6); ties by the key."""
-    near = _met(left.select(F.col(key).alias("a")).where("a is not null").distinct(), right.select(F.col(key).alias("b")).where("b is not null").distinct(), most)
+    near = edits_apart(left.select(F.col(key).alias("a")).where("a is not null").distinct(), right.select(F.col(key).alias("b")).where("b is not null").distinct(), most)
     if every_tie:
         best = near.groupBy("a").agg(F.min("distance").alias("d"))
         return near.join(best, "a").where("distance = d").select("a", "b", "distance")
@@ -122,6 +124,41 @@ def alike(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     return pairs.where(F.levenshtein("a", "b") <= most)
 
 
+def letter_bag(x) -> Column:
+    """The letters of a string with their occurrence numbers ('E1', 'E2'), rare letters first: as many as it has letters.
+
+    Two strings share as many of these as their letters can be paired off.
+    """
+    coded = F.translate(x, RARE, "".join(chr(0xE000 + k) for k in range(len(RARE))))  # private use: no text has them
+    letters = F.array_sort(F.filter(F.split(coded, ""), lambda c: c != ""))
+    return F.transform(F.array(letters), lambda s: F.transform(s, lambda c, i: F.concat(c, (i - F.array_position(s, c) + 2).cast("string"))))[0]
+
+
+def by_letters(a: DataFrame, b: DataFrame, least: float, initial: bool = False) -> DataFrame:
+    """Pairs of a (a) and b (b), distinct strings, that may have a ratio of ``least`` or more: no such pair is missing.
+
+    For low ratios, where pieces of ``alike`` are too short to tell strings apart. The ratio is at most twice the letters
+    that can be paired off over both lengths m and n, so o = least (m + n) / 2 letters are shared, and two of these are among
+    the first m - o + 2 and n - o + 2 letters in order of rarity (one, of one letter less, where o is 1). Strings meet by
+    both lengths and these two letters. With initial only pairs with the same first letter are asked for.
+    """
+    low, high = least / (2 - least), (2 - least) / least
+    first = F.substring("x", 1, 1) if initial else F.lit("")
+
+    def keyed(df: DataFrame, x: str, other: str) -> DataFrame:
+        each = df.select(F.col(x).alias("x"), F.length(x).alias("own")).where("own > 0").withColumn("bag", letter_bag(F.col("x")))
+        each = each.withColumn("far", F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.col("own") * low - 1e-9)).cast("int"), F.floor(F.col("own") * high + 1e-9).cast("int"))))
+        each = each.withColumn("o", F.greatest(F.lit(1), F.ceil((F.col("own") + F.col("far")) * (least / 2) - 1e-9)).cast("int"))
+        each = each.where("o <= least(own, far)").withColumn("p", F.slice("bag", F.lit(1), F.col("own") - F.col("o") + F.least(F.lit(2), F.col("o"))))
+        two = F.flatten(F.transform("p", lambda s, i: F.transform(F.slice("p", i + 2, F.size("p")), lambda t: F.concat(s, F.lit(" "), t))))
+        key = F.explode(F.when(F.col("o") == 1, F.col("p")).otherwise(two)).alias("key")
+        return each.select(F.col("x").alias(x), F.col("own").alias(f"n{x}"), F.col("far").alias(f"n{other}"), first.alias("head"), key)
+
+    met = keyed(a, "a", "b").join(keyed(b, "b", "a"), ["na", "nb", "head", "key"]).select("a", "b", "na", "nb").distinct()
+    shared = F.size(F.array_intersect(letter_bag(F.col("a")), letter_bag(F.col("b"))))
+    return met.where(shared >= (F.col("na") + F.col("nb")) * (least / 2) - 1e-9).where(F.levenshtein("a", "b") <= (F.col("na") + F.col("nb")) * (1 - least) + 1e-9).select("a", "b")
+
+
 def containing(terms: DataFrame, bodies: DataFrame, term: str = "term", body: str = "body", words: int = 3, key: str = "index") -> DataFrame:
     """Pairs (term, key) of a term and the bodies that have it as a run of whole words (J9), by an index of word runs.
 
