@@ -158,9 +158,12 @@ def star_links(each: DataFrame, whole: DataFrame, texts, width: int = WIDTH) ->
     (its component), outside (not connected with the star), m (members of the group left open).
     """
     # A group may hold a large part of all nodes: it is counted and its stars are found before the shuffle, and joins on it can be split.
-    shared = each.groupBy("sig").agg(F.count("*").alias("often")).where("often > 1").select("sig")
-    met = cut(each.join(shared, "sig", "left_semi").select("sig", "node", "n", "at"))
-    stars = met.groupBy("sig").agg(*(F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "at")).alias(f"s{k}") for k in range(STARS)))
+    shared = each.groupBy("sig").agg(F.count("*").alias("often")).where("often > 1")
+    met = cut(each.join(shared, "sig").select("sig", "node", "n", "at", "often"))
+    # First comes the member that meets most others in all its groups: what copies were made from is like all of them, they are not.
+    met_by = met.groupBy("node").agg((-F.sum("often")).alias("rank"))
+    first_by = [("rank", F.xxhash64("node")), *((F.xxhash64("node", F.lit(k)),) for k in range(1, STARS))]
+    stars = met.join(met_by, "node").groupBy("sig").agg(*(F.min(F.struct(*by, "node", "n", "at")).alias(f"s{k}") for k, by in enumerate(first_by)))
     ends = F.explode(F.array(*(F.struct(F.col(f"s{k}.node").alias("a"), F.col(f"s{k}.n").alias("na"), F.col(f"s{k}.at").alias("pa")) for k in range(STARS)))).alias("s")
     pairs = met.join(stars, "sig").select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), ends).select("s.*", "b", "nb", "pb")
     pairs = pairs.where((F.col("a") != F.col("b")) & _close("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
