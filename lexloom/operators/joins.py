@@ -5,12 +5,18 @@ No side is broadcast by hint; Spark broadcasts a side whose size is known to be
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.similarity import ratio
+from .scan import settled
+
 #: Letters from rare to frequent in English text (a fixed order, which decides costs only).
 RARE = "QXZJKVWYFBHGMPUDCLOTNRSAIE "
 #: From this length on strings meet by grams of GRAM characters instead of pieces.
@@ -159,22 +165,115 @@ def by_letters(a: DataFrame, b: DataFrame, least: float, initial: bool = False)
     return met.where(shared >= (F.col("na") + F.col("nb")) * (least / 2) - 1e-9).where(F.levenshtein("a", "b") <= (F.col("na") + F.col("nb")) * (1 - least) + 1e-9).select("a", "b")
 
 
-def containing(terms: DataFrame, bodies: DataFrame, term: str = "term", body: str = "body", words: int = 3, key: str = "index") -> DataFrame:
-    """Pairs (term, key) of a term and the bodies that have it as a run of whole words (J9), by an index of word runs.
+def close_terms(wanted: DataFrame, known: DataFrame, n: int = 3, cutoff: float = 0.7) -> DataFrame:
+    """Up to n strings of known (term) with a ratio of ``cutoff`` or more for each distinct string of wanted (term): term, close.
+
+    Best first, of equal ratios the greater string, as difflib's close matches are. No pair is left out beforehand:
+    ``by_letters`` finds all that can have the ratio, without a common first letter.
+    """
+    a, b = (df.select(F.col("term").alias(x)).where(F.length(x) > 0).distinct() for df, x in ((wanted, "a"), (known, "b")))
+    near = by_letters(a, b, cutoff).withColumn("r", ratio()("b", "a")).where(F.col("r") >= cutoff)
+    best = near.withColumn("nth", F.row_number().over(W.partitionBy("a").orderBy(F.desc("r"), F.desc("b")))).where(F.col("nth") <= n)
+    lists = best.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("nth", "b"))).alias("l"))  # n at most
+    return lists.select(F.col("a").alias("term"), F.transform("l", lambda x: x["b"]).alias("close"))
+
+
+#: Bits of the filter of grams, by its base-two logarithm: 1 MB, whatever the number of patterns.
+FILTER = 23
+
+
+def _gram_keys(text: bytes, size: int) -> np.ndarray:
+    """The runs of 1, 2, 4 or 8 bytes of a text as numbers, one for each beginning."""
+    g = np.frombuffer(text, np.uint8).astype(np.uint64)
+    for k in (1, 2, 4):
+        if size > k:
+            g = g[: max(0, len(g) - k)] | (g[k:] << np.uint64(8 * k))
+    return g
+
+
+def _slot(grams: np.ndarray, size: int) -> np.ndarray:
+    """Where grams of a size stand in the filter."""
+    return ((grams ^ np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER)
+
+
+def _gram_size(n: int) -> int:
+    return 8 if n >= 8 else 4 if n >= 4 else 2 if n >= 2 else 1
+
+
+def substrings(patterns: DataFrame, bodies: DataFrame, key: str = "index", sample: int = 500) -> DataFrame:
+    """Pairs (pattern, key) of the distinct patterns (pattern) and the bodies (key, body) that have them anywhere, byte for byte.
 
-    Terms of up to ``words`` words meet equal runs, so only keys and runs that some term begins with are shuffled; longer
-    ones meet by their first words, and their bodies are fetched for the pairs found.
+    Each pattern is looked up by one of its runs of 8 bytes (4, 2 or 1 of shorter ones), the rarest in a sample of bodies. The
+    runs of a body that may be some pattern's, by a filter of fixed size, meet the patterns by equality; then each body is
+    fetched once for all its candidates, which are looked for in it. Empty and null patterns are in no body.
     """
-    clean = lambda c: F.filter(F.split(F.upper(F.col(c)), "[^A-Z0-9]+"), lambda w: w != "")
-    t = terms.select(term, clean(term).alias("tw")).where(F.size("tw") > 0)
-    t = t.select(term, F.array_join(F.slice("tw", 1, words), " ").alias("k"), F.when(F.size("tw") > words, F.array_join("tw", " ")).alias("all"))
-    runs = [F.expr(f"transform(bw, (w, i) -> if(i + {n} <= size(bw), array_join(slice(bw, i + 1, {n}), ' '), null))") for n in range(1, words + 1)]
-    each = bodies.select(key, clean(body).alias("bw")).select(key, F.explode(F.array_distinct(F.array_compact(F.concat(*runs)))).alias("k"))
-    met = each.join(t.select("k").distinct(), "k", "left_semi").join(t, "k")
-    short = met.where(F.col("all").isNull()).select(term, key)
-    long = met.where(F.col("all").isNotNull()).join(bodies.select(key, F.col(body).alias("_body")), key)
-    flat = F.concat(F.lit(" "), F.array_join(clean("_body"), " "), F.lit(" "))
-    return short.unionByName(long.where(F.contains(flat, F.concat(F.lit(" "), F.col("all"), F.lit(" ")))).select(term, key))
+    spark = patterns.sparkSession
+    wanted = patterns.select("pattern").where(F.length("pattern") > 0).distinct()
+
+    def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            which, size, gram = [], [], []
+            for k, p in enumerate(b.column(0).to_pylist()):
+                q = _gram_size(len(p.encode()))
+                keys = np.unique(_gram_keys(p.encode(), q))
+                which.append(np.full(len(keys), k)), size.append(np.full(len(keys), q)), gram.append(keys)
+            if which:
+                columns = [pa.array(np.concatenate(size).astype(np.int32)), pa.array(np.concatenate(gram).view(np.int64))]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(which))), *columns], names=["pattern", "size", "gram"])
+
+    grams = settled(wanted.mapInArrow(grams_of, "pattern string, size int, gram long"))
+
+    def filter_of(df: DataFrame):
+        """A bitmap of the grams, its words or-ed before the shuffle: 2 ** FILTER bits for any number of rows."""
+        def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = np.zeros(1 << FILTER, bool)
+            for b in batches:
+                size = b.column(0).to_numpy().astype(np.uint64)
+                bits[((b.column(1).to_numpy().view(np.uint64) ^ size) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER)] = True
+            packed = np.packbits(bits, bitorder="little").view(np.int64)
+            at = np.flatnonzero(packed)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(packed[at])], names=["at", "bits"])
+
+        out = np.zeros(1 << FILTER - 6, np.int64)
+        for r in df.select("size", "gram").mapInArrow(words, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).collect():
+            out[r["at"]] = r.bits
+        return spark.sparkContext.broadcast(np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool))
+
+    def seen(df: DataFrame, shared, sizes: list[int], tag: str) -> DataFrame:
+        """Runs of bodies (tag, body) that pass the filter, once for each body."""
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = shared.value
+            for b in batches:
+                for part in (b.slice(k, 256) for k in range(0, b.num_rows, 256)):
+                    row, size, gram = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)]
+                    for k, text in enumerate(part.column(1).to_pylist()):
+                        for q in sizes if text else ():
+                            g = _gram_keys(text.encode("utf-8", "surrogatepass"), q)
+                            g = np.unique(g[bits[_slot(g, q)]])
+                            row.append(np.full(len(g), k)), size.append(np.full(len(g), q, np.int32)), gram.append(g)
+                    columns = [pa.array(np.concatenate(size)), pa.array(np.concatenate(gram).view(np.int64))]
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.concatenate(row))), *columns], names=[tag, "size", "gram"])
+
+        return df.mapInArrow(each, f"{tag} {dict(df.dtypes)[tag]}, size int, gram long")
+
+    sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())
+    if not sizes:
+        return wanted.crossJoin(bodies.select(key).where("false")).select("pattern", key)
+    some = bodies.select(F.lit(0).alias("s"), "body").limit(sample)  # decides which run is looked up, not what is found
+    often = seen(some, filter_of(grams), sizes, "s").groupBy("size", "gram").agg(F.count("*").alias("often"))
+    anchors = grams.join(often, ["size", "gram"], "left").groupBy("pattern").agg(F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "size", "gram")).alias("m"))
+    anchors = settled(anchors.select("pattern", "m.size", "m.gram"))
+    met = seen(bodies.select(key, "body"), filter_of(anchors), sizes, key).join(anchors, ["size", "gram"])
+    asked = met.groupBy(key).agg(F.collect_set("pattern").alias("p"))  # no more than a body has different runs
+    found = bodies.select(key, "body").join(asked, key)
+    return found.select(key, F.explode(F.filter("p", lambda p: F.contains("body", p))).alias("pattern")).select("pattern", key)
+
+
+def containing(terms: DataFrame, bodies: DataFrame, term: str = "term", body: str = "body", key: str = "index") -> DataFrame:
+    """Pairs (term, key) of a term and the bodies that have it as a run of whole words (J9): ``substrings`` between blanks."""
+    flat = lambda c: F.concat(F.lit(" "), F.array_join(F.filter(F.split(F.upper(F.col(c)), "[^A-Z0-9]+"), lambda w: w != ""), " "), F.lit(" "))
+    t = terms.select(term).distinct().withColumn("pattern", flat(term)).where(F.length("pattern") > 2)
+    return substrings(t, bodies.select(key, flat(body).alias("body")), key).join(t, "pattern").select(term, key)
 
 
 def neighbours(df: DataFrame, order: list[str], value: str, *by: str) -> DataFrame:

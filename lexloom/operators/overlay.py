@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.clean import archaic, garbled, replace_first, strip_leading, trim_at
@@ -14,6 +15,7 @@ from ..functions.similarity import confusion_only, containment, ratio, substitut
 from . import joins as J
 from .aggregate import word_frequency
 from .audit import LIVE_TYPES, abbreviation, fragment, junk
+from .scan import settled
 
 MIN_LEGACY, BLEED_PAGE = 40, 1192
 
@@ -81,21 +83,60 @@ def correct_headwords(overlay: DataFrame, known: DataFrame, pairs=(("O", "C"),),
 def greedy_claims(options: DataFrame, group: str) -> DataFrame:
     """Rows of options (group, index, choice, rank) in order of index: each takes its best choice still free.
 
-    Order decides, so each group is one pandas pass; groups must be independent (a filing letter, a volume).
+    Taking turns by index gives what offers give: each index asks for its best choice that has not turned it down, and
+    a choice keeps the smallest index that asks, which may displace a later one. So all ask at once, round by round, until
+    nobody is turned down; a round is a minimum by choice, combined before its shuffle, and a join. Choices of one index
+    are ordered by rank, then by themselves; nulls are no choices.
     """
+    by = W.partitionBy(group, "index").orderBy("rank", "choice")
+    asked = options.where("choice is not null").groupBy(group, "index", "choice").agg(F.min("rank").alias("rank"))
+    listed = settled(asked.select(group, "index", "choice", F.row_number().over(by).alias("nth")))
+    at = settled(listed.groupBy(group, "index").agg(F.lit(1).alias("nth")))
+    while True:
+        asks = listed.join(at, [group, "index", "nth"])
+        held = asks.groupBy(group, "choice").agg(F.min("index").alias("index"))
+        told = asks.join(held.withColumn("has", F.lit(1)), [group, "choice", "index"], "left")
+        told = settled(told.select(group, "index", "choice", (F.col("nth") + F.when(F.col("has").isNull(), 1).otherwise(0)).alias("nth"), F.col("has").isNull().alias("out")))
+        if not told.where("out").limit(1).count():
+            return told.select(group, "index", "choice")
+        at = told.select(group, "index", "nth")
 
-    def claim(frame: pd.DataFrame) -> pd.DataFrame:
-        used: set[str] = set()
-        out = []
-        for index, rows in frame.sort_values(["index", "rank", "choice"]).groupby("index", sort=True):
-            choice = next((c for c in rows["choice"] if c not in used), None)
-            if choice is not None:
-                used.add(choice)
-                out.append((rows[group].iloc[0], index, choice))
-        return pd.DataFrame(out, columns=[group, "index", "choice"])
 
-    kind = dict(options.dtypes)
-    return options.groupBy(group).applyInPandas(claim, f"{group} {kind[group]}, index {kind['index']}, choice string")
+#: What recognition makes of a letter, and of some letters together (fixed values).
+MISREAD = (("O", "C"), ("C", "O"), ("O", "G"), ("G", "O"), ("I", "L"), ("L", "I"), ("U", "V"), ("V", "U"), ("M", "N"), ("N", "M"), ("Z", "S"), ("S", "Z"), ("D", "O"), ("O", "D"))
+MISREAD_RUNS = (("OO", "CC"), ("CC", "OO"), ("OC", "CC"), ("AO", "AC"), ("IO", "IC"), ("OI", "CI"), ("EO", "EC"), ("OE", "CE"), ("OT", "CT"), ("OH", "CH"), ("OOH", "CCH"))
+
+
+def misreadings(x: Column) -> Column:
+    """All strings with one letter or run read otherwise, ascending (K4)."""
+
+    def changed(old: str, new: str) -> Column:
+        spots = F.filter(F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1))), lambda k: F.substring(x, k, F.lit(len(old))) == old)
+        return F.transform(spots, lambda k: F.concat(F.substring(x, F.lit(1), k - 1), F.lit(new), F.substring(x, k + len(old), F.length(x))))
+
+    return F.array_sort(F.array_distinct(F.flatten(F.array(*(changed(*p) for p in (*MISREAD_RUNS, *MISREAD))))))
+
+
+def settle_headwords(overlay: DataFrame, live: DataFrame, least: float = 0.4, shortest: int = 20) -> DataFrame:
+    """Unresolved headwords that are misread: duplicates of live entries, or corrected.
+
+    overlay: index, term, body of unresolved entries; live: term, body of live ones. A correction that a live entry has
+    makes the entry its duplicate if the bodies have a ratio of ``least`` (first correction that does). Else the entry takes
+    its first correction that neither a live entry nor an entry before it has. Bodies of under ``shortest`` characters are left.
+    Gives index, term, entry_type, target, ratio.
+    """
+    trimmed = lambda c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"^\s+|\s+$", "")
+    open_ = overlay.select("index", "term", trimmed("body").alias("own")).where(F.length("own") >= shortest)
+    made = settled(open_.select("index", "term", F.explode(misreadings(norm("term"))).alias("choice")))
+    known = live.select(norm("term").alias("choice"), F.col("term").alias("target"), trimmed("body").alias("other")).groupBy("choice").agg(F.max_by(F.struct("target", "other"), "target").alias("e"))
+    both = made.join(known.select("choice", "e.*"), "choice").join(open_.select("index", "own"), "index")
+    r = F.when((F.col("own") != "") & (F.col("other") != ""), ratio(2000, True)("own", "other")).otherwise(0.0)
+    like = both.withColumn("ratio", r).where(F.col("ratio") >= least)
+    copies = settled(like.groupBy("index", "term").agg(F.min(F.struct("choice", "target", "ratio")).alias("b")).select("index", "term", F.lit("legacy_duplicate").alias("entry_type"), "b.target", "b.ratio"))
+    free = made.join(copies.select("index"), "index", "left_anti").join(known.select("choice"), "choice", "left_anti")
+    claims = greedy_claims(free.select(F.lit(0).alias("all"), "index", "choice", F.lit(0).alias("rank")), "all")
+    fixed = free.select("index", "term").distinct().join(claims, "index").select("index", "term", F.lit("headword_corrected").alias("entry_type"), F.col("choice").alias("target"), F.lit(None).cast("double").alias("ratio"))
+    return copies.unionByName(fixed)
 
 
 def frequency_corrections(entries: DataFrame, least: int = 5, times: int = 3) -> DataFrame:
@@ -343,16 +384,6 @@ def header_gaps(headers: DataFrame, live: DataFrame, overlay: DataFrame, bodies:
 
 
 def validate_terms(reference: DataFrame, entries: DataFrame, n: int = 3, cutoff: float = 0.7) -> DataFrame:
-    """Reference terms that no entry has, with up to n close headwords of the same first letter.
-
-    Candidates are the headwords of the letter within half the term's length of edits in length, gathered per missing term.
-    """
-    from ..functions.similarity import ratio
-
-    missing = reference.select(F.upper("term").alias("want")).distinct().join(entries.select(F.col("term").alias("want")).distinct(), "want", "left_anti")
-    heads = entries.select("term").distinct().withColumn("k", F.substring("term", 1, 1))
-    near = missing.withColumn("k", F.substring("want", 1, 1)).join(heads, "k", "left")
-    # 2 * min / (a + b) bounds the ratio.
-    near = near.where(2.0 * F.least(F.length("want"), F.length("term")) / (F.length("want") + F.length("term")) >= cutoff).withColumn("r", ratio()("term", "want")).where(F.col("r") >= cutoff)
-    best = near.groupBy("want").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("r")).alias("r"), "term"))), 1, n).alias("b"))
-    return missing.join(best, "want", "left").select(F.col("want").alias("term"), F.transform("b", lambda x: x["term"]).alias("close"))
+    """Reference terms, in capitals, that no entry has, with up to n close headwords, null if there are none."""
+    missing = reference.select(F.upper("term").alias("term")).distinct().join(entries.select("term").distinct(), "term", "left_anti")
+    return missing.join(J.close_terms(missing, entries.select("term"), n, cutoff), "term", "left")

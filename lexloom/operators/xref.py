@@ -86,7 +86,7 @@ def truncated(term: Column) -> Column:
 def triage(missing: DataFrame, heads: DataFrame, suppressed: DataFrame, most: int = 2, entries: DataFrame | None = None) -> DataFrame:
     """A reason for each missing target; the first that fits: garbled, truncated, suppressed, compact, subentry, fuzzy, absent.
 
-    entries (index, term, body), where given: a target that stands as whole words in the body of another entry is its subentry.
+    entries (index, term, body), where given: a target that stands anywhere in the body of another entry, in capitals, is its subentry.
     """
     compact = heads.select(F.regexp_replace("term", r"[\s-]", "").alias("ck"), "term").groupBy("ck").agg(F.min("term").alias("compact"))
     out = missing.withColumn("ck", F.regexp_replace("term", r"[\s-]", "")).join(compact, "ck", "left").drop("ck")
@@ -97,7 +97,8 @@ def triage(missing: DataFrame, heads: DataFrame, suppressed: DataFrame, most: in
     if entries is None:
         out = out.withColumn("inside", F.lit(None).cast("boolean"))
     else:
-        found = J.containing(missing.select("term").distinct(), entries).join(entries.select("index", F.upper("term").alias("owner")), "index").where("term <> owner")
+        found = J.substrings(missing.select(F.col("term").alias("pattern")), entries.select("index", F.upper("body").alias("body")))
+        found = found.withColumnRenamed("pattern", "term").join(entries.select("index", F.upper("term").alias("owner")), "index").where("term <> owner")
         out = out.join(found.groupBy("term").agg(F.lit(True).alias("inside")), "term", "left")
     reason = (
         F.when(F.col("term").rlike("[0-9]"), "ocr_garbled").when(truncated(F.col("term")), "truncated").when(F.col("hidden"), "suppressed")

@@ -288,9 +288,7 @@ def missing_top(spark, sf):
 
 @query(SEES + """, compact as (select regexp_replace(term, '[\\s-]', '', 'g') as ck, min(term) as compact from heads group by 1), hidden as (select distinct term from lex where entry_type = 'fragment_artifact'),
 near as (select m.term, arg_min(h.term, (levenshtein(m.term, h.term), h.term)) as near, min(levenshtein(m.term, h.term)) as d from missing m, heads h where length(m.term) >= 8 and abs(length(m.term) - length(h.term)) <= 2 and levenshtein(m.term, h.term) <= 2 group by m.term),
-flat as (select upper(term) as owner, concat(' ', array_to_string(list_filter(string_split_regex(upper(body), '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as flat from lex),
-wanted as (select term, concat(' ', array_to_string(list_filter(string_split_regex(term, '[^A-Z0-9]+'), lambda w: w <> ''), ' '), ' ') as run from missing),
-inside as (select distinct w.term from wanted w join flat f on w.run <> '  ' and w.run <> ' ' and contains(f.flat, w.run) and f.owner <> w.term),
+inside as (select distinct m.term from missing m join lex l on length(m.term) > 0 and contains(upper(l.body), m.term) and upper(l.term) <> m.term),
 j as (select m.term, c.compact, i.term is not null as inside, h.term is not null as hid, case when length(m.term) >= 12 or d <= 1 then near end as near from missing m left join compact c on c.ck = regexp_replace(m.term, '[\\s-]', '', 'g') left join hidden h on h.term = m.term left join near on near.term = m.term left join inside i on i.term = m.term)
 select term, case when regexp_matches(term, '[0-9]') then 'ocr_garbled' when length(term) <= 3 or (length(regexp_extract(term, '(\\S+)$', 1)) = 1 and regexp_extract(term, '(\\S+)$', 1) <> 'A') then 'truncated' when hid then 'suppressed' when compact is not null then 'compact_match' when inside then 'subentry' when near is not null then 'fuzzy' else 'absent' end as reason, case when compact is not null or not inside then coalesce(compact, near) end as suggestion from j""")
 def xref_triage(spark, sf):

@@ -238,6 +238,14 @@ def ocr_headword_fix(spark, sf):
     return O.correct_headwords(over, known)
 
 
+@query()
+def misread_headwords(spark, sf):
+    """Unresolved headwords, spoiled, that are duplicates of live entries or corrected in turn (difflib; tested by brute force)."""
+    lex, i = lexicon(spark, sf), F.col("index")
+    garbled = F.when(i % 2 == 0, F.replace("term", F.lit("C"), F.lit("O"))).otherwise(F.replace("term", F.lit("N"), F.lit("M")))
+    return O.settle_headwords(lex.where("entry_type <> 'verified_main'").select("index", garbled.alias("term"), "body"), lex.where("entry_type = 'verified_main'").select("term", "body"))
+
+
 @query()
 def overlay_classify(spark, sf):
     """The waterfall of entry types (difflib ratios inside; tested by hand-made cases)."""
