@@ -3,11 +3,13 @@
 1. Pack: the words of a source form one sequence, cut into blocks of ``block_words`` words.
    Documents are dealt to ``lanes`` lanes of their source by hash, ordered inside a lane, and
    lanes follow one another, so that no window holds a whole source.
-2. Draw: source s has quota_s = round(target_s / block_words) slots. For each output shard of
-   ``shard_slots`` slots a count is drawn for every source: multinomial by target weight, given
-   that the quotas come out at the end. Counts are drawn source by source and shard by shard from
-   what is left, on a tree of shards (FAN children a node), so that no task draws for all shards.
-3. Map: the slots of a shard follow from its counts. Slot q of a source is block perm(q mod n) of
+2. Draw: source s has the weight quota_s = round(target_s / block_words). Each output shard of ``shard_slots`` slots draws
+   how many of them each source gets: the whole part of its expected number, and for the slots that are then left a
+   multinomial draw by the fractions, one exact draw a slot (residual multinomial sampling). Draws of shards are
+   independent and bound to no total, so what a source gives follows from them; a source's number in all shards lies
+   within a few times sqrt(number of shards) / 2 of its quota. Once a source has given ``passes`` times all its blocks
+   its further slots stay out, and the shard closes up.
+3. Map: the slots of a shard follow from its counts and those of the source in shards before (a prefix scan). Slot q is block perm(q mod n) of
    its pass q div n; each source and pass has its own pseudorandom permutation of [0, n), a Feistel
    network on a mixed radix. Another permutation gives the slots their positions in the shard.
 4. Join the slots with the blocks by (source, index).
@@ -19,12 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.scan import in_order, scanned
 from .common import WORD, cut
 
-BLOCK_WORDS, LANES, LANE_ROWS, SHARD_SLOTS, FAN, MAX_PASSES = 32, 1024, 10_000, 4096, 64, 3
+BLOCK_WORDS, LANES, LANE_ROWS, SHARD_SLOTS, MAX_PASSES = 32, 1024, 10_000, 4096, 3
 WEIGHTS = (5, 2, 1)
-#: Up to this many items a count is drawn by inversion of its distribution, above by the normal one of its mean and variance.
-EXACT = 256
+#: Into how many cells the range of a draw is cut, each of which knows the sources that it may fall to.
+CELLS = 1024
 
 
 def n_words(text: Column) -> Column:
@@ -108,90 +111,62 @@ def quotas(wanted: DataFrame, block_words: int = BLOCK_WORDS, passes: int = MAX_
     return wanted.withColumn("n_blocks", n).withColumn("quota", q)
 
 
-def _uniform(*seed: Column) -> Column:
-    """A pseudorandom number in (0, 1)."""
-    return (F.shiftrightunsigned(F.xxhash64(*seed), 11) + 0.5) / float(1 << 53)
+def shares(quota: DataFrame, total: int, slots: int) -> DataFrame:
+    """(source, n_blocks, whole, low, high) of a shard of ``slots`` slots: its expected number is whole + (high - low) / total.
+
+    The ranges [low, high) of all sources stand side by side and are ``total`` times what the whole parts leave of the slots.
+    """
+    each = quota.where("quota > 0").select("source", "n_blocks", F.expr(f"cast({slots} as bigint) * quota div {total}").alias("whole"), F.expr(f"cast({slots} as bigint) * quota % {total}").alias("part"))
+    upto = F.sum("part").over(W.orderBy(F.col("source").isNull(), F.col("source").cast("binary")).rowsBetween(W.unboundedPreceding, 0))  # one row a source
+    return each.withColumn("high", upto).select("source", "n_blocks", "whole", (F.col("high") - F.col("part")).alias("low"), "high")
 
 
-def drawn(n: Column, marked: Column, items: Column, *seed: Column) -> Column:
-    """How many of ``n`` items taken from ``items`` without replacement are among the ``marked`` ones, by seed (all longs).
+def drawn(quota: DataFrame, total: int, shards: range, slots: int, seed: int, cells: int = CELLS) -> DataFrame:
+    """(source, n_blocks, shard, n): counts of shards, each of ``slots`` slots, by quota out of total.
 
-    With a <= b the two numbers in either order and b no more than half of the items (else what is left out is counted),
-    the chance of 0 is a product of a factors, and each further one follows from the one before.
+    What whole parts leave is drawn slot by slot: a number below the sum of all ranges falls to the source whose range has it.
+    Numbers meet ranges by the cell that they are in, so no row holds all sources.
     """
-    few, many = F.least(n, marked), F.greatest(n, marked)
-    flip = 2 * many > items
-    a, b = F.least(few, F.when(flip, items - many).otherwise(many)), F.greatest(few, F.when(flip, items - many).otherwise(many))
-
-    def inverted(v: Column) -> Column:
-        a, b, t, u = v["a"].cast("double"), v["b"].cast("double"), v["t"].cast("double"), v["u"]
-        none = F.aggregate(F.sequence(F.lit(0), F.greatest(v["a"] - 1, F.lit(0)).cast("int")), F.lit(1.0), lambda p, i: F.when(i < v["a"], p * (t - b - i) / (t - i)).otherwise(p))
-        start = _let(none, lambda p: F.struct(F.lit(0).cast("long").alias("x"), p.alias("p"), p.alias("sum")))
-
-        def step(s: Column, i: Column) -> Column:
-            x = s["x"].cast("double")
-            more = _let(s["p"] * (a - x) * (b - x) / ((x + 1) * (t - a - b + x + 1)), lambda p: F.struct((s["x"] + 1).alias("x"), p.alias("p"), (s["sum"] + p).alias("sum")))
-            return F.when((u > s["sum"]) & (s["x"] < v["a"]), more).otherwise(s)
-
-        return F.aggregate(F.sequence(F.lit(1), F.greatest(v["a"], F.lit(1)).cast("int")), start, step)["x"]
-
-    def normal(v: Column) -> Column:
-        share = v["b"] / v["t"].cast("double")
-        deviation = F.sqrt(v["a"] * share * (1 - share) * (v["t"] - v["a"]) / F.greatest(v["t"] - 1, F.lit(1)))
-        z = F.sqrt(-2 * F.log(v["u"])) * F.cos(2 * F.pi() * _uniform(*seed, F.lit("second")))
-        return F.greatest(F.lit(0), F.least(v["a"], F.round(v["a"] * share + deviation * z).cast("long"))).cast("long")
-
-    # Of a and b the one that was not flipped has its count: if few stayed, what few has outside many.
-    value = F.struct(a.alias("a"), b.alias("b"), items.alias("t"), _uniform(*seed).alias("u"), flip.alias("flip"), few.alias("few"))
-    return _let(
-        value, lambda v: _let(F.when(v["a"] <= 0, F.lit(0).cast("long")).when(v["a"] <= EXACT, inverted(v)).otherwise(normal(v)), lambda x: F.when(v["flip"], v["few"] - x).otherwise(x))
-    )
+    each = cut(shares(quota, total, slots))
+    whole = each.where("whole > 0").select("source", "n_blocks", F.col("whole").alias("n"))
+    left = each.agg(F.coalesce(F.max("high"), F.lit(0)).alias("high")).first()[0]
+    free, width = left // total, max(1, -(-left // cells))
+    step = 1 << max(8, len(shards).bit_length() // 2)  # two short lists, one in the other, instead of one of all shards
+    runs = whole.withColumn("run", F.explode(F.sequence(F.lit(shards.start).cast("long"), F.lit(shards.stop - 1).cast("long"), F.lit(step).cast("long"))))
+    fixed = runs.select("source", "n_blocks", F.explode(F.sequence("run", F.least(F.col("run") + step, F.lit(shards.stop)) - 1)).alias("shard"), "n")
+    if not free:
+        return fixed
+    number = F.pmod(F.xxhash64(F.lit(seed), "shard", "k"), F.lit(left).cast("long"))
+    parts = int(quota.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = quota.sparkSession.range(shards.start, shards.stop, 1, min(parts, len(shards))).select(F.col("id").alias("shard"))
+    draws = named.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(free - 1)))).withColumn("number", number).withColumn("cell", F.floor(F.col("number") / width))
+    known = each.where("high > low").withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
+    met = draws.join(known, "cell").where("low <= number and number < high")
+    return fixed.unionByName(met.groupBy("source", "n_blocks", "shard").agg(F.count("*").alias("n")))
 
 
-def draws(quota: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS, fan: int = FAN) -> DataFrame:
+def draws(quota: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS, passes: int = MAX_PASSES) -> DataFrame:
     """(source, n_blocks, shard, slots, n, first, ahead): the counts drawn for each output shard, of sources with any.
 
     slots: those of the shard; n: those of the source; first: the source's in shards before; ahead: those of other
-    sources before it in the shard. A node of the tree has the slots and counts of all shards below it.
+    sources before it in the shard. Every source ends at ``passes`` times its blocks.
     """
-    order = F.struct(F.col("source").isNull().alias("o0"), F.col("source").cast("binary").alias("o1"))
-    known = F.array_sort(F.collect_list(F.struct(order.alias("o"), "source", "n_blocks", "quota")))
-    one = quota.where("quota > 0").agg(known.alias("known")).where(F.size("known") > 0)
-    total, n_sources = one.select(F.aggregate("known", F.lit(0).cast("long"), lambda t, x: t + x["quota"]), F.size("known")).first() or (0, 0)
-    zero = F.array_repeat(F.lit(0).cast("long"), n_sources)
-    node = one.select("known", F.lit(0).cast("long").alias("shard"), F.lit(total).cast("long").alias("slots"), F.transform("known", lambda x: x["quota"]).alias("counts"), zero.alias("before"))
-    shards, span = -(-total // shard_slots), 1
-    while span < shards:
-        span *= fan
-    parts = int(quota.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    while span > 1:
-        span //= fan
-        size = F.lit(span * shard_slots).cast("long")
-
-        def child(s: Column, i: Column) -> Column:  # called at once, below
-            name = F.col("shard") + i * span
-
-            def source(t: Column, k: Column) -> Column:
-                x = drawn(t["n"], F.element_at(s["counts"], k), t["items"], F.lit(seed), F.lit(span).cast("long"), name, k)
-                return _let(x, lambda x: F.struct((t["n"] - x).alias("n"), (t["items"] - F.element_at(s["counts"], k)).alias("items"), F.concat(t["out"], F.array(x)).alias("out")))
-
-            here = F.least(size, s["slots"])
-            start = F.struct(here.alias("n"), s["slots"].alias("items"), F.array().cast("array<bigint>").alias("out"))
-            got = F.aggregate(F.sequence(F.lit(1), F.lit(n_sources)), start, source)["out"]
-            return _let(got, lambda c: F.struct(
-                (s["slots"] - here).alias("slots"), F.zip_with(s["counts"], c, lambda a, b: a - b).alias("counts"), F.zip_with(s["before"], c, lambda a, b: a + b).alias("before"),
-                F.concat(s["out"], F.array(F.struct(name.alias("shard"), here.alias("slots"), c.alias("counts"), s["before"].alias("before")))).alias("out"),
-            ))
-
-        kind = "array<struct<shard:bigint,slots:bigint,counts:array<bigint>,before:array<bigint>>>"
-        begin = F.struct("slots", "counts", "before", F.array().cast(kind).alias("out"))
-        number = F.ceil(F.col("slots") / size).cast("int")
-        each = node.select("known", F.explode(F.aggregate(F.sequence(F.lit(0), number - 1), begin, child)["out"]).alias("c"))
-        node = cut(each.select("known", "c.*").repartition(parts, "shard"))  # few and small rows, each the work of a node
-    sources = F.explode(F.sequence(F.lit(1), F.lit(n_sources))).alias("k")
-    ahead = F.aggregate(F.slice("counts", F.lit(1), F.col("k") - 1), F.lit(0).cast("long"), lambda t, x: t + x)
-    out = node.select("*", sources).select(F.element_at("known", F.col("k")).alias("s"), "shard", "slots", F.element_at("counts", F.col("k")).alias("n"), F.element_at("before", F.col("k")).alias("first"), ahead.alias("ahead"))
-    return out.where("n > 0").select("s.source", "s.n_blocks", "shard", "slots", "n", "first", "ahead")
+    total = quota.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
+    full, rest = total // shard_slots, total % shard_slots
+    counts = None
+    for shards, n in ((range(full), shard_slots), (range(full, full + 1), rest)):  # the last one may be shorter
+        if shards and n:
+            got = drawn(quota, total, shards, n, seed)
+            counts = got if counts is None else counts.unionByName(got)
+    if counts is None:
+        return quota.where("false").select("source", "n_blocks", *(F.lit(0).cast("long").alias(c) for c in ("shard", "slots", "n", "first", "ahead")))
+    counts = counts.groupBy("source", "n_blocks", "shard").agg(F.sum("n").alias("n"))
+    placed = scanned(in_order(counts, F.col("source").isNull(), F.col("source").cast("binary"), "shard"), ["source"], first=("sum", F.col("n"))).drop("_i")
+    placed = placed.withColumn("n", F.least("n", F.col("n_blocks") * passes - F.col("first"))).where("n > 0")
+    shard = W.partitionBy("shard")  # no more rows than a shard has slots
+    earlier = shard.orderBy(F.col("source").isNull(), F.col("source").cast("binary")).rowsBetween(W.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    return placed.select("source", "n_blocks", "shard", F.sum("n").over(shard).alias("slots"), "n", "first", ahead.alias("ahead"))
 
 
 def slots(counts: DataFrame, seed: int = 0) -> DataFrame:
@@ -249,15 +224,16 @@ def taken(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> Dat
 
 
 def mixed_documents(docs: DataFrame, seed: int = 0, block_words: int = 2048) -> DataFrame:
-    """The mix as documents: docs (doc_id, source, text and others) once for each pass that takes words of it.
+    """The mix as documents: docs (doc_id, source, text and others) once for each pass that takes words of it, and its place.
 
     A pass that takes all of a document gives its text as it is; one that takes some of its blocks gives their
     words in order, joined by one blank. n_chars, where docs have it, is counted anew. Documents that the
     mix takes nothing of are left out. Blocks are longer than those of ``taken``, so most documents stay whole.
+    mix_shard and mix_position tell where in the mix the first of its blocks is.
     """
     places, _, joined = mix(docs, seed, block_words)
-    by_pass = joined.groupBy("row", "pass").agg(F.sum("words").alias("n"), F.array_sort(F.collect_list(F.struct("begin", "words"))).alias("cuts"))
-    whole = by_pass.select(F.col("row.doc_id").alias("p0"), F.col("row.tie").alias("p1"), "n", "cuts")
+    by_pass = joined.groupBy("row", "pass").agg(F.sum("words").alias("n"), F.array_sort(F.collect_list(F.struct("begin", "words"))).alias("cuts"), F.min(F.struct("shard", "position")).alias("at"))
+    whole = by_pass.select(F.col("row.doc_id").alias("p0"), F.col("row.tie").alias("p1"), "n", "cuts", "at")
     names = docs.columns
     marked = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col("doc_id").alias("k0"), F.xxhash64("text").alias("k1"), F.col("text").alias("body"))
     # Rows that are equal in id and text take part once here: each of them already has passes of its own.
@@ -268,4 +244,5 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block_words: int = 2048) ->
     text = F.when(F.col("n") == n_words(F.col("body")), F.col("body")).otherwise(some)
     out = both.withColumn("new", text)
     fresh = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
-    return out.select(*((fresh[c] if c in fresh else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)))
+    kept = [(fresh[c] if c in fresh else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)]
+    return out.select(*kept, F.col("at.shard").alias("mix_shard"), F.col("at.position").alias("mix_position"))

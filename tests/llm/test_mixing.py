@@ -43,6 +43,7 @@ def test_permutation(spark, n):
 
 
 def check_mix(docs, rows):
+    """Sizes and targets are exact; of a source as many words are taken as its draws allow around its target."""
     out = mixing.taken(docs).collect()
     assert len(out) == len(rows)
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
@@ -60,7 +61,9 @@ def check_mix(docs, rows):
         want_by[sizes[s], round(want[s], 6)] += want[s]
     for k, v in want_by.items():
         n = sum((sizes[s], round(want[s], 6)) == k for s in sizes)
-        assert abs(by[k] - v) <= 48 * n, (k, v, by[k])
+        # A shard's draw of what whole parts leave has a variance under 1 / 4 for each source with a fraction of 1 / 2.
+        shards = sum(sizes.values()) / mixing.BLOCK_WORDS / mixing.SHARD_SLOTS + 1
+        assert abs(by[k] - v) <= 48 * n + 32 * 5 * (n * shards) ** 0.5, (k, v, by[k])
     return out
 
 
@@ -82,39 +85,68 @@ def plain_taken(places, slots):
     return Counter((p.doc_id, p.size, sum(times[p.source, w // mixing.BLOCK_WORDS] for w in range(p.start, p.start + p.size))) for p in places)
 
 
-def test_drawn_counts(spark):
-    """Every count's mean and variance, for few and many items; and always within what there is."""
-    cases = [(10, 4, 20), (4, 10, 20), (18, 15, 20), (100, 300, 1000), (900, 700, 1000), (600, 5000, 100000), (20, 0, 30), (30, 7, 30), (0, 5, 9), (700, 700, 700)]
-    rows = spark.createDataFrame([(k, *map(int, c)) for k, c in enumerate(cases)], "k int, n long, m long, t long")
-    got = rows.crossJoin(spark.range(3000)).select("k", "n", "m", "t", mixing.drawn(F.col("n"), F.col("m"), F.col("t"), F.lit(5), F.col("id")).alias("x")).groupBy("k").agg(F.avg("x"), F.var_pop("x"), F.min("x"), F.max("x")).collect()
-    for k, mean, variance, least, most in got:
-        n, m, t = cases[k]
-        true = n * m / t * (1 - m / t) * (t - n) / max(1, t - 1)
-        assert abs(mean - n * m / t) <= 5 * (true / 3000) ** 0.5 + 1e-9 and abs(variance - true) <= 0.15 * true + 0.1
-        assert max(0, n + m - t) <= least <= most <= min(n, m)
-
-
-@pytest.mark.parametrize("fan", [2, 3, 64])
-def test_draws_add_up(spark, fan):
-    """Shards are full, quotas come out, and counts vary as draws without replacement do."""
+@pytest.mark.parametrize(("slots", "cells"), [(64, 1024), (64, 3), (7, 1), (1540, 5)])
+def test_drawn_counts(spark, slots, cells):
+    """Every shard is full; counts are the whole parts and a multinomial draw by the fractions, in mean and variance."""
     wanted = {"a": 1000, "b": 500, None: 37, "c": 0, "é": 3}
     quota = spark.createDataFrame([(s, 10_000, q) for s, q in wanted.items()], "source string, n_blocks long, quota long")
-    rows = mixing.draws(quota, 7, 64, fan).collect()
-    by, shard, first = Counter(), Counter(), defaultdict(list)
+    rows = mixing.drawn(quota, 1540, range(3000), slots, 7, cells).groupBy("source", "shard").agg(F.sum("n").alias("n")).collect()
+    by, shard = defaultdict(Counter), Counter()
     for r in rows:
-        by[r.source] += r.n
+        by[r.source][r.n] += 1
         shard[r.shard] += r.n
-        first[r.source].append((r.shard, r.first, r.n))
-        assert r.slots == (64 if r.shard < 24 else 1540 - 24 * 64)
-    assert by == Counter({s: q for s, q in wanted.items() if q}) and sorted(shard) == list(range(25)) and set(shard.values()) == {64, 4}
-    for parts in first.values():
+    assert set(shard.values()) == {slots} and len(shard) == 3000 and "c" not in by
+    free = slots - sum(slots * q // 1540 for q in wanted.values())
+    for s, q in wanted.items():
+        whole, p = slots * q // 1540, (slots * q % 1540) / 1540 / max(1, free)
+        mean = sum(n * k for n, k in by[s].items()) / 3000
+        true = free * p * (1 - p)
+        assert abs(mean - slots * q / 1540) <= 5 * (true / 3000) ** 0.5 + 1e-9
+        by[s][0] += 3000 - sum(by[s].values())
+        square = sum((n - mean) ** 2 * k for n, k in by[s].items()) / 3000
+        assert abs(square - true) <= 0.15 * true + 0.02, (s, square, true)
+
+
+def test_draws_follow_one_another(spark):
+    """first goes on from shard to shard, no source gives more than its passes, and shards close up."""
+    quota = spark.createDataFrame([("a", 400, 1000), ("b", 166, 500), (None, 10, 37), ("c", 5, 0), ("é", 1, 3)], "source string, n_blocks long, quota long")
+    rows = mixing.draws(quota, 7, 64).collect()
+    parts, shards = defaultdict(list), defaultdict(list)
+    for r in rows:
+        parts[r.source].append((r.shard, r.first, r.n))
+        shards[r.shard].append(r)
+    blocks = {"a": 400, "b": 166, None: 10, "é": 1}
+    for s, each in parts.items():
         at = 0
-        for _, begin, n in sorted(parts):
-            assert begin == at
+        for _, first, n in sorted(each):
+            assert first == at
             at += n
-    a = [n for s, _, n in sorted(first["a"]) if s < 24]
-    assert 2 < sum((x - 64 * 1000 / 1540) ** 2 for x in a) / 24 < 45 and len(set(a)) > 4  # expected: 14.6
-    assert Counter(map(tuple, rows)) == Counter(map(tuple, mixing.draws(quota, 7, 64, fan).collect()))
+        assert at <= 3 * blocks[s]
+    assert abs(sum(n for *_, n in parts["a"]) - 1000) < 5 * 25**0.5
+    for each in shards.values():
+        assert {r.slots for r in each} == {sum(r.n for r in each)}
+        assert sorted(r.ahead for r in each) == [sum(x.n for x in each if x.ahead < r.ahead) for r in sorted(each, key=lambda r: r.ahead)]
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, mixing.draws(quota, 7, 64).collect()))
+
+
+def test_draws_decide_what_is_taken(spark, sf, monkeypatch):
+    """With the same permutations, other draws take other words; targets are near with all of them."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    found = []
+    for slots in (4096, 100, 64):
+        monkeypatch.setattr(mixing.draws, "__defaults__", (0, slots, 3))
+        monkeypatch.setattr(mixing, "SHARD_SLOTS", slots)
+        found.append({r.doc_id: r.taken for r in check_mix(docs, [(r.doc_id, r.source, r.text) for r in docs.collect()])})
+    assert all(sum(a[d] != b[d] for d in a) > 5 for a, b in ((found[0], found[1]), (found[1], found[2])))
+
+
+def test_places_in_the_mix(spark, sf):
+    """A document's place is that of a slot which its source has, and sources alternate."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = mixing.mixed_documents(docs).orderBy("mix_shard", "mix_position", "doc_id").collect()
+    slots = {(r.shard, r.position): r.source for r in mixing.mix(docs, block_words=2048)[1].collect()}
+    assert out and all(slots[r.mix_shard, r.mix_position] == r.source for r in out)
+    assert sum(a.source != b.source for a, b in zip(out, out[1:])) > 20
 
 
 def test_odd_rows(spark):
