@@ -36,8 +36,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix by source weights; a document comes once for each pass that takes words of it."""
-    return mixing.mixed_documents(docs.select(*COLUMNS))
+    """The mix by source weights, in its order; a document comes once for each pass that takes words of it."""
+    mixed = mixing.mixed_documents(docs.select(*COLUMNS))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return mixed.repartitionByRange(parts, "mix_shard", "mix_position", "doc_id").sortWithinPartitions("mix_shard", "mix_position", "doc_id").select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
