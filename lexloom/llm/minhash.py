@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, remove, shared_dir
 from .components import connected_components
-from .near_copies import common_shingles, head, lists, parity, set_links, shingles, star_links
+from .near_copies import common_shingles, head, lists, open_links, parity, shingles, star_links
 
 WIDTH, ROWS, BANDS = 4, 5, 40
 #: So many numbers of coordinates times shingles are worked on at a time.
@@ -119,8 +119,12 @@ def near_dups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     keys = rows.where("n > 0").join(firsts.select("node", "first"), "node").where(F.col("row") == F.col("first")).dropDuplicates(["node"])
     groups = keys.select(F.explode("keys").alias("sig"), "node", "n", F.lit(0).alias("at"))
     found, left = star_links(groups, whole, texts, width)
-    several = cut(texts(left.select("node").distinct()))
-    links = found.unionByName(set_links(_heads(several, width), whole, texts, width))
+    # Components that a band leaves apart are settled by the rarest shingles of their members.
+    apart = cut(left.select("node", "root").distinct())
+    heads = _heads(cut(texts(apart.select("node"))), width).join(apart, "node")
+    mixed = heads.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).where("low < high").select("sig", "low", "m")
+    met = heads.join(mixed, "sig").withColumn("outside", F.col("root") != F.col("low"))
+    links = found.unionByName(open_links(met, whole, texts, width))
     roots = connected_components(links)
     labelled = firsts.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     named = labelled.groupBy("root").agg(F.min("first").alias("named")).select("root", F.when(~F.col("named.k0"), F.col("named.k1")).alias("component_id"))

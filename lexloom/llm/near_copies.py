@@ -185,15 +185,22 @@ def set_links(each: DataFrame, whole: DataFrame, texts, width: int = WIDTH) -> D
     shingle is in both heads, and there the test by place holds; so whatever is alike passes it in one of them.
     """
     first, left = star_links(each, whole, texts, width)
+    return first.unionByName(open_links(left, whole, texts, width))
+
+
+def open_links(left: DataFrame, whole: DataFrame, texts, width: int = WIDTH) -> DataFrame:
+    """Links (a, b) of members of a group in different components: left has sig, node, n, at, root, outside and m.
+
+    One of each pair is outside. A large group is compared in blocks: its outsiders are dealt to lanes of BLOCK members,
+    and each lane sees the group; what sizes, places or parities rule out does not leave the join.
+    """
     marked = left.join(whole.select("node", F.col("parity").alias("q")), "node")
-    # A large group is compared in blocks: its outsiders are dealt to lanes of BLOCK members, and each lane sees the group.
     lanes = F.ceil(F.col("m") / BLOCK).cast("long")
     side = lambda x: [F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"p{x}"), F.col("root").alias(f"r{x}"), F.col("q").alias(f"q{x}")]
     one = marked.where("outside").select("sig", F.pmod(F.xxhash64("node"), lanes).alias("lane"), *side("a"))
     two = marked.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), lanes - 1))).select("sig", "lane", *side("b"))
     more = one.join(two, (one.sig == two.sig) & (one.lane == two.lane) & (F.col("ra") != F.col("rb")) & _close("a", "b") & _parities_allow())
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return first.unionByName(_alike(more, texts, width))
+    return _alike(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts, width)
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
