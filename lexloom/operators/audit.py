@@ -114,9 +114,10 @@ def accounting(overlay: DataFrame, live: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def count_delta(now: Column, before: Column, explained: Column) -> Column:
-    """Whether a change of the count stands without a reason (V6)."""
-    return F.when(before.isNull(), "first_build").when(now == before, "same").when(now - before == explained, "explained").otherwise("unexplained")
+def count_delta(now: Column, before: Column, reported: Column) -> Column:
+    """Whether a change of the count stands without a reason: it is explained if the build's report has the new count."""
+    explained = F.coalesce(reported == now, F.lit(False))
+    return F.when(before.isNull(), "first_build").when(now == before, "same").when(explained, "explained").otherwise("unexplained")
 
 
 def probes(wanted: DataFrame, live: DataFrame, overlay: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -294,23 +297,59 @@ def cascade(missing: DataFrame, sources: list[tuple[str, DataFrame]], most: int
     return out.select("term", found.alias("found_in"), match.alias("match"), distance.cast("int").alias("distance"))
 
 
-def repair(entries: DataFrame, fix, batch: int = 50) -> DataFrame:
-    """A text-repair function over (index, term, body) in batches: fix takes a list of bodies and gives as many.
+def repair(entries: DataFrame, fix, batch: int = 50, ledger: str | None = None, threads: int = 4) -> DataFrame:
+    """A text-repair function over (index, term, body): fix takes a list of bodies and gives as many.
 
-    fix may be any callable, such as a client of a remote model; an error keeps the body and is noted.
+    fix may be any callable, such as a client of a remote model; an error keeps the body and is noted. Each distinct body is
+    asked for once, in calls of up to ``batch`` bodies, ``threads`` at a time in a task. With a ledger, a folder that all
+    executors share (any that pyarrow opens by its URI), each answer is a file there by the body's hash as soon as it is known:
+    a task that runs again, on another executor or in a later job, asks only for what is not there. Errors are not kept.
     """
+    bodies = entries.select(F.sha2(F.col("body"), 256).alias("hash"), "body").where("body is not null").dropDuplicates(["hash"])
+
+    def call(texts: list[str]) -> list[tuple[str, str | None]]:
+        try:
+            fixed = list(fix(texts))
+            if len(fixed) != len(texts):
+                raise ValueError(f"{len(fixed)} answers to {len(texts)} bodies")
+            return [(f, None) for f in fixed]
+        except Exception as e:  # noqa: BLE001  (what a client may raise is not known here)
+            return [(t, str(e)) for t in texts]
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for k in range(0, len(frame), batch):
-                part = frame.iloc[k : k + batch].copy()
-                try:
-                    part["fixed"], part["error"] = list(fix(part["body"].tolist())), None
-                except Exception as e:  # noqa: BLE001  (what a client may raise is not known here)
-                    part["fixed"], part["error"] = part["body"], str(e)
-                yield part
-
-    return entries.select("index", "term", "body").mapInPandas(each, "index long, term string, body string, fixed string, error string")
+        store, root = pafs.FileSystem.from_uri(ledger) if ledger else (None, "")
+
+        def known(name: str) -> str | None:
+            path = f"{root}/{name[:2]}/{name}"
+            if store.get_file_info(path).type == pafs.FileType.NotFound:
+                return None
+            with store.open_input_stream(path) as f:
+                return f.read().decode("utf-8", "surrogatepass")
+
+        def keep(name: str, text: str) -> None:
+            store.create_dir(f"{root}/{name[:2]}", recursive=True)
+            part = f"{root}/{name[:2]}/.{name}-{uuid.uuid4().hex}"  # a file under its name is whole
+            with store.open_output_stream(part) as f:
+                f.write(text.encode("utf-8", "surrogatepass"))
+            store.move(part, f"{root}/{name[:2]}/{name}")
+
+        def done(part: pd.DataFrame) -> pd.DataFrame:
+            names, texts = part["hash"].tolist(), part["body"].tolist()
+            got = {n: (a, None) for n in names if store and (a := known(n)) is not None}
+            todo = [(n, t) for n, t in zip(names, texts) if n not in got]
+            if todo:
+                for (n, _), answer in zip(todo, call([t for _, t in todo])):
+                    if store and answer[1] is None:
+                        keep(n, answer[0])
+                    got[n] = answer
+            return pd.DataFrame({"hash": names, "fixed": [got[n][0] for n in names], "error": [got[n][1] for n in names]})
+
+        with ThreadPoolExecutor(threads) as pool:
+            for frame in frames:
+                yield from pool.map(done, [frame.iloc[k : k + batch] for k in range(0, len(frame), batch)])
+
+    answers = bodies.mapInPandas(each, "hash string, fixed string, error string")
+    return entries.select("index", "term", "body", F.sha2(F.col("body"), 256).alias("hash")).join(answers, "hash", "left").select("index", "term", "body", F.coalesce("fixed", "body").alias("fixed"), "error")
 
 
 def safe_term_fix(entries: DataFrame) -> DataFrame:

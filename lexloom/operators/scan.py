@@ -10,20 +10,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df, its lineage cut by a reliable checkpoint in the folder that spark.checkpoint.dir names."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; only a local session that names none gets one of its own."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or f"file://{tempfile.gettempdir()}/lexloom-scan-{uuid.uuid4().hex}")
+    return sc.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, its lineage cut by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

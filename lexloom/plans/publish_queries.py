@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import audit as V
@@ -238,6 +240,20 @@ def ocr_headword_fix(spark, sf):
     return O.correct_headwords(over, known)
 
 
+@query(LEX + """, b as (select 1 as version, count(*) as now, count(*) as reported from lex where index % 4 <> 0 union all select 2, count(*), null from lex union all select 3, count(*), count(*) - 1 from lex union all select 4, count(*), count(*) from lex where index % 2 = 0)
+select version::bigint as version, now, lag(now) over (order by version) as before, now - lag(now) over (order by version) as delta, case when lag(now) over (order by version) is null then 'first_build' when now = lag(now) over (order by version) then 'same' when reported = now then 'explained' else 'unexplained' end as verdict from b""")
+def build_history(spark, sf):
+    """Four builds of the lexicon, committed one after the other, and how their counts changed."""
+    from ..operators.scan import shared_folder
+    from ..sources import history as H
+
+    lex, folder = lexicon(spark, sf).select("index", "term"), f"{shared_folder(spark)}/history-{uuid.uuid4().hex}"
+    all_, half = lex.count(), lex.where("index % 2 = 0").count()
+    for build, reported in ((lex.where("index % 4 <> 0"), lex.where("index % 4 <> 0").count()), (lex, None), (lex, all_ - 1), (lex.where("index % 2 = 0"), half)):
+        H.commit(build, folder, reported)
+    return H.changes(spark, folder)
+
+
 @query()
 def misread_headwords(spark, sf):
     """Unresolved headwords, spoiled, that are duplicates of live entries or corrected in turn (difflib; tested by brute force)."""

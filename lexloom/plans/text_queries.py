@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
@@ -10,6 +12,7 @@ from ..functions import similarity as S
 from ..operators import audit as V
 from ..operators import joins as J
 from ..operators import search as Q
+from ..operators.scan import shared_folder
 from .lexicon import FOLD_FROM, FOLD_TO, SQL, lexicon, table
 from .registry import query
 
@@ -25,6 +28,14 @@ def search_ranked(spark, sf):
     return Q.ranked(lexicon(spark, sf), "The").select("index", "term", "score")
 
 
+@query(SCORED.replace("'the' as q", "'in the' as q") + "select index, term, score from ranked where score >= 0")
+def search_indexed(spark, sf):
+    """All hits of a phrase through the posting lists of a search index that is written first."""
+    folder = f"{shared_folder(spark)}/search-{uuid.uuid4().hex}"
+    Q.build_index(lexicon(spark, sf), folder)
+    return Q.search(spark, folder, "In the", None)
+
+
 @query(SCORED + "select score, count(*) as hits from ranked where score >= 0 group by score")
 def search_count(spark, sf):
     return Q.hits(lexicon(spark, sf), "The").groupBy("score").agg(F.count("*").alias("hits"))

@@ -18,12 +18,17 @@ OBJECT = "_width int, _height int, HIDDENTEXT struct<PAGECOLUMN: struct<REGION:
 def page_xml(spark: SparkSession, path: str, schema: str = OBJECT) -> DataFrame:
     """Lines of scanned pages with their boxes (S1): leaf, width, height, line, text, x0, y0, x1, y1.
 
-    Pages are numbered in document order, so a file is read whole by one task; volumes are read side by side, and
-    file tells them apart. Words without text after normalising, or without four whole numbers, are dropped.
+    Files are cut at the ends of their objects, wherever a split of theirs ends, so one large file is read by many
+    tasks. Pages are numbered in document order: by their place in a split and the number of pages in the splits
+    before, one small row each. Words without text after normalising, or without four whole numbers, are dropped.
     """
-    pages = spark.read.format("xml").option("rowTag", "OBJECT").schema(schema).load(path)
-    pages = pages.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("_at"))
-    pages = pages.withColumn("leaf", F.row_number().over(W.partitionBy("file").orderBy("_at")))
+    raw = spark.read.text(path, lineSep="</OBJECT>").select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    raw = raw.where(F.contains("value", F.lit("<OBJECT")))
+    splits = raw.groupBy("file", "split").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = raw.join(splits.withColumn("before", before), ["file", "split"])
+    record = F.concat(F.expr("substring(value, instr(value, '<OBJECT'))"), F.lit("</OBJECT>"))
+    pages = placed.select("file", (F.col("before") + F.col("at") - F.col("first") + 1).cast("int").alias("leaf"), F.from_xml(record, schema, {"rowTag": "OBJECT"}).alias("page")).select("file", "leaf", "page.*")
     lines = pages.select("file", "leaf", F.col("_width").alias("width"), F.col("_height").alias("height"), F.posexplode(F.flatten(F.expr("transform(HIDDENTEXT.PAGECOLUMN.REGION.PARAGRAPH, p -> p.LINE)"))).alias("line", "l"))
     words = lines.select("file", "leaf", "width", "height", "line", F.posexplode("l.WORD").alias("nth", "w"))
     box = F.split("w._coords", ",")
