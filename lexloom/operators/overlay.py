@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.clean import archaic, garbled, replace_first, strip_leading, trim_at
-from ..functions.normalize import body_key, norm
+from ..functions.normalize import body_key, norm, strip
 from ..functions.similarity import confusion_only, containment, ratio, substitutions
 from . import joins as J
 from .aggregate import word_frequency
@@ -142,15 +142,24 @@ def settle_headwords(overlay: DataFrame, live: DataFrame, least: float = 0.4, sh
     return copies.unionByName(fixed)
 
 
-def frequency_corrections(entries: DataFrame, least: int = 5, times: int = 3) -> DataFrame:
-    """Single words of five letters or more that are much rarer than what O for C gives (K5, K7, A3)."""
-    words = word_frequency(entries, "body")
-    heads = entries.select("index", "term").where(F.col("term").rlike("^[A-Z]{5,}$"))
-    made = heads.select("index", "term", F.explode(substitutions("term", 2)).alias("word")).join(words, "word").where(F.col("n") >= least)
-    own = words.select(F.col("word").alias("term"), F.col("n").alias("own"))
-    good = made.join(own, "term", "left").where(F.col("n") > times * F.coalesce("own", F.lit(0)))
-    good = good.join(entries.select(F.col("term").alias("word")).distinct(), "word", "left_anti")
-    return good.groupBy("index", "term").agg(F.min(F.struct((-F.col("n")).alias("m"), "word")).alias("b")).select("index", "term", F.col("b.word").alias("corrected"))
+def frequency_corrections(entries: DataFrame, pairs=(("O", "C"),), depth: int = 2) -> DataFrame:
+    """Headwords of one word whose letters, changed as recognition does, give a word that the bodies speak for (K5, K7, A3).
+
+    entries: index, term, body, entry_type; unresolved ones whose body begins with the term are looked at. A correction that
+    no entry has, of four letters or more, is accepted if the bodies have it more often than the term; or, of six or more, if
+    they have it and either the entry's own body does or the term comes once at most. The most frequent wins, then the
+    first. Gives index, term, corrected, n (of the correction), own (of the term), in_body.
+    """
+    words = settled(word_frequency(entries, "body"))
+    open_ = entries.where(F.col("entry_type").isin("legacy_unresolved", "legacy_retained") & F.col("term").rlike("^[A-Z]+$") & F.startswith(F.upper("body"), F.upper("term")))
+    own_words = F.array_distinct(F.regexp_extract_all(F.upper("body"), F.lit("[A-Z]+"), F.lit(0)))
+    made = open_.select("index", "term", own_words.alias("said"), F.explode(substitutions("term", depth, pairs)).alias("corrected"))
+    made = made.where("length(corrected) >= 4").select("index", "term", "corrected", F.array_contains("said", F.col("corrected")).alias("in_body"))
+    made = made.join(entries.select(F.col("term").alias("corrected")).distinct(), "corrected", "left_anti").join(words.select(F.col("word").alias("corrected"), "n"), "corrected")
+    made = made.join(words.select(F.col("word").alias("term"), F.col("n").alias("own")), "term", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    good = made.where((F.col("n") > F.col("own")) | ((F.length("corrected") >= 6) & (F.col("in_body") | (F.col("own") <= 1))))
+    best = good.groupBy("index", "term").agg(F.min(F.struct((-F.col("n")).alias("m"), "corrected", "own", "in_body")).alias("b"))
+    return best.select("index", "term", "b.corrected", (-F.col("b.m")).alias("n"), "b.own", "b.in_body")
 
 
 def headword_duplicates(open_: DataFrame, verified: DataFrame, head: float = 0.92, body: float = 0.8) -> DataFrame:
@@ -265,17 +274,54 @@ def prefix_triage(words: DataFrame) -> DataFrame:
     return words.withColumn("triage", kind)
 
 
-def near_empty_triage(df: DataFrame) -> DataFrame:
-    """Bodies under 20 characters (term, body, other_body, see_known): one of eight outcomes."""
-    from .xref import see_target, truncated
+#: Authors whose name marks a short definition as one (fixed values).
+AUTHORS = ("Cowell", "Blount", "Jacob", "Spelman", "Johnson", "Du Cange")
+NEAR_EMPTY = 20
 
-    target, body = see_target(F.col("body")), F.coalesce("body", F.lit(""))
-    gain = F.length("other_body") > F.length(body) + 10
-    kind = (
-        F.when(target.isNotNull() & truncated(target), F.when(gain, "recovered").otherwise("truncated")).when(target.isNotNull(), F.when(F.col("see_known"), "valid_see_ref").otherwise("unresolved_see_ref"))
-        .when(body.rlike(r"^(An?|The|To|One)\s+\w+"), "ok").when(gain, "recovered").when(body.rlike(r"\w-$"), "truncated").when(F.length(body) < 5, "stub").otherwise("ok")
-    )
-    return df.withColumn("outcome", kind)
+
+def body_after(text: Column, term: Column) -> Column:
+    """What follows a term's first place in a page's text, up to a line in capitals, without leading marks; null if it is not there."""
+    at = F.instr(F.upper(text), F.upper(term))
+    rest = F.split(strip(F.expr("substring(text, instr(upper(text), upper(term)) + length(term))")), "\n")
+    heads = F.transform(rest, lambda x, i: (i > 0) & (F.length(F.trim(x)) > 3) & (F.trim(x) == F.upper(F.trim(x))))
+    kept = F.when(F.array_position(heads, True) > 0, F.slice(rest, F.lit(1), F.array_position(heads, True).cast("int") - 1)).otherwise(rest)
+    return F.when(at > 0, strip(F.regexp_replace(strip(F.array_join(kept, "\n")), r"^[.,;:\-—\s]+", "")))
+
+
+def near_empty_triage(entries: DataFrame, reviewed: DataFrame, candidates: DataFrame, pages: DataFrame, other: DataFrame) -> DataFrame:
+    """What to do with bodies of under 20 characters, from four sources (K10): index, outcome, new_body.
+
+    entries: index, term, body, source_pages (numbers as text); reviewed: term, whose bodies were looked at; candidates: term,
+    body of the scan; pages: leaf, text; other: term, body of another corpus. Eight outcomes: reviewed_ok, see_ref_valid,
+    see_ref_unresolved, see_ref_truncated, djvu_recovered (from a candidate, else from the entry's pages), lp_recovered (from
+    the other corpus), truncated_body, empty_stub. Of several bodies of a term the longest counts.
+    """
+    key = lambda c: strip(F.regexp_replace(F.upper(c), "[^A-Z ]", ""))
+    longest = lambda df, name: df.select(key(F.col("term")).alias("key"), F.col("body").alias(name)).where("key <> ''").groupBy("key").agg(F.max(F.struct(F.length(name).alias("l"), name)).alias("b")).select("key", f"b.{name}")
+    body = strip(F.coalesce("body", F.lit("")))
+    near = entries.select("index", "term", body.alias("b"), "source_pages").where(F.length("b") < NEAR_EMPTY).withColumn("key", key(F.col("term"))).withColumn("n", F.length("b"))
+    leaves = near.select("index", "term", F.explode("source_pages").alias("leaf")).withColumn("leaf", F.col("leaf").try_cast("int"))
+    on_page = leaves.join(pages.select("leaf", "text"), "leaf").withColumn("page_body", body_after(F.col("text"), F.col("term"))).where(F.length("page_body") > NEAR_EMPTY)
+    on_page = on_page.groupBy("index").agg(F.max(F.struct(F.length("page_body").alias("l"), "page_body")).alias("p")).select("index", "p.page_body")
+    bare = F.regexp_replace("b", r"^[^A-Za-z]*", "")
+    target = F.regexp_replace(strip(F.regexp_extract(bare, r"(?i)^See\s+(.+)", 1)), r"[.,;:\s]+$", "")
+    near = near.withColumn("is_see", F.startswith(F.lower(bare), F.lit("see "))).withColumn("target", F.when(F.col("is_see"), target))
+    near = near.withColumn("clean", strip(F.regexp_replace(F.upper("target"), r"[^A-Z ,\-]", ""))).withColumn("word", F.split("clean", r"\s+")[0])
+    heads = entries.select(F.upper("term").alias("clean")).distinct()
+    begins = heads.select(F.explode(F.transform(F.sequence(F.lit(3), F.greatest(F.lit(3), F.least(F.length("clean"), F.lit(NEAR_EMPTY)))), lambda k: F.substring("clean", F.lit(1), k))).alias("word")).where("length(word) >= 3").distinct()
+    out = near.join(reviewed.select("term").distinct().withColumn("seen", F.lit(True)), "term", "left").join(heads.withColumn("head", F.lit(True)), "clean", "left").join(begins.withColumn("begins", F.lit(True)), "word", "left")
+    out = out.join(longest(candidates, "candidate"), "key", "left").join(on_page, "index", "left").join(longest(other, "lp"), "key", "left")
+    spare = F.when(F.col("is_see"), 0).otherwise(10)
+    more = lambda c: F.coalesce(F.length(c) > F.col("n") + spare, F.lit(False))
+    found = F.when(more("candidate"), F.col("candidate")).when(more("page_body"), F.col("page_body"))
+    b, cut_off = F.col("b"), F.endswith("b", F.lit("-")) | ((F.length("target") > 0) & (F.length("target") < 3))
+    short = (b.rlike(r"^(Lat\.\s+|L\.\s+Fr\.\s+)?[A-Z].*[.)]$") & (F.col("n") >= 7)) | b.rlike(rf"\b({'|'.join(AUTHORS)})\b") | b.rlike(r"^(Lat\.|L\. Fr\.)\s+") | b.rlike(r"\((q|g)\. v\.\)|\(q\.v\.\)")
+    broken = b.rlike(r"^\p{Ll}") | ((F.col("n") < 7) & ~F.endswith("b", F.lit("."))) | b.rlike(r"^[^\p{Lu}\d]")
+    taken = F.when(found.isNotNull(), "djvu_recovered").when(more("lp"), "lp_recovered")
+    see = F.when(cut_off, F.coalesce(taken, F.lit("see_ref_truncated"))).when(F.col("target") == "", "see_ref_truncated").when(F.col("head") | F.col("begins"), "see_ref_valid").otherwise("see_ref_unresolved")
+    rest = F.coalesce(taken, F.when(broken, "truncated_body").when(F.col("n") < 5, "empty_stub").otherwise("reviewed_ok"))
+    outcome = F.when(F.col("seen"), "reviewed_ok").when(F.col("is_see"), see).when(short, "reviewed_ok").otherwise(rest)
+    return out.withColumn("outcome", outcome).select("index", "outcome", F.when(F.col("outcome") == "djvu_recovered", found).when(F.col("outcome") == "lp_recovered", F.col("lp")).alias("new_body"))
 
 
 def cascade(missing: DataFrame, sources: list[tuple[str, DataFrame]], most: int = 2, fuzzy: tuple[str, ...] = ()) -> DataFrame:

@@ -297,15 +297,53 @@ def prefix_triage(spark, sf):
     return O.prefix_triage(t).select("index", "triage")
 
 
-@query(LEX + r""", t as (select index, case index % 6 when 0 then concat('See ', term, '.') when 1 then 'The rule' when 2 then 'x' when 3 then 'half-' else body end as body, case when index % 2 = 0 then concat(body, ' and more') else 'x' end as other, index % 4 = 0 as known from lex),
-s as (select *, upper(regexp_extract(body, '^\s*[Ss]ee\s+([A-Z][A-Za-z ''&-]{1,80}?)\s*[.,;]?\s*$', 1)) as target, length(other) > length(body) + 10 as gain from t)
-select index, case when target <> '' and (length(target) <= 3 or (length(regexp_extract(target, '(\S+)$', 1)) = 1 and regexp_extract(target, '(\S+)$', 1) <> 'A')) then case when gain then 'recovered' else 'truncated' end when target <> '' then case when known then 'valid_see_ref' else 'unresolved_see_ref' end
-when regexp_matches(body, '^(An?|The|To|One)\s+\w+') then 'ok' when gain then 'recovered' when regexp_matches(body, '\w-$') then 'truncated' when length(body) < 5 then 'stub' else 'ok' end as outcome from s""")
+NEAR_EMPTY_SQL = r""", e as (select index, term, page, case index % 12 when 0 then concat('See ', term, '.') when 1 then 'See X' when 2 then ' see zzqqy;' when 3 then 'A dairy.' when 4 then 'x' when 5 then 'half-' when 6 then '' when 7 then concat('(see ', substr(term, 1, 4), ' zz') when 8 then 'Abc def' when 9 then '12.' when 10 then 'as Cowell x' else 'See foo-' end as body, case when index % 5 < 3 then page end as leaf from lex),
+n as (select *, regexp_replace(body, '^\s+|\s+$', '', 'g') as b, trim(regexp_replace(upper(term), '[^A-Z ]', '', 'g')) as key from e),
+near as (select *, length(b) as n, regexp_replace(b, '^[^A-Za-z]*', '') as bare from n where length(b) < 20),
+see as (select *, starts_with(lower(bare), 'see ') as is_see, case when starts_with(lower(bare), 'see ') then regexp_replace(trim(regexp_extract(bare, '^[Ss][Ee][Ee]\s+(.+)', 1)), '[.,;:\s]+$', '') end as target from near),
+cleaned as (select *, trim(regexp_replace(upper(target), '[^A-Z ,\-]', '', 'g')) as clean, regexp_split_to_array(trim(regexp_replace(upper(target), '[^A-Z ,\-]', '', 'g')), '\s+')[1] as word from see),
+heads as (select distinct upper(term) as h from e),
+cand as (select trim(regexp_replace(upper(term), '[^A-Z ]', '', 'g')) as key, max(length(body)) as l from lex where index % 4 = 0 group by 1),
+lp as (select trim(regexp_replace(upper(term), '[^A-Z ]', '', 'g')) as key, max(length(body)) as l from lex where index % 4 = 1 group by 1),
+found as (select c.index, string_split(regexp_replace(substr(p.body, instr(upper(p.body), upper(c.term)) + length(c.term)), '^\s+|\s+$', '', 'g'), chr(10)) as ls from cleaned c join lex p on p.page = c.leaf where instr(upper(p.body), upper(c.term)) > 0),
+stops as (select *, coalesce((select min(i) from range(2, len(ls) + 1) t(i) where length(trim(ls[i])) > 3 and trim(ls[i]) = upper(trim(ls[i]))), len(ls) + 1) as stop from found),
+pages as (select index, max(l) as l from (select index, length(regexp_replace(regexp_replace(regexp_replace(array_to_string(ls[1:stop - 1], chr(10)), '^\s+|\s+$', '', 'g'), '^[.,;:\-—\s]+', ''), '^\s+|\s+$', '', 'g')) as l from stops) where l > 20 group by index),
+j as (select c.*, cand.l as cl, pages.l as pl, lp.l as ll, case when is_see then 0 else 10 end as spare, clean in (select h from heads) as head, length(word) >= 3 and exists (select 1 from heads where starts_with(h, word)) as begins from cleaned c left join cand on cand.key = c.key and c.key <> '' left join pages on pages.index = c.index left join lp on lp.key = c.key and c.key <> ''),
+t as (select *, case when cl > n + spare then cl when pl > n + spare then pl end as djvu, case when ll > n + spare then ll end as other from j),
+o as (select *, case when djvu is not null then 'djvu_recovered' when other is not null then 'lp_recovered' end as taken from t),
+r as (select *, case when term in (select term from lex where index % 13 = 0) then 'reviewed_ok'
+ when is_see then case when b like '%-' or (length(target) > 0 and length(target) < 3) then coalesce(taken, 'see_ref_truncated') when target = '' then 'see_ref_truncated' when head or begins then 'see_ref_valid' else 'see_ref_unresolved' end
+ when (regexp_matches(b, '^(Lat\.\s+|L\.\s+Fr\.\s+)?[A-Z].*[.)]$') and n >= 7) or regexp_matches(b, '\b(Cowell|Blount|Jacob|Spelman|Johnson|Du Cange)\b') or regexp_matches(b, '^(Lat\.|L\. Fr\.)\s+') or regexp_matches(b, '\((q|g)\. v\.\)|\(q\.v\.\)') then 'reviewed_ok'
+ when taken is not null then taken when regexp_matches(b, '^\p{Ll}') or (n < 7 and b not like '%.') or regexp_matches(b, '^[^\p{Lu}\d]') then 'truncated_body' when n < 5 then 'empty_stub' else 'reviewed_ok' end as outcome from o)
+select index, outcome, case outcome when 'djvu_recovered' then djvu when 'lp_recovered' then other end as new_chars from r"""
+
+
+@query(LEX + NEAR_EMPTY_SQL)
 def near_empty_triage(spark, sf):
-    i = F.col("index")
-    body = F.when(i % 6 == 0, F.concat(F.lit("See "), "term", F.lit("."))).when(i % 6 == 1, "The rule").when(i % 6 == 2, "x").when(i % 6 == 3, "half-").otherwise(F.col("body"))
-    t = lexicon(spark, sf).select("index", "term", body.alias("b"), F.when(i % 2 == 0, F.concat("body", F.lit(" and more"))).otherwise("x").alias("other_body"), (i % 4 == 0).alias("see_known")).withColumnRenamed("b", "body")
-    return O.near_empty_triage(t).select("index", "outcome")
+    """Entries whose bodies were emptied in twelve ways; whole bodies are the sources that recover them."""
+    lex, i = lexicon(spark, sf), F.col("index") % 12
+    made = F.when(i == 0, F.concat(F.lit("See "), "term", F.lit("."))).when(i == 1, "See X").when(i == 2, " see zzqqy;").when(i == 3, "A dairy.").when(i == 4, "x").when(i == 5, "half-").when(i == 6, "")
+    made = made.when(i == 7, F.concat(F.lit("(see "), F.substring("term", 1, 4), F.lit(" zz"))).when(i == 8, "Abc def").when(i == 9, "12.").when(i == 10, "as Cowell x").otherwise("See foo-")
+    on = F.when(F.col("index") % 5 < 3, F.array(F.col("page").cast("string"))).otherwise(F.array().cast("array<string>"))
+    entries = lex.select("index", "term", made.alias("body"), on.alias("source_pages"))
+    out = O.near_empty_triage(entries, lex.where("index % 13 = 0"), lex.where("index % 4 = 0"), lex.select(F.col("page").alias("leaf"), F.col("body").alias("text")), lex.where("index % 4 = 1"))
+    return out.select("index", "outcome", F.length("new_body").cast("long").alias("new_chars"))
+
+
+@query(LEX + """, e as (select index, case when index % 3 = 0 then replace(regexp_extract(upper(body), '^[A-Z]+', 0), 'C', 'O') else term end as term, case when index % 3 = 0 then replace(regexp_extract(upper(body), '^[A-Z]+', 0), 'C', 'O') || ' ' || body else body end as body, case when index % 3 = 0 then 'legacy_unresolved' else entry_type end as entry_type from lex),
+w as (select word, count(*) as n from (select unnest(regexp_extract_all(upper(body), '[A-Z]+')) as word from e) group by word),
+o as (select * from e where entry_type in ('legacy_unresolved', 'legacy_retained') and regexp_matches(term, '^[A-Z]+$') and starts_with(upper(body), upper(term))),
+one as (select index, term, body, substr(term, 1, i::int - 1) || 'C' || substr(term, i::int + 1) as corrected from o, range(1, 200) t(i) where i <= length(term) and substr(term, i::int, 1) = 'O'),
+two as (select index, term, body, substr(corrected, 1, i::int - 1) || 'C' || substr(corrected, i::int + 1) as corrected from one, range(1, 200) t(i) where i <= length(corrected) and substr(corrected, i::int, 1) = 'O'),
+made as (select distinct * from (select * from one union all select * from two) where length(corrected) >= 4 and corrected not in (select term from e)),
+good as (select m.index, m.term, m.corrected, w.n, coalesce(v.n, 0) as own, list_contains(regexp_extract_all(upper(m.body), '[A-Z]+'), m.corrected) as in_body from made m join w on w.word = m.corrected left join w v on v.word = m.term)
+select index, term, corrected, n, own, in_body from good where n > own or (length(corrected) >= 6 and (in_body or own <= 1)) qualify row_number() over (partition by index, term order by n desc, corrected) = 1""")
+def frequency_corrections(spark, sf):
+    """Unresolved headwords with O for C, that bodies have with C."""
+    lex, third = lexicon(spark, sf), F.col("index") % 3 == 0
+    spoiled = F.replace(F.regexp_extract(F.upper("body"), "^[A-Z]+", 0), F.lit("C"), F.lit("O"))
+    e = lex.select("index", F.when(third, spoiled).otherwise(F.col("term")).alias("term"), F.when(third, F.concat(spoiled, F.lit(" "), "body")).otherwise(F.col("body")).alias("body"), F.when(third, "legacy_unresolved").otherwise(F.col("entry_type")).alias("entry_type"))
+    return O.frequency_corrections(e)
 
 
 @query("""with w as (select p_partkey as k, upper(p_name) as closest, case p_partkey % 5 when 0 then upper(p_name) || 'S' when 1 then substr(upper(p_name), 2) when 2 then 'X' || substr(upper(p_name), 2) when 3 then 'XY' || substr(upper(p_name), 4) else 'QQQ' end as term from part), d as (select *, levenshtein(term, closest) as d, p.k % 2 = 0 as inside from w p)
