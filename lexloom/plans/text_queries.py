@@ -237,11 +237,12 @@ def char_diff(spark, sf):
     return _names(spark, sf).select("k", S.char_diff("a", "b").alias("diff"))
 
 
-@query(f"""with {PAIRS}, m as (select k, translate(a, 'OBEU', 'CRFV') as c, a from names)
-select k, c, a <> c and true as confused from m""")
+@query(f"""with {PAIRS}, m as (select k, case when k % 3 = 0 then b when k % 3 = 1 then translate(a, 'OBEU', 'CRFV') else translate(a, 'OBEA', 'CRFX') end as c, a from names)
+select k, c, length(a) = length(c) and a <> c and not exists (select 1 from range(1, length(a) + 1) t(i) where substr(a, i::int, 1) <> substr(c, i::int, 1) and substr(a, i::int, 1) || substr(c, i::int, 1) not in ({", ".join(f"'{x + y}', '{y + x}'" for x, y in S.CONFUSED)})) as confused from m""")
 def confusion_only(spark, sf):
-    c = F.translate("a", "OBEU", "CRFV")
-    return _names(spark, sf).select("k", c.alias("c"), S.confusion_only("a", c).alias("confused"))
+    n, k = _names(spark, sf), F.col("k") % 3
+    c = F.when(k == 0, F.col("b")).when(k == 1, F.translate("a", "OBEU", "CRFV")).otherwise(F.translate("a", "OBEA", "CRFX"))
+    return n.select("k", c.alias("c"), S.confusion_only("a", c).alias("confused"))
 
 
 @query("""select p_partkey as k, list_sort(list_distinct(list_transform(list_filter(range(1, length(p_name) + 1), lambda i: upper(substr(p_name, i::int, 1)) = 'O'), lambda i: upper(substr(p_name, 1, (i - 1)::int)) || 'C' || upper(substr(p_name, (i + 1)::int))))) as candidates from part""")
@@ -259,13 +260,13 @@ def degarble(spark, sf):
     return made.join(words, "w", "left_semi").groupBy("seen").agg(F.min("w").alias("fixed"))
 
 
-@query("""with b as (select b.item_id as k, lower(b.text) as large, lower(substr(b.text, 20, 80)) as small, lower(substr(c.text, 1, 60)) as other from benchmark b left join benchmark c on c.item_id = b.item_id + 1),
+@query("""with b as (select b.item_id as k, lower(b.text) as large, regexp_replace(lower(b.text), '^\\s*\\S+\\s+', '') as small, lower(c.text) as other from benchmark b left join benchmark c on c.item_id = b.item_id + 1),
 w as (select *, list_distinct(list_filter(string_split_regex(other, '\\s+'), lambda x: x <> '')) as ow, list_distinct(list_filter(string_split_regex(large, '\\s+'), lambda x: x <> '')) as lw from b)
 select k, case when contains(large, small) then 1.0::double else 0.0 end as inside, case when contains(large, other) then 1.0::double when len(ow) = 0 then 0.0 else len(list_filter(ow, lambda x: list_contains(lw, x))) / len(ow)::double end as shared from w""")
 def body_containment(spark, sf):
     b = table(spark, sf, "benchmark")
-    c = b.select((F.col("item_id") - 1).alias("item_id"), F.lower(F.substring("text", 1, 60)).alias("other"))
-    b = b.join(c, "item_id", "left").select(F.col("item_id").alias("k"), F.lower("text").alias("large"), F.lower(F.substring("text", 20, 80)).alias("small"), "other")
+    c = b.select((F.col("item_id") - 1).alias("item_id"), F.lower("text").alias("other"))
+    b = b.join(c, "item_id", "left").select(F.col("item_id").alias("k"), F.lower("text").alias("large"), F.regexp_replace(F.lower("text"), r"^\s*\S+\s+", "").alias("small"), "other")
     return b.select("k", S.containment("small", "large").alias("inside"), S.containment("other", "large").alias("shared"))
 
 
@@ -302,10 +303,14 @@ def similarity_scores(spark, sf):
     return _names(spark, sf).select("k", S.similarity_score("a", "b").alias("score")).withColumn("confidence", S.confidence("score"))
 
 
-@query(LEX + r"""select index, case when index % 4 = 0 then true else false end as variant, index % 4 = 1 and true as derived from lex where regexp_matches(term, '^[A-Z]{3,}$') and not regexp_matches(term, '(OU|IS|AE|OE)')""")
+@query(LEX + r""", words as (select distinct unnest(regexp_extract_all(upper(body), '[A-Z]{3,}')) as w from lex),
+pairs as (select w, unnest([replace(w, 'OR', 'OUR'), replace(w, 'IZE', 'ISE'), replace(w, 'AE', 'E'), replace(w, 'E', 'OE'), w || 'S', w || 'MENT', w || 'XX', substr(w, 1, length(w) - 2)]) as other from words),
+flat as (select distinct *, regexp_replace(replace(replace(w, 'OUR', 'OR'), 'ISE', 'IZE'), '(AE|OE)', 'E', 'g') as fw, regexp_replace(replace(replace(other, 'OUR', 'OR'), 'ISE', 'IZE'), '(AE|OE)', 'E', 'g') as fo, case when length(w) <= length(other) then w else other end as short, case when length(w) <= length(other) then other else w end as long from pairs)
+select w, other, w <> other and fw = fo as variant, starts_with(long, short) and regexp_matches(substr(long, length(short) + 1), '^(S|ES|ED|ING|ER|OR|ION|MENT|LY|AL|ABLE|NESS)$') as derived from flat""")
 def spelling_kinds(spark, sf):
-    t = lexicon(spark, sf).where(F.col("term").rlike("^[A-Z]{3,}$") & ~F.col("term").rlike("(OU|IS|AE|OE)"))
-    i = F.col("index") % 4
-    other = F.when(i == 0, F.concat("term", F.lit("OUR"))).when(i == 1, F.concat("term", F.lit("MENT"))).otherwise(F.concat("term", F.lit("XX")))
-    base = F.when(i == 0, F.concat("term", F.lit("OR"))).otherwise(F.col("term"))
-    return t.select("index", S.variant_spelling(base, other).alias("variant"), S.derivational(base, other).alias("derived"))
+    """Every word of the bodies against eight words made from it, whether these are variants or derived."""
+    w = F.col("w")
+    words = lexicon(spark, sf).select(F.explode(F.array_distinct(F.regexp_extract_all(F.upper("body"), F.lit("[A-Z]{3,}"), F.lit(0)))).alias("w")).distinct()
+    changed = [F.replace(w, F.lit(x), F.lit(y)) for x, y in (("OR", "OUR"), ("IZE", "ISE"), ("AE", "E"), ("E", "OE"))]
+    made = F.array_distinct(F.array(*changed, *(F.concat(w, F.lit(x)) for x in ("S", "MENT", "XX")), F.expr("substring(w, 1, length(w) - 2)")))
+    return words.select("w", F.explode(made).alias("other")).select("w", "other", S.variant_spelling("w", "other").alias("variant"), S.derivational("w", "other").alias("derived"))
