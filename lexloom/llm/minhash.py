@@ -106,18 +106,18 @@ def near_dups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     spark = docs.sparkSession
     key = [F.col("doc_id").isNull().alias("k0"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k1"), F.xxhash64("text").alias("k2")]
     folder = f"{shared_dir(spark)}/minhash-{uuid.uuid4().hex}"
-    _sketches(docs.select(F.struct(*key).alias("row"), "text"), width).write.parquet(folder)
-    rows = spark.read.parquet(folder)
-    firsts = cut(rows.where("n > 0").groupBy("node").agg(F.min("row").alias("first")))
-    # All that is said of a set follows from it, so any row of a node gives it.
-    whole = rows.where("n > 0").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("parity").alias("parity"))
+    _sketches(docs.select(F.struct(*key).alias("row"), "text"), width).write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    # All that is said of a set follows from it, so any row of a node gives it; dealt out by node once, then read by columns.
+    rows.where("n > 0").groupBy("node").agg(F.min("row").alias("first"), *(F.any_value(c).alias(c) for c in ("n", "keys", "parity"))).write.parquet(f"{folder}/sets")
+    sets = spark.read.parquet(f"{folder}/sets")
+    firsts, whole = sets.select("node", "first"), sets.select("node", "n", "parity")
 
     def texts(nodes: DataFrame) -> DataFrame:
         owners = firsts.join(nodes, "node", "left_semi").select("node", "first.*")
         return docs.select("text", *key).join(owners, ["k0", "k1", "k2"]).select("node", "text").dropDuplicates(["node"])
 
-    keys = rows.where("n > 0").join(firsts.select("node", "first"), "node").where(F.col("row") == F.col("first")).dropDuplicates(["node"])
-    groups = keys.select(F.explode("keys").alias("sig"), "node", "n", F.lit(0).alias("at"))
+    groups = sets.select(F.explode("keys").alias("sig"), "node", "n", F.lit(0).alias("at"))
     found, left = star_links(groups, whole, texts, width)
     # Components that a band leaves apart are settled by the rarest shingles of their members.
     apart = cut(left.select("node", "root").distinct())
