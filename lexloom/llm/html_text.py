@@ -39,6 +39,7 @@ from .url_filter import host
 
 LEAST_PAGES, SUPPORT, ONCE = 4, 0.1, 1.2
 DOUBTED, PREFERRED, SPLIT = 0.125, 4.0, 0.5
+WRAPPED = 0.8
 #: Elements that stand in a line of text (fixed list); all others bound blocks.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements without content, and those that the next of their kind ends (fixed lists).
@@ -70,14 +71,15 @@ class Element:
     """An open block element: its path (a hash), what is said of it by names, and what is found in it.
 
     doubt: 0, 1 (a part by its name) or 2 (a part whatever it holds). main: it lies in an article or main element.
+    wraps: a form, or one with a readers' name, which on some sites stands around the whole page.
     """
 
-    __slots__ = ("name", "path", "above", "doubt", "doubted", "main", "own", "weight", "chars")
+    __slots__ = ("name", "path", "above", "doubt", "doubted", "main", "own", "weight", "chars", "wraps")
 
     def __init__(self, name: str, attributes: str, above: Element | None):
         self.name, self.above, self.own, self.weight, self.chars = name, above, 0, 0.0, 0
         if above is None:
-            self.path, self.doubt, self.doubted, self.main = 0, 0, False, False
+            self.path, self.doubt, self.doubted, self.main, self.wraps = 0, 0, False, False, False
             return
         label, role, words = name, "", frozenset()
         if attributes and not attributes.isspace() and attributes != "/":
@@ -95,6 +97,7 @@ class Element:
             self.doubt = 0 if name in HEADS and above.main else 2
         else:
             self.doubt = int(bool(words & NAMES) or (not above.main and bool(words & HEADS)))
+        self.wraps = self.doubt == 2 and not hidden and (name == "form" or bool(words & READERS))
         self.doubted = above.doubted or self.doubt > 0
         self.main = above.main or name in ("article", "main") or role in ("main", "article")
 
@@ -371,17 +374,26 @@ def extract(page: str | None, weights: dict[int, float] | None = None, texts: fr
         main = 0  # all text is in links
     # Inside: from the slot downwards, but for parts that are no article; a part called so that holds most of the slot is none.
     total = sum(x.chars for x in elements if x.path == main)
+    # A form or readers' part is the page's wrapper if it holds WRAPPED of the slot and all its articles.
+    marked = [x for x in elements if x.main and not x.above.main and x.chars]
+    around = lambda x: x.wraps and x.chars >= WRAPPED * total > 0 and all(_under(m, x) for m in marked)
     inside: dict[int, bool] = {}
     article = False
     for x in elements:
         if x.path == main and not (x.above and inside[id(x.above)]):
             inside[id(x)], article = True, article or x.main
         else:
-            inside[id(x)] = bool(x.above) and inside[id(x.above)] and (not x.doubt or (x.doubt == 1 and 2 * x.chars >= total > 0))
+            inside[id(x)] = bool(x.above) and inside[id(x.above)] and (not x.doubt or (x.doubt == 1 and 2 * x.chars >= total > 0) or around(x))
     kept = [r for r in left if inside[id(r.at)] and (article or 2 * r.linked < len(r.text) or not total)]
     return " ".join(r.text for r in kept)
 
 
+def _under(x: Element | None, top: Element) -> bool:
+    while x is not None and x is not top:
+        x = x.above
+    return x is top
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html; other columns are ignored).
 

@@ -151,3 +151,16 @@ def test_odd_rows(spark):
     got = html_text.main_text(pages).collect()
     assert sorted(r.n_chars for r in got) == [0, 1, 1, 399999]
     assert html_text.main_text(pages.limit(0)).count() == 0
+
+
+def test_wrappers_with_readers_names():
+    """A wrapper called after comments, or a form around the page, does not take the article with it; comments still go."""
+    text = " ".join(f"Sentence number {k} of the article stands here." for k in range(12))
+    foot = "<footer>Address, imprint, terms of use, and all that stands at the end.</footer>"
+    for wrap in ("<div class='comments-open page'>", "<form id=aspnetForm>"):
+        end = "</form>" if "form" in wrap else "</div>"
+        assert html_text.extract(f"<body>{wrap}<p>{text}</p>{end}{foot}</body>") == text
+        assert html_text.extract(f"<body>{wrap}<nav>Home About</nav><div><p>{text}</p></div>{end}{foot}</body>") == text
+    many = "".join(f"<p>Reader {k} says that this is long and wrong, and goes on about it.</p>" for k in range(60))
+    assert html_text.extract(f"<body><article><p>{text}</p></article><div class=comments>{many}</div></body>") == text
+    assert html_text.extract(f"<body><div><p>{text}</p></div><form><input><p>Your name and mail</p></form></body>") == text
