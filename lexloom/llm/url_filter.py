@@ -147,6 +147,23 @@ def filter_urls(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"), F.array_join("template", "/").alias("template"), "purity", "labels")
 
 
+def evaluate(pages: DataFrame, rules: tuple = RULES, folds: int = 5) -> DataFrame:
+    """One row: how the templates judge urls that a rule decides when the rule's answer is hidden from them.
+
+    pages: page_id, url. Of the ruled urls those whose crc32 of the id is 0 modulo ``folds`` are hidden. ruled, hidden,
+    blocked (hidden ones that rules block), found (of these, rejected by their template), wrong (rejected, but allowed by rule).
+    """
+    parsed = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
+    _, verdict = rule(F.col("host"), F.col("path"), rules)
+    ruled = parsed.withColumn("by_rule", verdict).withColumn("hidden", F.col("by_rule").isNotNull() & (F.pmod(F.crc32(F.col("page_id").cast("string").cast("binary")), F.lit(folds)) == 0))
+    judged = judge(ruled.select("host", "path", F.when(~F.col("hidden"), F.col("by_rule")).alias("verdict"))).select(F.col("host").alias("h"), F.col("shape").alias("s"), "rejected")
+    keyed = ruled.withColumn("shape", segments(F.col("path")))
+    out = keyed.join(judged, (F.col("host") == F.col("h")) & (F.col("shape") == F.col("s")))
+    count = lambda c, name: F.coalesce(F.sum(c.cast("int")), F.lit(0)).alias(name)
+    is_block = F.col("by_rule") == "block"
+    return out.agg(count(F.col("by_rule").isNotNull(), "ruled"), count(F.col("hidden"), "hidden"), count(F.col("hidden") & is_block, "blocked"), count(F.col("hidden") & is_block & F.col("rejected"), "found"), count(F.col("hidden") & ~is_block & F.col("rejected"), "wrong"))
+
+
 def sql(rules: tuple = RULES, keep_share: float = KEEP_SHARE, smooth: float = SMOOTH, reject: float = REJECT, merge_z: float = MERGE_Z) -> str:
     """DuckDB SQL for the rows of ``filter_urls`` over pages, without purity."""
     fits = [(h + p, v, f"((host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}'))") for h, p, v in sorted(rules, key=lambda r: -len(r[0] + r[1]))]

@@ -83,3 +83,11 @@ def test_odd_rows(spark):
     pages = spark.createDataFrame([*rows, rows[5]], "page_id long, url string, host string, purity double")
     check(spark, pages)
     assert url_filter.filter_urls(pages.limit(0)).count() == 0
+
+
+def test_hidden_urls_are_judged_by_templates(spark):
+    """Of urls whose rule the templates do not see, what rules block is found, and what they allow stays."""
+    got = url_filter.evaluate(spark.read.parquet("/root/testdata/sf0.1/pages.parquet")).first()
+    print(got)
+    assert got.hidden > 0.1 * got.ruled and got.blocked > 10
+    assert got.found >= 0.7 * got.blocked and got.wrong <= 0.05 * (got.hidden - got.blocked)
