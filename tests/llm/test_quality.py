@@ -70,3 +70,24 @@ def test_odd_rows(spark):
     out = quality.score(docs, quality.train(docs, labels)).collect()
     assert [r.n_words for r in out] == [0, 0, 90000, 11] and [r.base_failed for r in out] == [True, True, True, False]
     assert quality.score(docs.limit(0), quality.train(docs.limit(0), labels.limit(0))).count() == 0
+
+
+def test_verdict_by_plain_trees(spark, sf):
+    """The query's score and verdict of every document, node by node from the trained trees."""
+    import math
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+
+    def value(x, t, node=0):
+        inner = model.feature.shape[1]
+        if node >= inner:
+            return model.value[t, node - inner]
+        return value(x, t, 2 * node + (1 if x[model.feature[t, node]] <= model.cut[t, node] else 2))
+
+    got = {r.doc_id: r for r in registry.op7_quality(spark, sf).collect()}
+    for d in docs.collect():
+        base, x = quality.statistics(d.text)
+        p = 1 / (1 + math.exp(-(model.base + sum(value(x, t) for t in range(len(model.feature))))))
+        failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
+        assert abs(got[d.doc_id].score - p) < 1e-9 and got[d.doc_id].kept == (not failed and p >= quality.THRESHOLD)

@@ -51,3 +51,34 @@ def test_odd_rows(spark, labelled):
     out = toxicity.score(docs, toxicity.train(docs, labels)).collect()
     assert len(out) == 4 and out[0].held_out is None and all(0 <= r.score <= 1 for r in out)
     assert toxicity.score(docs.limit(0), toxicity.Model({}, 0.0)).count() == 0
+
+
+def test_query_by_plain_scores(spark, sf):
+    """Every score, verdict and number of offending sentences of the query, word by word from the trained weights."""
+    import math
+    import re
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    outer = ".,;:!?\"'()[]|*#$%&|<>-_"
+
+    def weight(word):
+        bare = word.lower().strip(outer)
+        return sum(model.weights.get(f, 0.0) for f in (["=" + bare, *(bare[:k] for k in (3, 4, 5, 6, 8) if len(bare) >= k)] if bare else []))
+
+    def plain(text):
+        parts = [s for s in re.findall(r"[^.!?\n]+(?:[.!?]+|\n|$)|[.!?\n]+", text or "") if not s.isspace()]
+        p = [1 / (1 + math.exp(-max(-50, min(50, model.bias + sum(map(weight, s.split())))))) for s in parts]
+        clean = 1.0
+        for x in p:
+            clean *= 1 - x
+        return 1 - clean, sum(x >= 0.3 for x in p)
+
+    got = {r.doc_id: r for r in registry.op3_toxicity(spark, sf).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows) and model.weights
+    for d in rows:
+        want, offending = plain(d.text)
+        r = got[d.doc_id]
+        assert abs(r.score - want) < 1e-6 and (abs(want - 0.3) < 1e-6 or r.predicted == int(want >= 0.3))
+        assert r.n_offending == (offending if r.predicted else 0)
