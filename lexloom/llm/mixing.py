@@ -166,7 +166,9 @@ def draws(quota: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS, passe
     shard = W.partitionBy("shard")  # no more rows than a shard has slots
     earlier = shard.orderBy(F.col("source").isNull(), F.col("source").cast("binary")).rowsBetween(W.unboundedPreceding, -1)
     ahead = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    return placed.select("source", "n_blocks", "shard", F.sum("n").over(shard).alias("slots"), "n", "first", ahead.alias("ahead"))
+    out = placed.select("source", "n_blocks", "shard", F.sum("n").over(shard).alias("slots"), "n", "first", ahead.alias("ahead"))
+    # Few and small rows, each of which becomes thousands of slots: dealt to as many tasks as there are, not to as many as their bytes need.
+    return cut(out.repartition(int(quota.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard"))
 
 
 def slots(counts: DataFrame, seed: int = 0) -> DataFrame:
