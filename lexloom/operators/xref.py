@@ -97,9 +97,11 @@ def triage(missing: DataFrame, heads: DataFrame, suppressed: DataFrame, most: in
     if entries is None:
         out = out.withColumn("inside", F.lit(None).cast("boolean"))
     else:
-        found = J.substrings(missing.select(F.col("term").alias("pattern")), entries.select("index", F.upper("body").alias("body")))
-        found = found.withColumnRenamed("pattern", "term").join(entries.select("index", F.upper("term").alias("owner")), "index").where("term <> owner")
-        out = out.join(found.groupBy("term").agg(F.lit(True).alias("inside")), "term", "left")
+        # Owners by their hashes, whose least and greatest tell whether any differs from the term.
+        found = J.places(missing.select(F.col("term").alias("pattern")), entries.select(F.xxhash64(F.upper("term")).alias("owner"), F.upper("body").alias("body")), "owner")
+        own = F.xxhash64("pattern")
+        found = found.where((F.col("least") != own) | (F.col("greatest") != own))
+        out = out.join(found.select(F.col("pattern").alias("term"), F.lit(True).alias("inside")), "term", "left")
     reason = (
         F.when(F.col("term").rlike("[0-9]"), "ocr_garbled").when(truncated(F.col("term")), "truncated").when(F.col("hidden"), "suppressed")
         .when(F.col("compact").isNotNull(), "compact_match").when(F.col("inside"), "subentry").when(F.col("near").isNotNull(), "fuzzy").otherwise("absent")

@@ -210,7 +210,7 @@ def scan_in_order(spark, sf):
     lex = lexicon(spark, sf)
     a = lex.where("index % 2 = 0").groupBy("term").agg(F.min("index").alias("place"))
     b = lex.where("index % 2 = 1").groupBy(N.ocr_key("term").alias("term")).agg(F.min("index").alias("place"))
-    c = J.containing(lex.select("term").distinct(), lex).groupBy("term").agg(F.min("index").alias("place"))
+    c = J.first_containing(lex.select("term").distinct(), lex).withColumnRenamed("index", "place")
     return J.scan_in_order(lex.select("term").distinct(), [a, b, c])
 
 
