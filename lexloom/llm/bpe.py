@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATES, PIECES, FEW = 160_000, 1_000_000, 12
+STATES, PIECES, FEW = 160_000, 1_000_000, 2
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
