@@ -15,6 +15,8 @@ from .scan import numbered
 CAP = 80
 #: Entries of a shard of the index, which bounds its posting lists; files that grams and entries are dealt to.
 SHARD, BUCKETS = 65_536, 16
+#: Bytes of entries whose grams a task sorts at a time; sorting takes some 15 times as much.
+PORTION = 4 << 20
 
 
 def score(term_key: Column, body_key: Column, query_key: Column) -> Column:
@@ -48,19 +50,22 @@ def build_index(entries: DataFrame, folder: str, shard: int = SHARD, buckets: in
     keyed.withColumn("shard", F.floor(F.col("n") / shard)).withColumn("part", F.floor((F.col("n") % shard) / max(1, shard // buckets))).write.partitionBy("shard", "part").parquet(f"{folder}/entries")
     stored = entries.sparkSession.read.parquet(f"{folder}/entries")
 
+    def lists_of(rows: list[tuple[int, str, str]]) -> pa.RecordBatch:
+        grams, owner = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for n, tk, bk in rows:
+            found = np.unique(np.concatenate([gram_codes(tk or ""), gram_codes(bk or "")]))
+            grams.append(found), owner.append(np.full(len(found), n, np.int64))
+        grams, owner = np.concatenate(grams), np.concatenate(owner)
+        where = owner // shard
+        order = np.lexsort((owner, where, grams))
+        grams, owner, where = grams[order], owner[order], where[order]
+        cuts = np.flatnonzero((np.diff(grams, prepend=-1) != 0) | (np.diff(where, prepend=-1) != 0))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(grams)).astype(np.int32)), pa.array(owner))
+        return pa.RecordBatch.from_arrays([pa.array(grams[cuts]), pa.array(where[cuts]), lists], names=["gram", "shard", "ns"])
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            grams, owner = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-            for n, tk, bk in zip(*(c.to_pylist() for c in b.columns)):
-                found = np.unique(np.concatenate([gram_codes(tk or ""), gram_codes(bk or "")]))
-                grams.append(found), owner.append(np.full(len(found), n, np.int64))
-            grams, owner = np.concatenate(grams), np.concatenate(owner)
-            where = owner // shard
-            order = np.lexsort((owner, where, grams))
-            grams, owner, where = grams[order], owner[order], where[order]
-            cuts = np.flatnonzero((np.diff(grams, prepend=-1) != 0) | (np.diff(where, prepend=-1) != 0))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(grams)).astype(np.int32)), pa.array(owner))
-            yield pa.RecordBatch.from_arrays([pa.array(grams[cuts]), pa.array(where[cuts]), lists], names=["gram", "shard", "ns"])
+        for rows in portions(batches, PORTION):
+            yield lists_of(rows)
 
     made = stored.select("n", "tk", "bk").mapInArrow(each, "gram int, shard long, ns array<long>")
     lists = made.groupBy("gram", "shard").agg(F.array_sort(F.flatten(F.collect_list("ns"))).alias("ns"))
@@ -68,6 +73,18 @@ def build_index(entries: DataFrame, folder: str, shard: int = SHARD, buckets: in
     placed.write.partitionBy("bucket").parquet(f"{folder}/postings")
 
 
+def portions(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple]]:
+    """The rows of batches in portions of up to ``most`` bytes of Arrow's, or of a single row: memory goes by it, not by a batch's size."""
+    for b in batches:
+        k = 0
+        while k < b.num_rows:
+            n = max(1, min(b.num_rows - k, int(most * b.num_rows // max(1, b.nbytes))))
+            while n > 1 and b.slice(k, n).nbytes > most:
+                n //= 2
+            yield list(zip(*(c.to_pylist() for c in b.slice(k, n).columns)))
+            k += n
+
+
 def gram_codes(key: str) -> np.ndarray:
     """Three bytes from each place of a key as one number; after the end stand zeros, so that short strings begin grams too."""
     b = np.frombuffer(key.encode() + b"\0\0", np.uint8).astype(np.int32)
