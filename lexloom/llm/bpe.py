@@ -10,7 +10,9 @@ and every byte position has one encoding of what lies before it.
 Determinised, a state is the set of those paths: for each of the last positions at which a token may
 still be open, what has been written up to there and the open bytes. What all paths have written alike is
 emitted at once, and the rest waits; a token has a greatest length, so the lookahead is bounded. States
-and transitions are made when first met and are dropped together when there are more than STATES.
+and transitions are made when met OFTEN, or in a long piece at once, and are dropped together when there are more than
+STATES. Where a short piece leaves the transitions made, its paths are followed to its end without making states of them:
+most are of one word only, and a state costs more than the word.
 
 Decoding runs an incremental UTF-8 state machine over the tokens' bytes, which gives characters out as soon
 as they are whole, whatever the chunks; its moves over a whole token are kept.
@@ -32,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 STATES, PIECES, FEW = 160_000, 1_000_000, 2
+#: A transition is made when it is asked for so often; until then pieces of up to SHORT bytes go on by the paths of the state.
+OFTEN, SHORT = 8, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -74,6 +78,7 @@ class Transducer:
         # A state: for each path, tokens written but not emitted; and the paths.
         start = (((),), (0,))
         self.paths, self.number, self.next, self.end = [start], {start: 0}, [{}], [()]
+        self.asked: dict[int, int] = {}
 
     def _path(self, last: int, opened: bytes) -> int:
         at = self.path_number.setdefault((last, opened), len(self.path_list))
@@ -201,6 +206,31 @@ class Transducer:
         self.next[state][byte] = (at, out)
         return at, out
 
+    def _by_paths(self, state: int, piece: bytes, at: int) -> list[int]:
+        """Tokens not yet emitted of a piece of which the bytes before ``at`` led to a state: all paths are followed, no state is made."""
+        begins, follows = self.begins, self.follows
+        # For each open path: where its open bytes begin, its last token, and what it has written.
+        open_ = []
+        for written, path in zip(*self.paths[state]):
+            last, opened = self.path_list[path]
+            open_.append((at - len(opened), last, written))
+        for end in range(at + 1, len(piece) + 1):
+            left, whole = [], None
+            for path in open_:
+                token = begins.get(piece[path[0] : end])
+                if token is None:
+                    continue
+                left.append(path)
+                if token >= 0 and whole is None:
+                    follow = follows.get(path[1] << 32 | token)
+                    if self._may_follow(path[1], token) if follow is None else follow:
+                        whole = (end, token, (*path[2], token))
+            if whole is None:
+                raise ValueError(f"no vocabulary entry ends at byte {piece[end - 1]}")
+            left.append(whole)
+            open_ = left
+        return list(open_[-1][2])
+
     def _only(self, state: int) -> int:
         """Forgets all states and paths but one state, and gives its new number."""
         writes, paths = self.paths[state]
@@ -220,13 +250,18 @@ class Transducer:
         token = self.ranks.get(piece)
         if token is not None:
             return [token]
-        if len(self.paths) > self.states or len(self.moves) > 4 * self.states:
+        if len(self.paths) > self.states or len(self.moves) > 4 * self.states or len(self.asked) > 4 * self.states:
             self._reset()
         out: list[int] = []
-        at, moves = 0, self.next
-        for byte in piece:
+        at, moves, short = 0, self.next, len(piece) <= SHORT
+        for k, byte in enumerate(piece):
             hit = moves[at].get(byte)
             if hit is None:
+                if short:
+                    key = at << 8 | byte
+                    asked = self.asked[key] = self.asked.get(key, 0) + 1
+                    if asked < OFTEN:
+                        return out + self._by_paths(at, piece, k)
                 hit = self.step(at, byte)
                 if len(self.paths) > 2 * self.states or len(self.moves) > 8 * self.states:  # a very long piece: keep only where it stands
                     hit, moves = (self._only(hit[0]), hit[1]), self.next

@@ -1,6 +1,7 @@
 """The transducer against tiktoken, pieces against whole matching, the decoder in all chunkings."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -81,3 +82,14 @@ def test_documents(spark, sf):
     odd = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "x y", 3)], "doc_id long, text string, ids int")
     assert [r.n_tokens for r in bpe.encode(odd, PATH, P.PATTERN, False).collect()] == [0, 0, 2]
     assert bpe.encode(odd.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_words_met_once_make_few_states():
+    """A transducer of real size made more than one state for each new word; followed paths give the same ids."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcde") for _ in range(rnd.randrange(4, 20))).encode() for _ in range(400)]
+    fst = bpe.Transducer(RANKS)
+    assert all(fst.encode(w) == bpe.merge(w, RANKS) for w in words)
+    assert len(fst.paths) < len(words)
+    long = b"".join(words[:60])
+    assert fst.encode(long) == bpe.merge(long, RANKS)
